@@ -88,3 +88,16 @@ def spread(flat: np.ndarray, sizes: np.ndarray, use: np.ndarray, bounds: np.ndar
 
 def runs(words: list[str], size: int = 2000) -> list[list[str]]:
     return [words[i : i + size] for i in range(0, len(words), size)]
+
+
+#: Ids that are sent to every executor: 8 bytes each, so that a broadcast holds some 32 MB at most.
+BROADCAST_IDS = 2_000_000
+
+
+def id_filter(rows: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+    """rows with (left_semi) or without (left_anti) the keys in ids, a written table of one column.
+
+    Few ids are broadcast, so that wide rows stay where they are; with more than BROADCAST_IDS both sides are shuffled.
+    """
+    few = ids.count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids) if few else ids, key, how)

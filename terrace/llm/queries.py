@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import host_rules, sentencepiece_codec, token_files, token_lengths
+from terrace.llm import cminhash, host_rules, sentencepiece_codec, token_files, token_lengths, toxicity
 from terrace.llm._spark import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -24,10 +24,18 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"), PIECE_BPE, with_ids=False)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judged(table(spark, sf_dir, "documents"))
 
 
+def op7_cminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cminhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op9_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_lengths.length_histogram(token_lengths.encoded_lengths(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN))
 
@@ -38,7 +46,9 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op5_toxicity": op5_toxicity,
     "op6_host_rules": op6_host_rules,
+    "op7_cminhash": op7_cminhash,
     "op9_token_lengths": op9_token_lengths,
     "op10_token_files": op10_token_files,
 }

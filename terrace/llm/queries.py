@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import cminhash, host_rules, sentencepiece_codec, token_files, token_lengths, toxicity
+from terrace.llm import cminhash, decontaminate, host_rules, sentencepiece_codec, token_files, token_lengths, toxicity
 from terrace.llm._spark import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -19,6 +19,11 @@ PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item and the edit distance."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the rebuilt backend, decoded again and held against the sentencepiece library."""
     return sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"), PIECE_BPE, with_ids=False)
@@ -45,6 +50,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
     "op5_toxicity": op5_toxicity,
     "op6_host_rules": op6_host_rules,

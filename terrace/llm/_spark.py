@@ -101,3 +101,8 @@ def id_filter(rows: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
     """
     few = ids.count() <= BROADCAST_IDS
     return rows.join(F.broadcast(ids) if few else ids, key, how)
+
+
+def sized_join(rows: DataFrame, side: DataFrame, on: list[str] | str, how: str, most: int = 400_000) -> DataFrame:
+    """A join with a written table of narrow rows: broadcast while it has at most `most` rows, else both are shuffled."""
+    return rows.join(F.broadcast(side) if side.count() <= most else side, on, how)

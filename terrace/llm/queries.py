@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import cminhash, decontaminate, host_rules, sentencepiece_codec, token_files, token_lengths, toxicity
+from terrace.llm import cminhash, decontaminate, host_rules, line_templates, sentencepiece_codec, token_files, token_lengths, toxicity
 from terrace.llm._spark import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -41,6 +41,11 @@ def op7_cminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cminhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its recurring lines."""
+    return line_templates.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_lengths.length_histogram(token_lengths.encoded_lengths(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN))
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_host_rules": op6_host_rules,
     "op7_cminhash": op7_cminhash,
+    "op8_line_templates": op8_line_templates,
     "op9_token_lengths": op9_token_lengths,
     "op10_token_files": op10_token_files,
 }

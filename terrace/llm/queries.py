@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import cminhash, decontaminate, host_rules, line_templates, sentencepiece_codec, token_files, token_lengths, toxicity
+from terrace.llm import cminhash, decontaminate, host_rules, line_templates, sentencepiece_codec, shards, token_files, token_lengths, toxicity
 from terrace.llm._spark import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +29,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"), PIECE_BPE, with_ids=False)
 
 
+def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.sharded(table(spark, sf_dir, "documents"), shards=24)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,6 +61,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_shards": op3_shards,
     "op5_toxicity": op5_toxicity,
     "op6_host_rules": op6_host_rules,
     "op7_cminhash": op7_cminhash,

@@ -11,13 +11,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import cminhash, decontaminate, host_rules, line_templates, sentencepiece_codec, shards, token_files, token_lengths, toxicity
+from terrace.llm import cminhash, decontaminate, host_rules, line_templates, sentencepiece_codec, shards, surrogates, token_files, token_lengths, toxicity
 from terrace.llm._spark import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
+#: Of the query on synthetic rows; a real corpus takes a secret one.
+SURROGATE_KEY = "synthetic-corpus"
+
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item and the edit distance."""
@@ -33,6 +36,11 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.sharded(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates in place of personal data."""
+    return surrogates.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"), key=SURROGATE_KEY)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -62,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_shards": op3_shards,
+    "op4_surrogates": op4_surrogates,
     "op5_toxicity": op5_toxicity,
     "op6_host_rules": op6_host_rules,
     "op7_cminhash": op7_cminhash,

@@ -128,7 +128,10 @@ def _surrogate(key: str, kind: Column, unit: Column, attempt: Column) -> Column:
 
     name = F.lit(None).cast("string")
     for script, (consonants, vowels, female, male, family) in SOUNDS.items():
-        syllable = lambda i, c=consonants, v=vowels: F.concat(_letter(c, draw(i * 2, len(c))), _letter(v, draw(i * 2 + 1, len(v))))
+
+        def syllable(i: Column) -> Column:
+            return F.concat(_letter(consonants, draw(i * 2, len(consonants))), _letter(vowels, draw(i * 2 + 1, len(vowels))))
+
         root = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2) + F.floor(attempt / 2).cast("int")), syllable), "")
         for who, endings in (("female", female), ("male", male), ("family", family)):
             ending = F.element_at(F.array(*map(F.lit, endings)), draw(at(9005), len(endings)).cast("int") + 1)

@@ -1,4 +1,65 @@
-"""The corpus pipeline: each stage works on what the one before kept."""
+"""The corpus pipeline: each stage works on what the one before kept.
 
-STAGES: list = []
+Toxic documents go, recurring lines go, one document of each group of near-duplicates stays, documents that hold a
+benchmark item go, and what is left is encoded. Between stages rows are written and read again, so that a lost executor
+costs part of a stage and plans stay short. All stages but the last return the columns of documents.
+
+Rows without a doc_id can't be named in a verdict about pairs or items: they are kept by the near-duplicate and the
+benchmark stage. Rows that share a doc_id are one document and stay or go together.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from terrace.llm import cminhash, decontaminate, line_templates, sentencepiece_codec, toxicity
+from terrace.llm._spark import id_filter, scratch, table, written
+
+#: Hundredths of Jaccard similarity on five-word shingles from which documents are near-duplicates.
+NEAR_PERCENT = 80
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.cleaned(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_templates.deduplicated(docs).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    verdicts = cminhash.near_duplicates(docs, percent=NEAR_PERCENT)
+    gone = written(verdicts.where("NOT kept").select("doc_id").distinct(), "copies")
+    return id_filter(docs, gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    gone = written(decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "leaks")
+    return id_filter(docs, gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids and the checks of the round trip."""
+    return sentencepiece_codec.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_recurring_lines),
+    ("near dedup", drop_near_duplicates),
+    ("decontamination", drop_leaks),
+    ("sentencepiece", encode),
+]
+
+#: Scores of trained dictionaries can't be stated in SQL.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = scratch(spark, f"stage-{name.replace(' ', '-')}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

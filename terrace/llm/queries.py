@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_templates": op8_line_templates,
     "op9_token_lengths": op9_token_lengths,
     "op10_token_files": op10_token_files,
+    "pipeline": corpus_pipeline.run,
 }
 
 _SPACE = r"[^\x20\x09-\x0D]"

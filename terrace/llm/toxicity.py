@@ -166,26 +166,44 @@ def training_rows(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: s
     return out, share
 
 
+def _probabilities(texts: pa.Array, model: Model) -> tuple[list[float], list[int]]:
+    """For each text its score and the windows that count."""
+    with_toxic, without = (_compressor(model.ordinary + model.toxic), _compressor(model.ordinary)) if model.toxic else (None, None)
+    scores, hits = [], []
+    for t in texts.cast(pa.binary()).to_pylist():
+        x, n = (0.0, 0.0, 0.0), 0
+        if model.toxic:
+            gain = np.array([len(without(w)) - len(with_toxic(w)) for w in windows(t or b"")], np.int32)
+            x, n = features(gain), int((gain >= LEAST_GAIN).sum())
+        scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, sum(a * b for a, b in zip(x, model.weights)) + model.bias)))))
+        hits.append(n)
+    return scores, hits
+
+
 def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, score (0 to 1) and n_hits, the windows that count, of each row's whole text; a null text is an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with_toxic, without = _compressor(model.ordinary + model.toxic) if model.toxic else None, _compressor(model.ordinary) if model.toxic else None
         for batch in sliced(batches, "text"):
-            scores, hits = [], []
-            for t in batch.column("text").cast(pa.binary()).to_pylist():
-                if model.toxic:
-                    gain = np.array([len(without(w)) - len(with_toxic(w)) for w in windows(t or b"")], np.int32)
-                    x, n = features(gain), int((gain >= LEAST_GAIN).sum())
-                else:
-                    x, n = (0.0, 0.0, 0.0), 0
-                scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, sum(a * b for a, b in zip(x, model.weights)) + model.bias)))))
-                hits.append(n)
+            scores, hits = _probabilities(batch.column("text"), model)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "score": pa.array(scores, pa.float64()), "n_hits": pa.array(hits, pa.int64())})
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, score double, n_hits long")
 
 
+def cleaned(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of docs, whole and with their own columns, whose score is under threshold; an empty table gives no rows."""
+    rows, share = training_rows(docs, labels, ~held_out())
+    model = fitted(rows, share)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, text):
+            scores, _ = _probabilities(batch.column(text), model)
+            yield batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: Column | str = "doc_id") -> Column:
     """Rows that never train: crc32 of doc_id as text, modulo 5, is 0; a null doc_id is held out too."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(True)) if isinstance(doc_id, str) else F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))

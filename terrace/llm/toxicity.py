@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.llm._spark import sliced
+from terrace.llm._spark import sliced, written
 
 SAMPLE_ROWS = 3_000
 SAMPLE_BYTES = 24_000_000
@@ -154,16 +154,25 @@ def fitted(rows: list[tuple[str | None, int]], share: float | None = None) -> Mo
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str = "doc_id", text: str = "text") -> tuple[list[tuple[str | None, int]], float | None]:
-    """The bounded sample of labelled rows, and the share of toxic ones among all labelled rows that allowed takes."""
+    """The bounded sample of labelled rows, and the share of toxic ones among all labelled rows that allowed takes.
+
+    Texts are drawn by the order of their hashes, each once for a label. Only ids, hashes and sizes are joined and
+    sorted; the texts of the sample, which SAMPLE_ROWS bounds, are read by a broadcast of their hashes.
+    """
     marked = labels.select(F.col("doc_id").alias("labelled"), F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(allowed).join(marked, F.col("doc_id") == F.col("labelled"))
     share = marked.withColumn("doc_id", F.col("labelled")).where(allowed).agg(F.avg("toxic")).first()[0]
-    out = []
+    keyed = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(allowed & F.col("text").isNotNull()).withColumn("copy", F.xxhash64("text"))
+    sizes = keyed.select("doc_id", "copy", F.octet_length("text").cast("long").alias("size"))
+    texts = written(sizes.join(marked, F.col("doc_id") == F.col("labelled")).groupBy("copy", "toxic").agg(F.max("size").alias("size")), "labelled-texts")
+    drawn = []
     for label in (0, 1):
-        few = rows.where(F.col("toxic") == label).select("doc_id", "text", F.octet_length("text").alias("size")).orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(SAMPLE_ROWS)
-        so_far = F.sum("size").over(Window.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        out += [(r.text, label) for r in few.withColumn("so_far", so_far).where((F.col("so_far") <= SAMPLE_BYTES) | F.col("so_far").isNull()).select("text").collect()]
-    return out, share
+        few = texts.where(F.col("toxic") == label).orderBy(F.xxhash64(F.lit(7), "copy"), "copy").limit(SAMPLE_ROWS)
+        so_far = F.sum("size").over(Window.orderBy(F.xxhash64(F.lit(7), "copy"), "copy").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        drawn += few.withColumn("so_far", so_far).where(F.col("so_far") <= SAMPLE_BYTES).select("copy", "toxic").collect()
+    few = docs.sparkSession.createDataFrame([tuple(r) for r in drawn], "copy long, toxic int")
+    found = keyed.join(F.broadcast(few.select("copy").distinct()), "copy", "left_semi").groupBy("copy").agg(F.first("text").alias("text"))
+    by_copy = {r["copy"]: r["text"] for r in found.collect()}
+    return [(by_copy[c], label) for c, label in drawn], share
 
 
 def _probabilities(texts: pa.Array, model: Model) -> tuple[list[float], list[int]]:

@@ -11,10 +11,14 @@ Copies (equal word sequences) are one node. Nodes that share a band form a bucke
 1. every member is compared with the bucket's least node: as many pairs as rows, however large a bucket is;
 2. confirmed links give components. A bucket within one component has nothing left to tell;
 3. in the other buckets members of different components are compared in blocks of bounded size by a sketch of their
-   signatures, and pairs that may reach the limit are confirmed on their full sets as well.
-
-So no link that shares a band is left out, no bucket is capped, and nobody enumerates the pairs of a large group of
-copies. With 32 bands of 5 rows, two sets at the limit of 0.85 share no band with probability 7e-9; the sketch misses
+   signatures. Each member proposes the most similar one of another component; links among these, confirmed on full
+   sets, leave few components in a large group of near copies;
+4. where a bucket still holds several, its blocks get the members' sets, as 32-bit hashes, and every pair of different
+   components is compared on them. Sets beyond SET_MOST shingles are compared by sketches here. Of the pairs that pass
+   a block puts out as many as join its components, and these are confirmed on full sets.
+
+So no link that shares a band is left out, no bucket is capped, and a block never puts out more pairs than it has
+members, however many copies resemble each other. With 32 bands of 5 rows, two sets at the limit of 0.85 share no band with probability 7e-9; the sketch misses
 such a pair with probability below 1e-6.
 """
 
@@ -36,6 +40,8 @@ BANDS, ROWS = 32, 5
 SKETCH = 128
 #: Members of a bucket that are compared as one block.
 BLOCK = 512
+#: Shingles of the largest set that blocks carry.
+SET_MOST = 4096
 _U64, _U32 = np.uint64, np.uint32
 _FACTORS = np.random.default_rng(20).integers(1, 2**63, 16, dtype=_U64) | _U64(1)
 
@@ -156,31 +162,93 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return with_both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _within_blocks(rows: DataFrame, least_equal: int) -> DataFrame:
-    """Pairs a < b of nodes of different components in the same bucket whose sketches agree in least_equal places.
+def short_sets(texts: DataFrame) -> DataFrame:
+    """node and its sorted set as 32-bit hashes, null beyond SET_MOST shingles, for rows of doc_id and text."""
 
-    A bucket's members are dealt to blocks of about BLOCK; every two blocks meet once. What one row gathers is bounded
-    by the size of two blocks, and only pairs that pass come out.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b for x in batches for b in sliced([x], "text")):
+            sets = [(s >> _U64(32)).astype("<u4").tobytes() if len(s) <= SET_MOST else None for s, _ in shingle_sets(batch.column("text"))]
+            yield pa.RecordBatch.from_pydict({"node": batch.column("doc_id"), "short": pa.array(sets, pa.binary())})
+
+    return texts.mapInArrow(run, "node long, short binary").groupBy("node").agg(F.first("short").alias("short"))
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Members of each two blocks of a bucket in one row; every two blocks meet once, and a row is as large as two blocks."""
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    groups = dealt.groupBy("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(F.collect_list(F.struct("node", "component", "sketch")).alias("members"))
+    fields = [c for c in rows.columns if c not in ("bucket", "n")]
+    return dealt.groupBy("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(F.collect_list(F.struct(*fields)).alias("members")).select("members")
+
+
+def _opened(members: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+    flat = members.values
+    node, comp = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("node", "component"))
+    sketch = np.frombuffer(b"".join(flat.field("sketch").to_pylist()), np.uint8).reshape(len(node), SKETCH)
+    return node, comp.copy(), sketch, flat.field("short").to_pylist() if flat.type.get_field_index("short") >= 0 else []
+
+
+def _pairs(node: np.ndarray, left: list[int], right: list[int]) -> pa.RecordBatch:
+    a, b = node[np.array(left, np.int64)], node[np.array(right, np.int64)]
+    return pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+
+def best_partners(rows: DataFrame, least_equal: int) -> DataFrame:
+    """Pairs a < b: for each member of a block the one of another component whose sketch agrees most, in least_equal places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for members in batch.column("members"):
-                flat = members.values
-                node, comp = flat.field("node").to_numpy(zero_copy_only=False), flat.field("component").to_numpy(zero_copy_only=False)
-                sketch = np.frombuffer(b"".join(flat.field("sketch").to_pylist()), np.uint8).reshape(len(node), SKETCH)
-                for i in range(len(node) - 1):
-                    apart = np.flatnonzero(comp[i + 1 :] != comp[i]) + i + 1
-                    if len(apart):
-                        hit = apart[(sketch[apart] == sketch[i]).sum(axis=1) >= least_equal]
-                        if len(hit):
-                            yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(node[i], node[hit])), "b": pa.array(np.maximum(node[i], node[hit]))})
+        for members in (m for batch in batches for m in batch.column("members")):
+            node, comp, sketch, _ = _opened(members)
+            left, right = [], []
+            for i in range(len(node)):
+                apart = np.flatnonzero(comp != comp[i])
+                if len(apart):
+                    equal = (sketch[apart] == sketch[i]).sum(axis=1)
+                    if equal.max() >= least_equal:
+                        left.append(i)
+                        right.append(int(apart[equal.argmax()]))
+            yield _pairs(node, left, right)
+
+    return _blocks(rows).mapInArrow(run, "a long, b long").distinct()
 
-    return groups.select("members").mapInArrow(run, "a long, b long").distinct()
+
+def joining_pairs(rows: DataFrame, least_equal: int, percent: int) -> DataFrame:
+    """Pairs a < b that join the components of a block, of all its pairs that reach percent on their short sets.
+
+    Pairs with a set that is too long for that come out if their sketches agree in least_equal places.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for members in (m for batch in batches for m in batch.column("members")):
+            node, comp, sketch, short = _opened(members)
+            known = np.array([s is not None for s in short])
+            sizes = np.array([len(s) // 4 if s else 0 for s in short])
+            values, place = np.unique(np.frombuffer(b"".join(s or b"" for s in short), "<u4"), return_inverse=True)
+            ends = np.cumsum(sizes)
+            left, right = [], []
+            for i in range(len(node) - 1):
+                apart = comp[i + 1 :] != comp[i]
+                if not apart.any():
+                    continue
+                if known[i]:
+                    own = np.zeros(len(values), np.int64)
+                    own[place[ends[i] - sizes[i] : ends[i]]] = 1
+                    sums = np.concatenate([[0], np.cumsum(own[place[ends[i] :]])])
+                    both = np.diff(sums[ends[i:] - ends[i]])
+                    sure = known[i + 1 :] & apart & (100 * both >= percent * (sizes[i] + sizes[i + 1 :] - both))
+                    for j in (np.flatnonzero(sure) + i + 1).tolist():
+                        if comp[j] != comp[i]:
+                            left.append(i)
+                            right.append(j)
+                            comp[comp == comp[j]] = comp[i]
+                other = np.flatnonzero((comp[i + 1 :] != comp[i]) & ~(known[i + 1 :] & known[i])) + i + 1
+                hit = other[(sketch[other] == sketch[i]).sum(axis=1) >= least_equal]
+                left += [i] * len(hit)
+                right += hit.tolist()
+            yield _pairs(node, left, right)
+
+    return _blocks(rows).mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -198,19 +266,32 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     members = written(placed.join(buckets, "bucket"), "members")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     stars = written(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    first = written(confirmed(stars, texts, percent), "links")
-    labels = components(first)
-
-    left = members.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
-    open_ = left.where("n > 2").groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("bucket")
-    rows = left.join(open_, "bucket").join(nodes.select("node", "sketch"), "node")
+    links = written(confirmed(stars, texts, percent), "links")
+    labels = components(links)
     # At the limit p, places of a sketch agree with probability p + (1 - p) / 256; five deviations below the mean.
     p = percent / 100
     least = int(SKETCH * p - 5 * (SKETCH * p * (1 - p)) ** 0.5)
-    more = written(_within_blocks(rows, least).join(stars, ["a", "b"], "left_anti"), "pairs")
-    links = first.unionByName(confirmed(more, texts, percent)) if not more.isEmpty() else None
-    if links is not None:
-        labels = components(links)
+    tested = stars
+
+    def open_members() -> DataFrame:
+        """Members of the buckets that hold several components."""
+        left = members.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
+        open_ = left.where("n > 2").groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("bucket")
+        return left.join(open_, "bucket").join(nodes.select("node", "sketch"), "node")
+
+    def linked(pairs: DataFrame) -> None:
+        nonlocal links, labels, tested
+        more = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if not more.isEmpty():
+            links = written(links.unionByName(confirmed(more, texts, percent)), "links")
+            tested = tested.unionByName(more)
+            labels = components(links)
+
+    linked(best_partners(open_members(), least))
+    rows = written(open_members(), "open")
+    if not rows.isEmpty():
+        wanted = written(rows.select(F.col("node").alias("doc_id")).distinct(), "ids")
+        linked(joining_pairs(rows.join(short_sets(id_filter(texts, wanted, "doc_id", "left_semi")), "node"), least, percent))
 
     named = nodes.join(labels, "node", "left").select("key_a", "key_b", F.coalesce("component", "node").alias("component"))
     found = base.select("doc_id", "key_a", "key_b", "n_shingles").join(named, ["key_a", "key_b"], "left")

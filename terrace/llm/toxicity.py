@@ -35,8 +35,8 @@ STEM = 5
 ORDINARY_BYTES = 8192
 #: Bytes of trained toxic content that are tried; calibration takes the best.
 TOXIC_BYTES = (320, 640, 1280)
-#: A window counts if the toxic dictionary saves at least so many bytes.
-LEAST_GAIN = 2
+#: Bytes that the toxic dictionary must save for a window to count; calibration takes the best as well.
+LEAST_GAINS = (2, 3, 4, 5)
 _WORD = re.compile(rb"[a-z\x80-\xff]{4,}")
 
 
@@ -49,6 +49,7 @@ class Model:
     weights: tuple[float, ...]
     bias: float
     neutral: float
+    least_gain: int = LEAST_GAINS[0]
 
 
 def windows(text: bytes) -> list[bytes]:
@@ -69,9 +70,9 @@ def gains(texts: list[bytes], toxic: bytes, ordinary: bytes) -> list[np.ndarray]
     return [np.array([len(without(w)) - len(with_toxic(w)) for w in windows(t)], np.int32) for t in texts]
 
 
-def features(gain: np.ndarray) -> tuple[float, float, float]:
+def features(gain: np.ndarray, least_gain: int) -> tuple[float, float, float]:
     """Sum over the windows that count, that sum for each window, and their number, each on a log scale."""
-    counted = gain[gain >= LEAST_GAIN]
+    counted = gain[gain >= least_gain]
     return math.log1p(counted.sum()), math.log1p(100 * counted.sum() / len(gain)), math.log1p(len(counted))
 
 
@@ -143,13 +144,15 @@ def fitted(rows: list[tuple[str | None, int]], share: float | None = None) -> Mo
     best, chosen = math.inf, None
     for keep in TOXIC_BYTES:
         toxic = _trained(keep + 400, samples, keep)
-        x = np.array([features(g) for g in gains([t for t, _ in test], toxic, ordinary)])
+        found = gains([t for t, _ in test], toxic, ordinary)
         again = np.rint(np.maximum(1, 4 * weight)).astype(int)
-        w = _logistic(np.repeat(x, again, 0), np.repeat(y, again))
-        p = 1 / (1 + np.exp(-np.clip(np.column_stack([x, np.ones(len(x))]) @ w, -30, 30)))
-        loss = -(weight * np.where(y == 1, np.log(p), np.log(1 - p))).mean()
-        if loss < best:
-            best, chosen = loss, Model(toxic, ordinary, tuple(map(float, w[:-1])), float(w[-1]), share)
+        for least_gain in LEAST_GAINS:
+            x = np.array([features(g, least_gain) for g in found])
+            w = _logistic(np.repeat(x, again, 0), np.repeat(y, again))
+            p = 1 / (1 + np.exp(-np.clip(np.column_stack([x, np.ones(len(x))]) @ w, -30, 30)))
+            loss = -(weight * np.where(y == 1, np.log(p), np.log(1 - p))).mean()
+            if loss < best:
+                best, chosen = loss, Model(toxic, ordinary, tuple(map(float, w[:-1])), float(w[-1]), share, least_gain)
     return chosen
 
 
@@ -183,7 +186,7 @@ def _probabilities(texts: pa.Array, model: Model) -> tuple[list[float], list[int
         x, n = (0.0, 0.0, 0.0), 0
         if model.toxic:
             gain = np.array([len(without(w)) - len(with_toxic(w)) for w in windows(t or b"")], np.int32)
-            x, n = features(gain), int((gain >= LEAST_GAIN).sum())
+            x, n = features(gain, model.least_gain), int((gain >= model.least_gain).sum())
         scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, sum(a * b for a, b in zip(x, model.weights)) + model.bias)))))
         hits.append(n)
     return scores, hits

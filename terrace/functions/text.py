@@ -64,7 +64,7 @@ def labelled(pairs: dict[str, Column], joint: str = " | ") -> Column:
 def canonical_reasons(reasons: Column, alias: dict[str, str], default: str) -> Column:
     """A pipe list of reasons as an array: trimmed, aliases replaced, repeats dropped, default if none is left."""
     known = F.create_map(*(F.lit(x) for kv in alias.items() for x in kv)) if alias else F.create_map().cast("map<string,string>")
-    parts = F.filter(F.transform(F.split(F.coalesce(reasons, F.lit("")), r"\|"), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(F.coalesce(reasons, F.lit("")), r"\|"), lambda x: F.trim(x)), lambda x: x != "")
     mapped = F.array_distinct(F.transform(parts, lambda x: F.coalesce(F.try_element_at(known, x), x)))
     return F.when(F.size(mapped) > 0, mapped).otherwise(F.array(F.lit(default)))
 

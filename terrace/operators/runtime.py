@@ -1,0 +1,92 @@
+"""State of batches that workers fill: what each row of a schedule turns into, as expressions over its columns.
+
+A schedule has one row for each batch: status, collect_state, rows so far (rows, best_rows), expected rows, attempts
+and failure counts. Times are compared by whole seconds.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+FINAL = ("completed", "retry_capped", "long_tail_deferred")
+
+
+def progress_rows(*counters: Column) -> Column:
+    """The largest of the counters, missing ones as 0."""
+    return F.greatest(*(F.coalesce(c, F.lit(0)) for c in counters), F.lit(0))
+
+
+def watch_action(rows: Column, last_rows: Column, idle: Column, soft: dict[str, int], hard: dict[str, int]) -> Column:
+    """What a look at a batch calls for: progressed, or a soft or hard timeout of its start or of its stall, or wait."""
+    begun = rows > 0
+    return (
+        F.when(rows > last_rows, "progressed")
+        .when(begun & (idle >= hard["stall"]), "hard_stall")
+        .when(begun & (idle >= soft["stall"]), "soft_stall")
+        .when(~begun & (idle >= hard["start"]), "hard_startup")
+        .when(~begun & (idle >= soft["start"]), "soft_startup")
+        .otherwise("wait")
+    )
+
+
+def queue_state(status: Column, collected: Column, alive: Column) -> Column:
+    return (
+        F.when(status.isin("retry_capped", "long_tail_deferred"), status)
+        .when((status == "completed") & (collected == "collected"), "done")
+        .when(status == "completed", "ready_to_collect")
+        .when((status == "running") & alive, "active")
+        .when(status == "running", "dead_worker")
+        .otherwise("waiting")
+    )
+
+
+def open_work(status: Column, collected: Column) -> Column:
+    return ~status.isin(*FINAL) | ((status == "completed") & (collected != "collected"))
+
+
+def attempt_mode(prefix_ok: Column, rows: Column, expected: Column) -> Column:
+    """How the next attempt begins: not at all, behind the rows that are there, or anew."""
+    return F.when(prefix_ok & (rows >= expected), "none").when(prefix_ok & (rows > 0), "continue_from_prefix").otherwise("fresh")
+
+
+def aborted(status: Column, collected: Column, rows: Column, start_rows: Column) -> dict[str, Column]:
+    """The row after its supervisor stopped: collecting turns ready again, running needs a rerun, others stay."""
+    running = status == "running"
+    again = (status == "completed") & (collected == "collecting")
+    return {
+        "status": F.when(running, "needs_rerun").otherwise(status),
+        "collect_state": F.when(again, "ready").otherwise(collected),
+        "resume_mode": F.when(running & (rows > start_rows), "continue_from_prefix").when(running, "fresh").otherwise(""),
+    }
+
+
+def rotate(added: Column, target: int, cap: int) -> Column:
+    return F.when(added >= cap, "rotate_now").when(added >= target, "rotate_at_next_row").otherwise("keep")
+
+
+def gate(rows: DataFrame, key: str, position: str, verdict: str) -> DataFrame:
+    """For each key the state of its first decisive verdict in order: blocked or open; pending without one."""
+    decisive = F.col(verdict).isin("fail", "manual", "pass")
+    first = F.min_by(verdict, F.when(decisive, F.col(position)))
+    return rows.groupBy(key).agg(F.when(first == "pass", "open").when(first.isNotNull(), "blocked").otherwise("pending").alias("gate_state"))
+
+
+def slots(active: DataFrame, slot: str, count: int) -> DataFrame:
+    """Slots from 1 to count, each with how many rows hold it."""
+    every = active.sparkSession.range(1, count + 1).select(F.col("id").alias(slot))
+    held = active.groupBy(F.col(slot).cast("long").alias(slot)).agg(F.count(F.lit(1)).alias("n_active"))
+    return every.join(held, slot, "left").select(slot, F.coalesce("n_active", F.lit(0)).cast("long").alias("n_active"))
+
+
+def capped(attempts: Column, most: int) -> Column:
+    return attempts > most
+
+
+def deferred(elapsed: Column, budget: Column) -> Column:
+    return elapsed >= budget
+
+
+def total_of(counts: Column, kinds: list[str]) -> Column:
+    """The sum of a map's values over some of its keys."""
+    return F.aggregate(F.array(*(F.coalesce(F.try_element_at(counts, F.lit(k)), F.lit(0)) for k in kinds)), F.lit(0), lambda s, x: s + x)

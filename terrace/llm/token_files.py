@@ -36,7 +36,7 @@ MANIFEST = "first_id long, path string, n_docs long, n_tokens long, width int"
 #: Ids that one call reads back.
 READ_IDS = 4_000_000
 #: Text bytes whose chunks are looked at together.
-LOOK_BYTES = 12_000_000
+LOOK_BYTES = 4_000_000
 
 #: Letters of Latin-1 with marks of ASCII after them: lower-casing maps them one to one, NFC leaves them alone, and
 #: they split between the letters and the marks. Apostrophes are left out, as the split patterns know contractions.

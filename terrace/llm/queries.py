@@ -111,4 +111,33 @@ rejected AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r1 OR r2 AS base_failed,
        NOT (r1 OR r2) AND r.host IS NULL AS kept, f.host, r.host IS NOT NULL AS host_rejected
 FROM f LEFT JOIN rejected r ON f.host = r.host""",
+    "op7_cminhash": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SPACE}+') AS w FROM documents),
+s AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_distinct([array_to_string(list_slice(w, i, i + 4), ' ') FOR i IN range(1, len(w) - 3)])
+                             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS node FROM w UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.node)
+SELECT doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(node) AS component_id, doc_id = min(node) AS kept FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
+    "op8_line_templates": """
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL AND text <> ''),
+l AS (SELECT doc_id, u.i - 1 AS line_no, [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END FOR t IN string_split_regex(ls[u.i], '\\s+') IF t <> ''] AS m FROM d, unnest(range(1, len(ls) + 1)) AS u(i)),
+k AS (SELECT doc_id, line_no, m, len(m) AS n, array_to_string(m, ' ') AS body, len(m) || ' ' || array_to_string(m[1:3], ' ') AS leaf FROM l WHERE len(m) > 0),
+f AS (SELECT leaf, body, any_value(m) AS m, count(DISTINCT doc_id) AS docs FROM k WHERE n BETWEEN 3 AND 40 GROUP BY 1, 2),
+t AS (SELECT leaf, body, docs, u.p AS p, m[u.p] AS token FROM f, unnest(range(1, len(m) + 1)) AS u(p)),
+c AS (SELECT leaf, p, token FROM t GROUP BY 1, 2, 3 HAVING sum(docs) >= 3),
+g AS (
+  SELECT t.leaf, body, count(c.token) AS k, count(*) AS n, string_agg(coalesce(c.token, '<*>'), ' ' ORDER BY t.p) AS template
+  FROM t LEFT JOIN c ON t.leaf = c.leaf AND t.p = c.p AND t.token = c.token GROUP BY 1, 2),
+x AS (SELECT body, leaf || '/' || template AS template FROM g WHERE k < n AND 100 * k >= 70 * n AND leaf IN (SELECT leaf FROM f GROUP BY 1 HAVING count(*) > 1 AND sum(docs) >= 3)),
+y AS (SELECT doc_id, line_no, k.n, coalesce(x.template, 'line ' || k.body) AS template FROM k LEFT JOIN x USING (body)),
+z AS (SELECT template FROM y WHERE n >= 3 GROUP BY 1 HAVING count(DISTINCT doc_id) >= 3),
+o AS (SELECT doc_id, list(line_no) FILTER (n >= 3 AND z.template IS NOT NULL) AS drops, coalesce(sum(n) FILTER (n >= 3 AND z.template IS NOT NULL), 0) AS gone, sum(n) AS total FROM y LEFT JOIN z USING (template) GROUP BY 1),
+q AS (SELECT doc_id, drops FROM o WHERE gone > 0 AND 100 * gone <= 50 * total)
+SELECT a.doc_id, CASE WHEN q.doc_id IS NULL THEN a.text ELSE array_to_string([v FOR v, i IN d.ls IF NOT list_contains(q.drops, i - 1)], chr(10)) END AS text,
+       CASE WHEN d.doc_id IS NULL THEN 0 ELSE len(d.ls) END::BIGINT AS n_lines, coalesce(len(q.drops), 0)::BIGINT AS n_dropped
+FROM documents a LEFT JOIN d USING (doc_id) LEFT JOIN q USING (doc_id)""",
 }

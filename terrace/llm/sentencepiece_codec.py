@@ -162,13 +162,14 @@ def _native(file: str):
     return sentencepiece.SentencePieceProcessor(model_file=file)
 
 
-def encode_documents(docs: DataFrame, model_file: str, threads: int = 2, doc_id: str = "doc_id", text: str = "text", parity_every: int = 20, with_ids: bool = True) -> DataFrame:
+def encode_documents(docs: DataFrame, model_file: str, threads: int = 2, doc_id: str = "doc_id", text: str = "text", parity_every: int = 1, with_ids: bool = True) -> DataFrame:
     """doc_id, ids, n_tokens, ids_crc32, round_trip and parity of each row.
 
     A null text counts as an empty one and has no ids. round_trip: decoding gives the normalised text back; checked for
     every row (text with characters that neither the vocabulary nor byte fallback knows can't pass). parity: the ids
-    equal those of the sentencepiece library; checked for the stated set of rows whose doc_id is divisible by
-    parity_every, null elsewhere; 1 checks every row. ids_crc32: of the ids as little-endian uint32.
+    equal those of the sentencepiece library for the whole text; checked for every row. A caller who asks for a larger
+    parity_every gets it for rows without a doc_id and those whose doc_id it divides, and null elsewhere. ids_crc32: of
+    the ids as little-endian uint32.
     """
     schema = "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean, parity boolean" + ", ids array<int>" * with_ids
 
@@ -176,9 +177,9 @@ def encode_documents(docs: DataFrame, model_file: str, threads: int = 2, doc_id:
         coder = codec(model_file, threads)
         for batch in sliced(batches, "text", LOOK_BYTES):
             flat, starts, back = coder.encode_column(batch.column("text"))
-            keys = pc.fill_null(batch.column("doc_id"), 1).to_numpy(zero_copy_only=False)
+            keys = pc.fill_null(batch.column("doc_id"), 0).to_numpy(zero_copy_only=False)
             parity: list[bool | None] = [None] * batch.num_rows
-            asked = np.flatnonzero((keys % parity_every == 0) & pc.is_valid(batch.column("doc_id")).to_numpy(zero_copy_only=False))
+            asked = np.flatnonzero(keys % parity_every == 0)
             if len(asked):
                 texts = [t or "" for t in batch.column("text").take(pa.array(asked)).to_pylist()]
                 for i, own in zip(asked.tolist(), _native(model_file).encode(texts, num_threads=1)):

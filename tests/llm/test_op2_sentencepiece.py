@@ -24,6 +24,12 @@ def test_every_row_equals_the_library(spark):
     assert back.text.tolist() == plain
 
 
+def test_every_row_is_checked_by_default(spark):
+    docs = spark.createDataFrame([(i, f"text number {i} is here") for i in range(1, 20)] + [(None, "a row without an id"), (None, None)], "doc_id long, text string")
+    rows = sentencepiece_codec.encode_documents(docs, MODEL, with_ids=False).collect()
+    assert len(rows) == 21 and [r.parity for r in rows] == [True] * 21
+
+
 def unigram(path, **normal):
     """A hand-made unigram model with byte fallback."""
     proto = pb.ModelProto()

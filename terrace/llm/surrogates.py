@@ -1,14 +1,15 @@
 """Personal data replaced by keyed surrogates, with SQL functions only.
 
 Mentions are found by one pattern over the whole text: e-mail addresses, secrets (access keys, passwords, tokens), IPv4
-addresses, card numbers, US social security numbers, phone numbers, and names behind a form of address. A mention is
+addresses, card numbers, US social security numbers, phone numbers, and names behind a form of address; keywords and
+forms of address in any case. In capitals, a second word behind a form of address counts as part of the name. A mention is
 made of units: the digits of a number whatever its format, the lower-cased address, each word of a name. Each distinct
 unit of the corpus gets one surrogate, drawn from SHA-256 of the key, the kind, the unit and the attempt. So one person's
 number, address or surname becomes the same one in every document and format, and stays the same with the same key.
 
 Surrogates keep the kind and shape: digits stay digits, letters letters of their case, addresses go under reserved
 example domains, IPv4 addresses into the reserved block (private ones stay private), card numbers keep their length and
-whether their check digit holds, names keep the gender of the form of address and the script (Latin, Cyrillic, Greek).
+whether their check digit holds, names keep the gender of the form of address, their capitals and the script (Latin, Cyrillic, Greek).
 
 A surrogate that another unit of the kind holds, or that is itself a unit of the corpus, is a collision: all but the
 first owner draw again, round by round, until none is left. So different units stay different.
@@ -21,22 +22,31 @@ from pyspark.sql import functions as F
 
 from terrace.llm._spark import fresh, sized_join, written
 
-FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|г-жа|госпожа|κυρία"
-MALE = "Mr|Herr|Monsieur|Señor|Sr|г-н|господин|κύριος"
+#: Forms of address in any case, Greek capitals without accents; small "ms" and "miss" are a unit and a verb.
+FEMALE = "(?iu:Mrs|Frau|Madame|Mme|Señora|Sra|г-жа|госпожа|κυρ[ίι]α)|M[sS]|Miss|MISS"
+MALE = "(?iu:Mr|Herr|Monsieur|Señor|Sr|г-н|господин|κ[ύυ]ριος)"
+KEYWORD = "(?i:password|passwd|pwd|secret|token|api_key|apikey)"
+#: A word of a name, capitalised or in capitals.
+WORD = r"(?:\p{Lu}\p{Ll}{1,24}|\p{Lu}{2,25})"
+IP = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])"
+CARD = r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])"
+SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+_ABROAD, _GROUP = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})", r"(?:[ .-]?[0-9]{2,4})"
 #: Patterns by kind, in the order in which they are tried at a place. Quantifiers are bounded, so that long runs cost no more.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,6}",
     "access_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<=(?:password|passwd|pwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']{0,1})[A-Za-z0-9+/_-]{8,128}",
-    "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])",
-    "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{FEMALE}|{MALE})\.? \p{{Lu}}\p{{Ll}}{{1,24}}(?: \p{{Lu}}\p{{Ll}}{{1,24}})?(?!\p{{L}})",
+    "secret": rf"(?<={KEYWORD}[ ]{{0,2}}[=:][ ]{{0,2}}[\"']{{0,1}})[A-Za-z0-9+/_-]{{8,128}}",
+    "ip": IP,
+    "card": CARD,
+    "ssn": SSN,
+    # A phone number in front of another number ends before it.
+    "phone": rf"(?<![0-9A-Za-z])(?:{_ABROAD}{_GROUP}{{2,4}}?(?= (?:{IP}|{CARD}|{SSN}))|{_ABROAD}{_GROUP}{{2,4}}|\([0-9]{{3}}\) ?[0-9]{{3}}[ .-][0-9]{{4}}|[0-9]{{3}}[.-][0-9]{{3}}[.-][0-9]{{4}})(?![0-9])",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{FEMALE}|{MALE})\.? {WORD}(?: {WORD})?(?!\p{{L}})",
 }
 ANY = "|".join(PATTERNS.values())
 #: What a text must hold for the pattern to be tried at all.
-MAYBE = rf"[0-9@]|(?:password|passwd|pwd|secret|token|api_key|apikey) ?[=:]|(?:{FEMALE}|{MALE})\.? "
+MAYBE = rf"[0-9@]|{KEYWORD} {{0,2}}[=:]|(?:{FEMALE}|{MALE})\.? "
 LOWER, UPPER, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
 #: Consonants, vowels, and endings of female, male and family names by script.
 SOUNDS = {
@@ -55,10 +65,15 @@ def _kind(mention: Column) -> Column:
     return out
 
 
+def _words(mention: Column) -> Column:
+    """The words of a name behind its form of address."""
+    return F.split(F.regexp_extract(mention, rf"^(?:{FEMALE}|{MALE})\.? (.*)$", 1), " ")
+
+
 def _units(kind: Column, mention: Column) -> Column:
     """The units of a mention as an array of (kind, unit)."""
     one = lambda k, u: F.array(F.struct(k.alias("kind"), u.alias("unit")))
-    words = F.split(F.regexp_extract(mention, rf"^(?:{FEMALE}|{MALE})\.? (.*)$", 1), " ")
+    words = _words(mention)
     gender = F.when(F.regexp_like(mention, F.lit(rf"^(?:{FEMALE})\.? ")), "female").otherwise("male")
     script = lambda w: F.when(F.regexp_like(w, F.lit(r"\p{IsCyrillic}")), "cyrillic").when(F.regexp_like(w, F.lit(r"\p{IsGreek}")), "greek").otherwise("latin")
     last = F.size(words) - 1
@@ -163,7 +178,8 @@ def _rendered(kind: Column, mention: Column, surrogates: Column) -> Column:
     place = lambda i: F.length(F.regexp_replace(F.substr(mention, F.lit(1), i + 1), "[^0-9]", ""))
     number = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(F.regexp_like(c, F.lit("[0-9]")), F.substr(digits, place(i), F.lit(1))).otherwise(c)), "")
     title = F.regexp_extract(mention, rf"^((?:{FEMALE}|{MALE})\.? )", 1)
-    return F.when(kind == "name", F.concat(title, F.array_join(F.transform(surrogates, lambda s: F.concat(F.upper(F.substring(s, 1, 1)), F.substr(s, F.lit(2)))), " "))).when(kind.isin("phone", "card", "ssn"), number).otherwise(digits)
+    cased = lambda s, w: F.when(w == F.upper(w), F.upper(s)).otherwise(F.concat(F.upper(F.substring(s, 1, 1)), F.substr(s, F.lit(2))))
+    return F.when(kind == "name", F.concat(title, F.array_join(F.zip_with(surrogates, _words(mention), cased), " "))).when(kind.isin("phone", "card", "ssn"), number).otherwise(digits)
 
 
 def replaced(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -66,3 +66,40 @@ def test_nulls_copies_and_clashing_columns(spark):
     assert len(rows) == 5 and sorted(r._n_entities for r in rows) == [0, 0, 1, 1, 1]
     assert len({r.text for r in rows if r._n_entities}) == 1
     assert surrogates.replaced(docs.limit(0), key="k").count() == 0
+
+
+def test_any_case(spark):
+    out = run(spark, [
+        'TOKEN = "hunter2hunter2"',
+        "Password: correcthorse",
+        "API_KEY=abcdefghijkl and Secret  =  qwertyuiop",
+        "MR SMITH, Mr. Smith, mr Smith",
+        "MRS ANNA SMITH; ΚΥΡΙΑ ΠΑΠΑΔΑΚΗ; Г-Н ПЕТРЕНКО, г-н Петренко",
+        "it took 5 ms. Then we miss Paris",
+    ])
+    assert out[0].startswith('TOKEN = "') and "hunter2" not in out[0]
+    assert out[1].startswith("Password: ") and "correcthorse" not in out[1]
+    assert out[2].startswith("API_KEY=") and "abcdefghijkl" not in out[2] and "qwertyuiop" not in out[2]
+    names = re.fullmatch(r"MR ([A-Z]+), Mr\. ([A-Z][a-z]+), mr ([A-Z][a-z]+)", out[3])
+    assert names and names[1] == names[2].upper() != "SMITH" and names[2] == names[3]
+    others = re.fullmatch(r"MRS ([A-Z]+) ([A-Z]+); ΚΥΡΙΑ ([Α-Ω]+); Г-Н ([А-Я]+), г-н ([А-Я][а-я]+)", out[4])
+    assert others and others[1] != "ANNA" and others[2] == names[1] and others[3] != "ΠΑΠΑΔΑΚΗ" and others[4] == others[5].upper() != "ПЕТРЕНКО"
+    assert out[5] == "it took 5 ms. Then we miss Paris"
+
+
+def test_phone_ends_before_the_next_number(spark):
+    out = run(spark, [
+        "+1 (555) 123-4567 203.110.113.9",
+        "+1 555 4567 203.110.113.9",
+        "+1 (555) 123-4567 4539 1488 0343 6467",
+        "+1 (555) 123-4567 123-45-6789",
+        "+1 (555) 123-4567",
+        "+33 1 42.68.53.10",
+    ])
+    phones = [re.match(r"\+\d \(\d{3}\) \d{3}-\d{4}", out[i]).group() for i in (0, 2, 3, 4)]
+    assert len(set(phones)) == 1 and phones[0] != "+1 (555) 123-4567"
+    ips = [out[i].split()[-1] for i in (0, 1)]
+    assert ips[0] == ips[1] and int(ips[0].split(".")[0]) >= 240 and ips[0].count(".") == 3
+    assert re.fullmatch(r"4\d{3} \d{4} \d{4} \d{4}", out[2][18:]) and luhn(out[2][18:]) and out[2][18:] != "4539 1488 0343 6467"
+    assert re.fullmatch(r"9\d\d-\d\d-\d{4}", out[3][18:])
+    assert re.fullmatch(r"\+\d\d \d \d\d\.\d\d\.\d\d\.\d\d", out[5]) and out[5] != "+33 1 42.68.53.10"

@@ -37,6 +37,30 @@ def loose_key(name: Column, generic: list[str]) -> Column:
     return strict_key(F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), rf"\b(?:{'|'.join(generic)})\b", " "))
 
 
+def suffixless_key(name: Column, generic: list[str]) -> Column:
+    """The strict key without the generic words at the end of the name."""
+    return strict_key(F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), rf"(?:(?<![a-z0-9])(?:{'|'.join(generic)})(?![a-z0-9])[^a-z0-9]*)+$", " "))
+
+
+def chosen_name(left: Column, right: Column, generic: list[str]) -> Column:
+    """The name to show of a pair, null for a side without a record.
+
+    Of equal names the shorter, then the lower; of names of which one holds the other the shorter; else the right one.
+    """
+    a, b = (F.regexp_replace(c, r"(?U)^\s+|\s+$", "") for c in (left, right))
+    x, y = strict_key(a), strict_key(b)
+    equal = (x == y) | (suffixless_key(a, generic) == suffixless_key(b, generic))
+    least = F.when(F.struct(F.length(b), F.lower(b)) < F.struct(F.length(a), F.lower(a)), b).otherwise(a)
+    holds = (x != "") & (y != "") & F.when(F.length(y) < F.length(x), F.contains(x, y)).otherwise(F.contains(y, x))
+    shorter = F.when(F.length(b) < F.length(a), b).otherwise(a)
+    return F.when(right.isNull(), left).when(left.isNull(), right).when(equal, least).when(holds, shorter).otherwise(right)
+
+
+def chosen_filled(left: Column, right: Column) -> Column:
+    """The symbol or id of a pair: the right side's unless it is null or empty."""
+    return F.coalesce(F.nullif(right, F.lit("")), left, right)
+
+
 def url_host(url: Column) -> Column:
     """The authority as written, port and user included; without one, the path up to its first slash."""
     whole = F.trim(F.coalesce(url, F.lit("")))

@@ -12,15 +12,28 @@ def unique_pairs(left: DataFrame, right: DataFrame, keys: list[str], method: str
     return one(left, "left").join(one(right, "right"), keys).select("left_id", "right_id", F.lit(method).alias("match_method"))
 
 
-def tiered(left: DataFrame, right: DataFrame, exact: list[str], tiers: list[tuple[str, list[str]]]) -> DataFrame:
+def override_pairs(left: DataFrame, right: DataFrame, overrides: DataFrame, method: str = "manual_override") -> DataFrame:
+    """left_id, right_id and match_method of the listed pairs of which both records are there.
+
+    overrides: left_id, right_id and place, one row for each left_id; of several pairs with one right_id the first counts.
+    """
+    there = overrides.join(left.select("left_id"), "left_id", "left_semi").join(right.select("right_id"), "right_id", "left_semi")
+    return there.groupBy("right_id").agg(F.min_by("left_id", F.struct("place", "left_id")).alias("left_id")).select("left_id", "right_id", F.lit(method).alias("match_method"))
+
+
+def tiered(left: DataFrame, right: DataFrame, exact: list[str], tiers: list[tuple[str, list[str]]], overrides: DataFrame | None = None) -> DataFrame:
     """left_id, right_id and match_method of every record.
 
-    exact: columns that name the same record; then the tiers (method, keys) in order; then what is left on each side.
+    exact: columns that name the same record; then the tiers (method, keys) in order; then the overrides of records that
+    are still unused; then what is left on each side.
     """
     pairs = left.join(right.select("right_id", *exact), exact).select("left_id", "right_id", F.lit("exact").alias("match_method"))
     for method, keys in tiers:
         rest_left, rest_right = left.join(pairs, "left_id", "left_anti"), right.join(pairs, "right_id", "left_anti")
         pairs = pairs.unionByName(unique_pairs(rest_left, rest_right, keys, method))
+    if overrides is not None:
+        rest_left, rest_right = left.join(pairs, "left_id", "left_anti"), right.join(pairs, "right_id", "left_anti")
+        pairs = pairs.unionByName(override_pairs(rest_left, rest_right, overrides))
     only_left = left.join(pairs, "left_id", "left_anti").select("left_id", F.lit(None).cast("long").alias("right_id"), F.lit("left_only").alias("match_method"))
     only_right = right.join(pairs, "right_id", "left_anti").select(F.lit(None).cast("long").alias("left_id"), "right_id", F.lit("right_only").alias("match_method"))
     return pairs.unionByName(only_left).unionByName(only_right)

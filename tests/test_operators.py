@@ -58,6 +58,25 @@ def test_tiers(spark):
     assert out == {(1, 11, "exact"), (4, 13, "same"), (2, None, "left_only"), (3, None, "left_only"), (5, None, "left_only"), (None, 12, "right_only"), (None, 14, "right_only")}
 
 
+def test_overrides_link_what_is_still_unused(spark):
+    left = spark.createDataFrame([(1, "s1", "a"), (2, "s2", "b"), (3, "s3", "c"), (4, "s4", "d")], "left_id long, slug string, name string")
+    right = spark.createDataFrame([(11, "s1", "x"), (12, "t2", "y"), (13, "t3", "z")], "right_id long, slug string, name string")
+    # Used by the exact tier; the first of two for one record; no such record.
+    overrides = spark.createDataFrame([(1, 13, 0), (3, 12, 1), (2, 12, 2), (4, 99, 3)], "left_id long, right_id long, place int")
+    out = {(r.left_id, r.right_id, r.match_method) for r in match.tiered(left, right, ["slug"], [("same", ["name"])], overrides).collect()}
+    assert out == {(1, 11, "exact"), (3, 12, "manual_override"), (2, None, "left_only"), (4, None, "left_only"), (None, 13, "right_only")}
+
+
+def test_choosers(spark):
+    rows = [("Ring Alpha", "ring-alpha "), ("Alpha Coin", "Alpha"), ("Alpha", "Alphabet Two"), ("One", "Two"), ("One", None), (None, "Two"), ("", "Two"), ("One", "")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a string, b string").orderBy("i")
+    a, b = F.col("a"), F.col("b")
+    assert [r[0] for r in df.select(text.chosen_name(a, b, ["coin", "ring"])).collect()] == ["Ring Alpha", "Alpha", "Alpha", "Two", "One", "Two", "Two", ""]
+    assert [r[0] for r in df.select(text.chosen_filled(a, b)).collect()] == ["ring-alpha ", "Alpha", "Alphabet Two", "Two", "One", "Two", "Two", "One"]
+    names = spark.createDataFrame([(0, "ring alpha"), (1, "alpha ring, Coin!"), (2, "coin"), (3, "goldcoin"), (4, None)], "i int, a string").orderBy("i")
+    assert [r[0] for r in names.select(text.suffixless_key(a, ["coin", "ring"])).collect()] == ["ringalpha", "alpha", "", "goldcoin", ""]
+
+
 def test_fold_keeps_first_seen_order(spark):
     rel = spark.createDataFrame([(1, "b", 1), (1, "a", 2), (1, "b", 3), (None, "x", 4), (2, " ", 5)], "k long, v string, at long")
     ents = spark.createDataFrame([(1,), (2,)], "k long")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -21,19 +22,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="terrace-"))
-    return context.getCheckpointDir().rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where that is unset, a local session gets a temporary folder; on a cluster executors wouldn't see it, so that is an
+    error there.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        named = tempfile.mkdtemp(prefix="terrace-")
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system; both are Hadoop's, as only that reaches every store that Spark writes to."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def run_dir(spark: SparkSession) -> str:
+    """This application's folder in the shared one. It goes when the application ends, as results may be read until then."""
+    path = f"{shared_dir(spark)}/terrace-{spark.sparkContext.applicationId}"
+    if path not in _RUNS:
+        _RUNS.add(path)
+        folder, fs = _hadoop_path(spark, path)
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
+    return path
+
+
+_RUNS: set[str] = set()
+_SCOPES: list[str] = []
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession):
+    """What is written inside goes at the end; for steps whose result is written before that."""
+    path = f"{run_dir(spark)}/step-{uuid.uuid4().hex}"
+    _SCOPES.append(path)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(path)
+        folder, fs = _hadoop_path(spark, path)
+        fs.delete(folder, True)
 
 
 def scratch(spark: SparkSession, kind: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    return f"{_SCOPES[-1] if _SCOPES else run_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, kind: str) -> DataFrame:
@@ -68,9 +107,9 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYT
             at = to
 
 
-def text_key(column) -> F.Column:
-    """128 bits that stand for a text: two hashes with different seeds."""
-    return F.struct(F.xxhash64(column).alias("a"), F.xxhash64(F.lit(0x5BD1E995), column).alias("b"))
+def row_key(*columns: str) -> F.Column:
+    """128 bits that stand for the values of some columns; 64 are too few for the rows of a large corpus."""
+    return F.unhex(F.md5(F.concat_ws("\x1f", *(F.col(c).cast("string") for c in columns))))
 
 
 def spread(flat: np.ndarray, sizes: np.ndarray, use: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,19 +129,35 @@ def runs(words: list[str], size: int = 2000) -> list[list[str]]:
     return [words[i : i + size] for i in range(0, len(words), size)]
 
 
-#: Ids that are sent to every executor: 8 bytes each, so that a broadcast holds some 32 MB at most.
-BROADCAST_IDS = 2_000_000
+#: Bytes of the files of a table that is sent to every executor.
+BROADCAST_BYTES = 32_000_000
 
 
-def id_filter(rows: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
-    """rows with (left_semi) or without (left_anti) the keys in ids, a written table of one column.
+def file_bytes(side: DataFrame) -> int:
+    """Bytes of the folders that a written table is read from; no job runs for it."""
+    spark = side.sparkSession
+    folders = {f.rpartition("/")[0] for f in side.inputFiles()}
+    return sum(fs.getContentSummary(path).getLength() for path, fs in (_hadoop_path(spark, f) for f in folders))
 
-    Few ids are broadcast, so that wide rows stay where they are; with more than BROADCAST_IDS both sides are shuffled.
-    """
-    few = ids.count() <= BROADCAST_IDS
-    return rows.join(F.broadcast(ids) if few else ids, key, how)
+
+def sized_join(rows: DataFrame, side: DataFrame, on: list[str] | str, how: str) -> DataFrame:
+    """A join with a written table: broadcast while its files have at most BROADCAST_BYTES, else both sides are shuffled."""
+    return rows.join(F.broadcast(side) if file_bytes(side) <= BROADCAST_BYTES else side, on, how)
+
+
+def id_filter(rows: DataFrame, ids: DataFrame, key: list[str] | str, how: str) -> DataFrame:
+    """rows with (left_semi) or without (left_anti) the keys in ids, a written table."""
+    return sized_join(rows, ids, key, how)
+
+
+#: Parts into which the rows of one key are dealt.
+SALTS = 32
 
 
-def sized_join(rows: DataFrame, side: DataFrame, on: list[str] | str, how: str, most: int = 400_000) -> DataFrame:
-    """A join with a written table of narrow rows: broadcast while it has at most `most` rows, else both are shuffled."""
-    return rows.join(F.broadcast(side) if side.count() <= most else side, on, how)
+def salted_join(rows: DataFrame, side: DataFrame, on: list[str], how: str, by: list[str]) -> DataFrame:
+    """A join whose rows of one key are dealt to SALTS tasks by the hash of columns `by`; side has few rows for a key."""
+    if file_bytes(side) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(side), on, how)
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"))
+    copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(copies, [*on, "_salt"], how).drop("_salt")

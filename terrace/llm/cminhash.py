@@ -105,13 +105,14 @@ def signature(shingles: np.ndarray, size: int = BANDS * ROWS) -> np.ndarray:
     return best
 
 
-def band_keys(signatures: np.ndarray) -> np.ndarray:
-    """One 64-bit key for each band; bands never share keys but by chance."""
-    rows = signatures.reshape(-1, BANDS, ROWS).astype(_U64)
-    return _mix64((rows * _FACTORS[:ROWS]).sum(axis=2, dtype=_U64) + np.arange(1, BANDS + 1, dtype=_U64) * _FACTORS[7]).astype(np.int64)
+def band_keys(signatures: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """One 64-bit key for each band of so many rows; bands never share keys but by chance."""
+    bands = signatures.shape[1] // rows
+    parts = signatures[:, : bands * rows].reshape(-1, bands, rows).astype(_U64)
+    return _mix64((parts * _FACTORS[:rows]).sum(axis=2, dtype=_U64) + np.arange(1, bands + 1, dtype=_U64) * _FACTORS[7]).astype(np.int64)
 
 
-def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: int = ROWS) -> DataFrame:
     """doc_id, a 128-bit key of the word sequence, n_shingles, band keys and sketch (null without words) of each row."""
     schema = "doc_id long, key_a long, key_b long, n_shingles long, bands array<long>, sketch binary"
 
@@ -129,7 +130,8 @@ def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
             some = np.array(sizes) > 0
             every = np.array(signatures, _U32).reshape(-1, BANDS * ROWS)
             at = np.concatenate([[0], np.cumsum(some)]).astype(np.int32)
-            bands = pa.ListArray.from_arrays(pa.array(at * BANDS, pa.int32()), pa.array(band_keys(every).ravel()))
+            keyed = band_keys(every, rows)
+            bands = pa.ListArray.from_arrays(pa.array(at * keyed.shape[1], pa.int32()), pa.array(keyed.ravel()))
             sketches = iter([row.tobytes() for row in every[:, :SKETCH].astype(np.uint8)])
             both = np.array(keys, _U64).reshape(-1, 2).astype(np.int64)
             yield pa.RecordBatch.from_pydict(
@@ -251,14 +253,14 @@ def joining_pairs(rows: DataFrame, least_equal: int, percent: int) -> DataFrame:
     return _blocks(rows).mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each row.
+def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id", text: str = "text", rows: int = ROWS) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of each row; links reach percent, and share a band of so many rows.
 
     component_id: the least doc_id that is reachable over links; kept: doc_id is that one. Rows without words are
     linked with nothing. Rows of one doc_id count as one node; rows without doc_id have no component_id and are kept.
     An empty table gives no rows.
     """
-    base = written(signed(docs, doc_id, text), "signed")
+    base = written(signed(docs, doc_id, text, rows), "signed")
     usable = base.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     nodes = written(usable.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
     placed = nodes.select("node", F.explode("bands").alias("bucket"))
@@ -288,10 +290,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
             labels = components(links)
 
     linked(best_partners(open_members(), least))
-    rows = written(open_members(), "open")
-    if not rows.isEmpty():
-        wanted = written(rows.select(F.col("node").alias("doc_id")).distinct(), "ids")
-        linked(joining_pairs(rows.join(short_sets(id_filter(texts, wanted, "doc_id", "left_semi")), "node"), least, percent))
+    still = written(open_members(), "open")
+    if not still.isEmpty():
+        wanted = written(still.select(F.col("node").alias("doc_id")).distinct(), "ids")
+        linked(joining_pairs(still.join(short_sets(id_filter(texts, wanted, "doc_id", "left_semi")), "node"), least, percent))
 
     named = nodes.join(labels, "node", "left").select("key_a", "key_b", F.coalesce("component", "node").alias("component"))
     found = base.select("doc_id", "key_a", "key_b", "n_shingles").join(named, ["key_a", "key_b"], "left")

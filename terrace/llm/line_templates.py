@@ -3,48 +3,58 @@
 A line is parsed into tokens between white space; tokens with a digit are variable fields from the start. The tree
 sends it down by its number of tokens and its LEADS first tokens. Within a leaf, a token is constant at its place if
 lines of MIN_DOCS documents have it there, and else a variable field; where enough of a line is constant, the line's
-template is what stays. Other lines are their own template, as are lines of more than MAX_TOKENS tokens, which no
-program fills in field by field, and those of fewer than MIN_TOKENS never count.
+template is what stays. Other lines are their own template. Lines of any length take part.
 
-A template that MIN_DOCS documents hold is recurring, and its lines are dropped wherever they stand. A document most of
-whose words would go is left whole: it is a copy, which document dedup has to judge, and not prose around boilerplate.
+A template that MIN_DOCS documents hold is recurring, and its lines are dropped wherever they stand, whatever share of
+a document that is. Copies of one document count as one: documents with COPY_PERCENT of their tokens in recurring lines
+are grouped by the Jaccard similarity of their five-word shingles, and a group counts once for each of its templates.
+So what only the copies of a text share stays for document dedup to judge, and boilerplate goes from copies as well.
 
 The tree's counts are sums by (leaf, place, token), so that they don't depend on the order of lines, and no leaf is
-gathered anywhere: only lines of leaves that hold different lines are taken apart.
+gathered anywhere: only lines of leaves that hold different lines are taken apart, and hot leaves are dealt by line.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import md5
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm._spark import fresh, sized_join, sliced, written
+from terrace.llm._spark import fresh, id_filter, row_key, salted_join, sized_join, sliced, written
+from terrace.llm.cminhash import near_duplicates
 
 MIN_DOCS = 3
 LEADS = 3
-MIN_TOKENS, MAX_TOKENS = 3, 40
 #: Share of a line's tokens that must be constant, in hundredths.
 LEAST_CONSTANT = 70
-#: Share of a document's tokens that may go, in hundredths.
-MOST_DROPPED = 50
+#: Share of a document's tokens in recurring lines from which it may be a copy, and similarity of copies, in hundredths.
+COPY_PERCENT = 50
+#: Rows of a band in the search for copies: at that similarity two share no band of three rows with probability 8e-4.
+COPY_ROWS = 3
 FIELD = "<*>"
-_DIGIT = re.compile(r"\d")
+#: Lines of a task whose text is not written again.
+REMEMBERED = 200_000
+_DIGIT = re.compile(r"[0-9]")
 
 
 def parsed(docs: DataFrame, row: str, text: str) -> DataFrame:
-    """One row for each line with tokens: row, line_no, n_tokens, masked and leaf hashes, and the masked line if it is short."""
-    schema = "row long, line_no int, n_tokens int, masked long, leaf long, body string"
+    """One row for each line with tokens: row, line_no, n_tokens, hashes of the masked line and its leaf, and the line.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_64_intdigest as digest
+    body is null where the task has put out the same masked line before, so that a line of a third of all rows is one
+    text for each task.
+    """
+    schema = "row binary, line_no int, n_tokens int, masked binary, leaf binary, body string"
 
-        signed = lambda x: x - (1 << 64) if x >> 63 else x
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in sliced(batches, "text"):
             rows, numbers, counts, masked, leaves, bodies = [], [], [], [], [], []
+            if len(seen) > REMEMBERED:
+                seen.clear()
             for key, t in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist()):
                 for i, line in enumerate(t.split("\n") if t else ()):
                     tokens = line.split()
@@ -54,15 +64,16 @@ def parsed(docs: DataFrame, row: str, text: str) -> DataFrame:
                     if _DIGIT.search(line):
                         tokens = [FIELD if _DIGIT.search(x) else x for x in tokens]
                     body = " ".join(tokens)
-                    short = MIN_TOKENS <= n <= MAX_TOKENS
+                    name = md5(body.encode()).digest()
                     rows.append(key)
                     numbers.append(i)
                     counts.append(n)
-                    masked.append(signed(digest(body)))
-                    leaves.append(signed(digest(f"{n} {' '.join(tokens[:LEADS])}")) if short else None)
-                    bodies.append(body if short else None)
+                    masked.append(name)
+                    leaves.append(md5(f"{n} {' '.join(tokens[:LEADS])}".encode()).digest())
+                    bodies.append(None if name in seen else body)
+                    seen.add(name)
             yield pa.RecordBatch.from_pydict(
-                {"row": pa.array(rows, pa.int64()), "line_no": pa.array(numbers, pa.int32()), "n_tokens": pa.array(counts, pa.int32()), "masked": pa.array(masked, pa.int64()), "leaf": pa.array(leaves, pa.int64()), "body": pa.array(bodies, pa.string())}
+                {"row": pa.array(rows, pa.binary()), "line_no": pa.array(numbers, pa.int32()), "n_tokens": pa.array(counts, pa.int32()), "masked": pa.array(masked, pa.binary()), "leaf": pa.array(leaves, pa.binary()), "body": pa.array(bodies, pa.string())}
             )
 
     return docs.select(F.col(row).alias("row"), F.col(text).alias("text")).mapInArrow(run, schema)
@@ -70,39 +81,59 @@ def parsed(docs: DataFrame, row: str, text: str) -> DataFrame:
 
 def generalised(lines: DataFrame) -> DataFrame:
     """masked and template of each line whose template has variable fields beyond those with digits."""
-    short = lines.where("leaf IS NOT NULL")
-    leaves = short.groupBy("leaf").agg(F.min("masked").alias("least"), F.max("masked").alias("most"), F.count(F.lit(1)).alias("n")).where(f"least <> most AND n >= {MIN_DOCS}").select("leaf")
-    own = short.join(leaves, "leaf", "left_semi").groupBy("leaf", "masked", "row").agg(F.first("body").alias("body"))
-    forms = written(own.groupBy("leaf", "masked").agg(F.first("body").alias("body"), F.count(F.lit(1)).alias("docs")), "forms")
-    tokens = forms.select("leaf", "masked", "docs", F.posexplode(F.split("body", " ")).alias("place", "token"))
-    constant = tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("n")).where(f"n >= {MIN_DOCS}").select("leaf", "place", "token", F.lit(True).alias("constant"))
-    marked = tokens.join(constant, ["leaf", "place", "token"], "left").withColumn("kept", F.coalesce("constant", F.lit(False)))
-    # At most MAX_TOKENS tokens meet in one row.
+    forms = written(lines.select("leaf", "masked", "row").distinct().groupBy("leaf", "masked").agg(F.count(F.lit(1)).alias("docs")), "forms")
+    leaves = written(forms.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum("docs").alias("d")).where(f"n > 1 AND d >= {MIN_DOCS}").select("leaf"), "leaves")
+    wanted = written(salted_join(forms, leaves, ["leaf"], "left_semi", ["masked"]), "wanted")
+    texts = sized_join(lines.where("body IS NOT NULL").select("masked", "body"), wanted.select("masked"), "masked", "left_semi")
+    bodies = texts.groupBy("masked").agg(F.first("body").alias("body"))
+    tokens = wanted.join(bodies, "masked").select("leaf", "masked", "docs", F.posexplode(F.split("body", " ")).alias("place", "token"))
+    constant = written(tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("n")).where(f"n >= {MIN_DOCS}").select("leaf", "place", "token", F.lit(True).alias("constant")), "constant")
+    marked = salted_join(tokens, constant, ["leaf", "place", "token"], "left", ["masked"]).withColumn("kept", F.coalesce("constant", F.lit(False)))
+    # The tokens of one line meet in one row.
     built = marked.groupBy("leaf", "masked").agg(F.count_if("kept").alias("k"), F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.struct("place", F.when(F.col("kept"), F.col("token")).otherwise(FIELD).alias("token")))).alias("tokens"))
-    return built.where(f"k < n AND 100 * k >= {LEAST_CONSTANT} * n").select("masked", F.xxhash64("leaf", F.col("tokens.token")).alias("template"))
+    template = F.unhex(F.md5(F.concat(F.lower(F.hex("leaf")), F.lit("/"), F.array_join("tokens.token", " "))))
+    return built.where(f"k < n AND 100 * k >= {LEAST_CONSTANT} * n").select("masked", template.alias("template"))
+
+
+def recurring_templates(named: DataFrame) -> DataFrame:
+    """template of each that MIN_DOCS documents hold, of rows of template and row."""
+    held = named.select("template", "row").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("docs"))
+    return written(held.where(f"docs >= {MIN_DOCS}").select("template"), "recurring")
+
+
+def copies(keyed: DataFrame, row: str, text: str, named: DataFrame, recurring: DataFrame) -> DataFrame:
+    """row and label of each document that may be a copy: those of one group of copies have one label."""
+    flagged = sized_join(named, recurring.withColumn("again", F.lit(True)), "template", "left")
+    shares = flagged.groupBy("row").agg(F.sum(F.when(F.col("again"), F.col("n_tokens")).otherwise(0)).alias("gone"), F.sum("n_tokens").alias("total"))
+    heavy = written(shares.where(f"100 * gone >= {COPY_PERCENT} * total").select("row"), "heavy")
+    texts = id_filter(keyed.select(F.col(row).alias("row"), F.col(text).alias("text")), heavy, "row", "left_semi")
+    texts = written(texts.groupBy("row").agg(F.first("text").alias("text")).withColumn("doc_id", F.monotonically_increasing_id()), "heavy-texts")
+    groups = near_duplicates(texts, percent=COPY_PERCENT, rows=COPY_ROWS).select("doc_id", "component_id")
+    return texts.select("row", "doc_id").join(groups, "doc_id").select("row", F.concat(F.lit("copies of "), F.col("component_id").cast("string")).cast("binary").alias("label"))
 
 
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def deduplicated(docs: DataFrame, min_tokens: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with its own columns, where text has lost its recurring lines, and two more: n_lines and n_dropped.
 
-    The names of the two get underscores in front if docs has them already. A null text stays null with no lines, an
-    empty one stays empty. Rows that agree in doc_id and text count once and are all returned. An empty table gives
-    no rows.
+    Lines of fewer than min_tokens tokens never count; by default every line with a token does. The names of the two
+    columns get underscores in front if docs has them already. A null text stays null with no lines, an empty one stays
+    empty. Rows that agree in doc_id and text count once and are all returned; rows without doc_id are taken apart by
+    their texts. Very long lines are parsed like others. An empty table gives no rows.
     """
     key, drops, n_lines, n_dropped = fresh(docs, "row_key", "drops", "n_lines", "n_dropped")
-    keyed = docs.withColumn(key, F.xxhash64(F.col(doc_id), F.col(text)))
+    keyed = docs.withColumn(key, row_key(doc_id, text))
     lines = written(parsed(keyed, key, text), "lines")
     general = written(generalised(lines), "templates")
-    named = sized_join(lines.where(f"n_tokens >= {MIN_TOKENS}").select("row", "line_no", "masked"), general, "masked", "left").select("row", "line_no", F.coalesce("template", "masked").alias("template"))
-    recurring = written(named.select("template", "row").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("docs")).where(f"docs >= {MIN_DOCS}").select("template"), "recurring")
-    flagged = sized_join(named, recurring, "template", "left_semi").select("row", "line_no", F.lit(True).alias("flagged"))
-    marked = lines.select("row", "line_no", "n_tokens", F.lit(False).alias("flagged")).unionByName(flagged.withColumn("n_tokens", F.lit(0)))
-    # One row gathers one document's lines: those of repeated rows fall together first.
-    once = marked.groupBy("row", "line_no").agg(F.max("n_tokens").alias("n_tokens"), F.max("flagged").alias("flagged"))
-    gone = F.sum(F.when(F.col("flagged"), F.col("n_tokens")).otherwise(0))
-    lists = once.groupBy(F.col("row").alias(key)).agg(F.collect_list(F.when(F.col("flagged"), F.col("line_no"))).alias(drops), gone.alias("gone"), F.sum("n_tokens").alias("total"))
-    lists = written(lists.where(f"gone > 0 AND 100 * gone <= {MOST_DROPPED} * total").select(key, drops), "drops")
-    joined = sized_join(keyed, lists, key, "left")
+    plain = lines.select("row", "line_no", "n_tokens", "masked")
+    named = sized_join(plain, general, "masked", "left").select("row", "line_no", "n_tokens", F.coalesce("template", "masked").alias("template"))
+    counted = named.where(F.col("n_tokens") >= min_tokens)
+    recurring = recurring_templates(counted)
+    labels = written(copies(keyed, key, text, counted, recurring), "labels")
+    again = sized_join(counted, recurring, "template", "left_semi").select("template", "row")
+    final = recurring_templates(sized_join(again, labels, "row", "left").select("template", F.coalesce("label", "row").alias("row")))
+    # One row gathers the line numbers of one document.
+    lists = sized_join(counted, final, "template", "left_semi").groupBy(F.col("row").alias(key)).agg(F.collect_set("line_no").alias(drops))
+    joined = sized_join(keyed, written(lists, "drops"), key, "left")
     split = F.split(F.col(text), "\n", -1)
     kept = F.when(F.col(drops).isNull(), F.col(text)).otherwise(F.array_join(F.filter(split, lambda _, i: ~F.array_contains(drops, i)), "\n"))
     count = F.when(F.col(text).isNull() | (F.col(text) == ""), F.lit(0)).otherwise(F.length(F.col(text)) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1)

@@ -123,21 +123,32 @@ e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
 r AS (SELECT doc_id, doc_id AS node FROM w UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.node)
 SELECT doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(node) AS component_id, doc_id = min(node) AS kept FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
     "op8_line_templates": """
-WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL AND text <> ''),
-l AS (SELECT doc_id, u.i - 1 AS line_no, [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END FOR t IN string_split_regex(ls[u.i], '\\s+') IF t <> ''] AS m FROM d, unnest(range(1, len(ls) + 1)) AS u(i)),
-k AS (SELECT doc_id, line_no, m, len(m) AS n, array_to_string(m, ' ') AS body, len(m) || ' ' || array_to_string(m[1:3], ' ') AS leaf FROM l WHERE len(m) > 0),
-f AS (SELECT leaf, body, any_value(m) AS m, count(DISTINCT doc_id) AS docs FROM k WHERE n BETWEEN 3 AND 40 GROUP BY 1, 2),
-t AS (SELECT leaf, body, docs, u.p AS p, m[u.p] AS token FROM f, unnest(range(1, len(m) + 1)) AS u(p)),
+WITH RECURSIVE d AS (SELECT doc_id, text, md5(concat_ws(chr(31), doc_id::VARCHAR, text)) AS id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL AND text <> ''),
+l AS (SELECT id, u.i - 1 AS line_no, [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END FOR t IN string_split_regex(ls[u.i], '\\s+') IF t <> ''] AS m FROM d, unnest(range(1, len(ls) + 1)) AS u(i)),
+k AS (SELECT id, line_no, m, len(m) AS n, md5(array_to_string(m, ' ')) AS masked, md5(len(m) || ' ' || array_to_string(m[1:3], ' ')) AS leaf FROM l WHERE len(m) > 0),
+f AS (SELECT leaf, masked, any_value(m) AS m, count(DISTINCT id) AS docs FROM k GROUP BY 1, 2),
+t AS (SELECT leaf, masked, docs, u.p AS p, m[u.p] AS token FROM f, unnest(range(1, len(m) + 1)) AS u(p) WHERE leaf IN (SELECT leaf FROM f GROUP BY 1 HAVING count(*) > 1 AND sum(docs) >= 3)),
 c AS (SELECT leaf, p, token FROM t GROUP BY 1, 2, 3 HAVING sum(docs) >= 3),
 g AS (
-  SELECT t.leaf, body, count(c.token) AS k, count(*) AS n, string_agg(coalesce(c.token, '<*>'), ' ' ORDER BY t.p) AS template
+  SELECT t.leaf, masked, count(c.token) AS k, count(*) AS n, string_agg(coalesce(c.token, '<*>'), ' ' ORDER BY t.p) AS template
   FROM t LEFT JOIN c ON t.leaf = c.leaf AND t.p = c.p AND t.token = c.token GROUP BY 1, 2),
-x AS (SELECT body, leaf || '/' || template AS template FROM g WHERE k < n AND 100 * k >= 70 * n AND leaf IN (SELECT leaf FROM f GROUP BY 1 HAVING count(*) > 1 AND sum(docs) >= 3)),
-y AS (SELECT doc_id, line_no, k.n, coalesce(x.template, 'line ' || k.body) AS template FROM k LEFT JOIN x USING (body)),
-z AS (SELECT template FROM y WHERE n >= 3 GROUP BY 1 HAVING count(DISTINCT doc_id) >= 3),
-o AS (SELECT doc_id, list(line_no) FILTER (n >= 3 AND z.template IS NOT NULL) AS drops, coalesce(sum(n) FILTER (n >= 3 AND z.template IS NOT NULL), 0) AS gone, sum(n) AS total FROM y LEFT JOIN z USING (template) GROUP BY 1),
-q AS (SELECT doc_id, drops FROM o WHERE gone > 0 AND 100 * gone <= 50 * total)
-SELECT a.doc_id, CASE WHEN q.doc_id IS NULL THEN a.text ELSE array_to_string([v FOR v, i IN d.ls IF NOT list_contains(q.drops, i - 1)], chr(10)) END AS text,
-       CASE WHEN d.doc_id IS NULL THEN 0 ELSE len(d.ls) END::BIGINT AS n_lines, coalesce(len(q.drops), 0)::BIGINT AS n_dropped
-FROM documents a LEFT JOIN d USING (doc_id) LEFT JOIN q USING (doc_id)""",
+x AS (SELECT masked, md5(leaf || '/' || template) AS template FROM g WHERE k < n AND 100 * k >= 70 * n),
+y AS (SELECT id, line_no, k.n, coalesce(x.template, masked) AS template FROM k LEFT JOIN x USING (masked)),
+z AS (SELECT template FROM y GROUP BY 1 HAVING count(DISTINCT id) >= 3),
+h AS (SELECT id FROM y LEFT JOIN z USING (template) GROUP BY 1 HAVING 100 * coalesce(sum(n) FILTER (z.template IS NOT NULL), 0) >= 50 * sum(n)),
+v AS (SELECT DISTINCT id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM d JOIN h USING (id)),
+s AS (
+  SELECT id, unnest(CASE WHEN len(w) >= 5 THEN list_distinct([array_to_string(list_slice(w, i, i + 4), ' ') FOR i IN range(1, len(w) - 3)])
+                         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS g FROM v),
+b AS (SELECT id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT s.id AS i, o.id AS j, count(*) AS c FROM s JOIN s o ON s.g = o.g AND s.id < o.id GROUP BY 1, 2),
+e AS (SELECT i, j FROM p JOIN b x ON x.id = i JOIN b y ON y.id = j WHERE 100 * c >= 50 * (x.n + y.n - c)),
+n AS (SELECT i, j FROM e UNION ALL SELECT j, i FROM e),
+a AS (SELECT id, id AS node FROM h UNION SELECT a.id, n.j FROM a JOIN n ON n.i = a.node),
+r AS (SELECT id, min(node) AS label FROM a GROUP BY 1),
+w AS (SELECT template FROM y JOIN z USING (template) LEFT JOIN r USING (id) GROUP BY 1 HAVING count(DISTINCT coalesce(label, id)) >= 3),
+q AS (SELECT id, list(DISTINCT line_no) AS drops FROM y JOIN w USING (template) GROUP BY 1)
+SELECT a.doc_id, CASE WHEN q.id IS NULL THEN a.text ELSE array_to_string([v FOR v, i IN string_split(a.text, chr(10)) IF NOT list_contains(q.drops, i - 1)], chr(10)) END AS text,
+       CASE WHEN a.text IS NULL OR a.text = '' THEN 0 ELSE len(string_split(a.text, chr(10))) END::BIGINT AS n_lines, coalesce(len(q.drops), 0)::BIGINT AS n_dropped
+FROM documents a LEFT JOIN q ON q.id = md5(concat_ws(chr(31), a.doc_id::VARCHAR, a.text))""",
 }

@@ -253,9 +253,12 @@ def joining_pairs(rows: DataFrame, least_equal: int, percent: int) -> DataFrame:
     return _blocks(rows).mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id", text: str = "text", rows: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id", text: str = "text", rows: int = ROWS, blocks: bool = True) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row; links reach percent, and share a band of so many rows.
 
+    Without blocks, members of a bucket are compared with its least node only: enough to tell groups of copies, which
+    resemble each other all around, and cheaper.
+
     component_id: the least doc_id that is reachable over links; kept: doc_id is that one. Rows without words are
     linked with nothing. Rows of one doc_id count as one node; rows without doc_id have no component_id and are kept.
     An empty table gives no rows.
@@ -289,9 +292,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
             tested = tested.unionByName(more)
             labels = components(links)
 
-    linked(best_partners(open_members(), least))
-    still = written(open_members(), "open")
-    if not still.isEmpty():
+    if blocks:
+        linked(best_partners(open_members(), least))
+    still = written(open_members(), "open") if blocks else None
+    if blocks and not still.isEmpty():
         wanted = written(still.select(F.col("node").alias("doc_id")).distinct(), "ids")
         linked(joining_pairs(still.join(short_sets(id_filter(texts, wanted, "doc_id", "left_semi")), "node"), least, percent))
 

@@ -108,7 +108,7 @@ def copies(keyed: DataFrame, row: str, text: str, named: DataFrame, recurring: D
     heavy = written(shares.where(f"100 * gone >= {COPY_PERCENT} * total").select("row"), "heavy")
     texts = id_filter(keyed.select(F.col(row).alias("row"), F.col(text).alias("text")), heavy, "row", "left_semi")
     texts = written(texts.groupBy("row").agg(F.first("text").alias("text")).withColumn("doc_id", F.monotonically_increasing_id()), "heavy-texts")
-    groups = near_duplicates(texts, percent=COPY_PERCENT, rows=COPY_ROWS).select("doc_id", "component_id")
+    groups = near_duplicates(texts, percent=COPY_PERCENT, rows=COPY_ROWS, blocks=False).select("doc_id", "component_id")
     return texts.select("row", "doc_id").join(groups, "doc_id").select("row", F.concat(F.lit("copies of "), F.col("component_id").cast("string")).cast("binary").alias("label"))
 
 

@@ -8,19 +8,26 @@ unit of the corpus gets one surrogate, drawn from SHA-256 of the key, the kind,
 number, address or surname becomes the same one in every document and format, and stays the same with the same key.
 
 Surrogates keep the kind and shape: digits stay digits, letters letters of their case, addresses go under reserved
-example domains, IPv4 addresses into the reserved block (private ones stay private), card numbers keep their length and
-whether their check digit holds, names keep the gender of the form of address, their capitals and the script (Latin, Cyrillic, Greek).
-
-A surrogate that another unit of the kind holds, or that is itself a unit of the corpus, is a collision: all but the
-first owner draw again, round by round, until none is left. So different units stay different.
+example domains, public IPv4 addresses into the reserved block, private ones stay in their own block, card numbers keep
+their length and whether their check digit holds, names keep the gender of the form of address, their capitals and the
+script (Latin, Cyrillic, Greek).
+
+Numbers, secrets and private addresses have spaces that a corpus can fill, so they are permuted: every character is
+shifted within its class by what a keyed hash makes of those before it, from the left and then from the right, and the
+first one never stays. That maps each format onto itself, one to one, and nothing to itself. Other kinds are drawn from
+spaces that grow with each attempt: a surrogate that another unit holds, or that is itself a unit of the corpus, is a
+collision, and all but the first owner draw again. So different units stay different, and rounds are few.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm._spark import fresh, sized_join, written
+from terrace.llm._spark import fresh, row_key, sized_join, written
 
 #: Forms of address in any case, Greek capitals without accents; small "ms" and "miss" are a unit and a verb.
 FEMALE = "(?iu:Mrs|Frau|Madame|Mme|Señora|Sra|г-жа|госпожа|κυρ[ίι]α)|M[sS]|Miss|MISS"
@@ -29,6 +36,7 @@ KEYWORD = "(?i:password|passwd|pwd|secret|token|api_key|apikey)"
 #: A word of a name, capitalised or in capitals.
 WORD = r"(?:\p{Lu}\p{Ll}{1,24}|\p{Lu}{2,25})"
 IP = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])"
+PRIVATE = r"^(?:10\.|192\.168\.|172\.(?:1[6-9]|2[0-9]|3[01])\.|127\.)"
 CARD = r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _ABROAD, _GROUP = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})", r"(?:[ .-]?[0-9]{2,4})"
@@ -47,7 +55,12 @@ PATTERNS = {
 ANY = "|".join(PATTERNS.values())
 #: What a text must hold for the pattern to be tried at all.
 MAYBE = rf"[0-9@]|{KEYWORD} {{0,2}}[=:]|(?:{FEMALE}|{MALE})\.? "
-LOWER, UPPER, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
+LOWER, UPPER, DIGITS, SIGNS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "+/_-"
+#: Kinds whose surrogates are a permutation of the units' own spaces.
+PERMUTED = ("phone", "phone+", "card", "ssn", "secret", "access_key", "private_ip")
+#: Attempts after which an assignment fails, and units that one task draws for.
+MOST_ATTEMPTS = 24
+TASK_UNITS = 5_000
 #: Consonants, vowels, and endings of female, male and family names by script.
 SOUNDS = {
     "latin": ("bdfghjklmnprstvz", "aeiou", ("a", "ina", "elle"), ("en", "or", "us"), ("er", "man", "ow")),
@@ -83,6 +96,7 @@ def _units(kind: Column, mention: Column) -> Column:
         .when(kind == "email", one(kind, F.lower(mention)))
         .when(kind == "phone", one(F.when(F.startswith(mention, F.lit("+")), "phone+").otherwise("phone"), F.regexp_replace(mention, "[^0-9]", "")))
         .when(kind.isin("card", "ssn"), one(kind, F.regexp_replace(mention, "[^0-9]", "")))
+        .when((kind == "ip") & F.regexp_like(mention, F.lit(PRIVATE)), one(F.lit("private_ip"), mention))
         .otherwise(one(kind, mention))
     )
 
@@ -97,32 +111,59 @@ def _letter(alphabet: str, at: Column) -> Column:
     return F.substr(F.lit(alphabet), at.cast("int") + 1, F.lit(1))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use of a value that is computed once and stands in the plan once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _shifted(c: Column, by: Callable[[Column], Column], hexed: Column) -> Column:
+    """A character moved within its class; by gives the distance for a class of so many. Others stay."""
+    within = lambda alphabet: F.contains(F.lit(alphabet), c)
+    own = F.when(within(DIGITS), DIGITS).when(hexed & within("abcdef"), "abcdef").when(within(LOWER), LOWER).when(within(UPPER), UPPER).when(within(SIGNS), SIGNS).otherwise(c)
+    return _bound(own, lambda a: F.substr(a, F.pmod(F.instr(a, c) - 1 + by(F.length(a)), F.length(a)).cast("int") + 1, F.lit(1)))
+
+
+def permuted(key: str, salt: list[Column], text: Column, hexed: Column) -> Column:
+    """text with every character moved within its class, one to one among texts of that shape; the first one never stays."""
+    step = lambda way, c, done: F.concat(done, _shifted(c, lambda n: _draw(key, [*salt, F.lit(way), done], F.length(done), n), hexed))
+    right = F.aggregate(F.split(text, ""), F.lit(""), lambda done, c: step("right", c, done))
+    left = F.aggregate(F.reverse(F.split(F.substr(right, F.lit(2)), "")), F.lit(""), lambda done, c: step("left", c, done))
+    first = lambda done: _shifted(F.substring(text, 1, 1), lambda n: _draw(key, [*salt, F.lit("first"), done], F.length(done), F.greatest(n - 1, F.lit(1))) + 1, hexed)
+    return _bound(F.when(F.length(text) > 1, left).otherwise(F.lit("")), lambda done: F.concat(first(done), F.reverse(done)))
+
+
 def _surrogate(key: str, kind: Column, unit: Column, attempt: Column) -> Column:
     """The surrogate of a unit at an attempt."""
     salt = [kind, unit, attempt.cast("string")]
     draw = lambda i, size: _draw(key, salt, i, size)
 
-    def shaped(text: Column, digits: str = DIGITS, lower: str = LOWER, upper: str = UPPER) -> Column:
+    def shaped(text: Column) -> Column:
         letter = lambda c, i: (
-            F.when(F.regexp_like(c, F.lit("[0-9]")), _letter(digits, draw(i, len(digits))))
-            .when(F.regexp_like(c, F.lit("[a-z]")), _letter(lower, draw(i, len(lower))))
-            .when(F.regexp_like(c, F.lit("[A-Z]")), _letter(upper, draw(i, len(upper))))
-            .otherwise(c)
+            F.when(F.regexp_like(c, F.lit("[0-9]")), _letter(DIGITS, draw(i, 10))).when(F.regexp_like(c, F.lit("[a-z]")), _letter(LOWER, draw(i, 26))).otherwise(c)
         )
         return F.array_join(F.transform(F.split(text, ""), letter), "")
 
     at = lambda n: F.lit(n)
     local, domain = F.substring_index(unit, "@", 1), F.substring_index(unit, "@", -1)
-    # The last two labels go under a reserved domain, those before it keep their shape; short locals grow with attempts.
+    # The last two labels go under a reserved domain, those before it keep their shape; locals grow with attempts.
     labels = F.split(domain, r"\.")
     inner = F.slice(labels, 1, F.greatest(F.size(labels) - 2, F.lit(0)))
     reserved = F.element_at(F.array(*map(F.lit, ("example.com", "example.org", "example.net"))), draw(at(9001), 3).cast("int") + 1)
-    longer = F.when(attempt > 2, _letter(LOWER, draw(at(9002), 26))).otherwise(F.lit(""))
-    grown = F.when(attempt > 4, F.repeat(_letter(LOWER, draw(at(9003), 26)), attempt - 4)).otherwise(F.lit(""))
-    email = F.concat(shaped(local), longer, grown, F.lit("@"), F.when(F.size(inner) > 0, F.concat(shaped(F.array_join(inner, ".")), F.lit("."))).otherwise(F.lit("")), reserved)
+    longer = F.array_join(F.transform(F.slice(F.sequence(F.lit(9100), F.lit(9100) + attempt), 2, MOST_ATTEMPTS), lambda i: _letter(LOWER, draw(i, 26))), "")
+    email = F.concat(shaped(local), longer, F.lit("@"), F.when(F.size(inner) > 0, F.concat(shaped(F.array_join(inner, ".")), F.lit("."))).otherwise(F.lit("")), reserved)
+
     octet = lambda n: draw(at(n), 256).cast("string")
-    private = F.regexp_like(unit, F.lit(r"^(?:10\.|192\.168\.|172\.(?:1[6-9]|2[0-9]|3[01])\.|127\.)"))
-    ip = F.concat_ws(".", F.when(private, F.lit("10")).otherwise((draw(at(0), 15) + 240).cast("string")), octet(1), octet(2), octet(3))
+    # The reserved block, and from the fifth attempt blocks that are twice as large.
+    public = F.concat_ws(".", F.when(attempt < 4, draw(at(0), 15) + 240).otherwise(draw(at(0), 31) + 193).cast("string"), octet(1), octet(2), octet(3))
+    octets = F.split(unit, r"\.")
+    o = lambda i: F.element_at(octets, i).cast("int")
+    turn = lambda name, parts, n: _draw(key, [kind, F.lit(name), F.element_at(octets, 1), *(x.cast("string") for x in parts)], F.lit(0), n)
+    narrow = F.startswith(unit, F.lit("192.")) | F.startswith(unit, F.lit("172."))
+    d = F.pmod(o(4) + turn("d", [o(2), o(3)], 256), F.lit(256))
+    # The block of 192.168 has two free octets, that of 172 a second one of 16 values; the third never stays in these.
+    c = F.when(narrow, F.pmod(o(3) + 1 + turn("c", [o(2), d], 255), F.lit(256))).otherwise(F.pmod(o(3) + turn("c", [o(2), d], 256), F.lit(256)))
+    b = F.when(F.startswith(unit, F.lit("192.")), o(2)).when(F.startswith(unit, F.lit("172.")), F.pmod(o(2) - 16 + turn("b", [c, d], 16), F.lit(16)) + 16).otherwise(F.pmod(o(2) + 1 + turn("b", [c, d], 255), F.lit(256)))
+    private = F.concat_ws(".", F.element_at(octets, 1), b.cast("string"), c.cast("string"), d.cast("string"))
 
     def luhn(digits: Column) -> Column:
         """The sum that a valid number has as a multiple of ten, of all digits."""
@@ -131,45 +172,50 @@ def _surrogate(key: str, kind: Column, unit: Column, attempt: Column) -> Column:
         twice = lambda i: F.when((n - i) % 2 == 1, F.when(value(i) > 4, value(i) * 2 - 9).otherwise(value(i) * 2)).otherwise(value(i))
         return F.aggregate(F.transform(F.sequence(F.lit(1), n), twice), F.lit(0), lambda s, x: s + x)
 
-    number = F.concat(F.substring(unit, 1, 1), shaped(F.substr(unit, F.lit(2))))
-    body = F.concat(F.substring(unit, 1, 1), shaped(F.substr(unit, F.lit(2), F.length(unit) - 2)))
-    check = F.pmod(-luhn(F.concat(body, F.lit("0"))), F.lit(10))
-    wrong = F.pmod(check + 1 + draw(at(9004), 9).cast("int"), F.lit(10))
-    card = F.concat(body, F.when(luhn(unit) % 10 == 0, check).otherwise(wrong).cast("string"))
-    ssn = F.concat(F.lit("9"), shaped(F.substr(unit, F.lit(2))))
-    hexed = F.regexp_like(unit, F.lit("^[0-9a-f]+$"))
-    secret = F.when(hexed, F.array_join(F.transform(F.split(unit, ""), lambda c, i: _letter(HEX, draw(i, 16))), "")).otherwise(shaped(unit))
-    access = F.concat(F.substring(unit, 1, 4), F.array_join(F.transform(F.split(F.substr(unit, F.lit(5)), ""), lambda c, i: _letter(UPPER + "234567", draw(i, 32))), ""))
+    # The first digit of phones and cards and the prefix of access keys stay, and a card's last digit follows from the rest.
+    head = F.when(kind.isin("phone", "phone+", "card"), F.substring(unit, 1, 1)).when(kind == "access_key", F.substring(unit, 1, 4)).otherwise("")
+    tail = F.substr(unit, F.length(head) + 1, F.length(unit) - F.length(head) - F.when(kind == "card", 1).otherwise(0))
+    hexed = (kind == "secret") & F.regexp_like(unit, F.lit("^[0-9a-f]+$"))
+    moved = F.concat(head, _bound(tail, lambda t: permuted(key, [kind, attempt.cast("string"), F.length(t).cast("string")], t, hexed)))
+    # What a check digit is off by stays, so that valid numbers stay valid, wrong ones wrong, and different ones different.
+    number = _bound(moved, lambda m: F.when(kind == "card", F.concat(m, F.pmod(luhn(unit) - luhn(F.concat(m, F.lit("0"))), F.lit(10)).cast("string"))).otherwise(m))
 
-    name = F.lit(None).cast("string")
-    for script, (consonants, vowels, female, male, family) in SOUNDS.items():
+    def sound(part: int) -> Column:
+        of = lambda script: F.lit(SOUNDS[script][part])
+        return F.when(F.endswith(kind, F.lit(".cyrillic")), of("cyrillic")).when(F.endswith(kind, F.lit(".greek")), of("greek")).otherwise(of("latin"))
 
-        def syllable(i: Column) -> Column:
-            return F.concat(_letter(consonants, draw(i * 2, len(consonants))), _letter(vowels, draw(i * 2 + 1, len(vowels))))
+    def picked(alphabet: Column, at: Column) -> Column:
+        return F.substr(alphabet, F.pmod(at, F.length(alphabet)).cast("int") + 1, F.lit(1))
 
-        root = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2) + F.floor(attempt / 2).cast("int")), syllable), "")
-        for who, endings in (("female", female), ("male", male), ("family", family)):
-            ending = F.element_at(F.array(*map(F.lit, endings)), draw(at(9005), len(endings)).cast("int") + 1)
-            name = F.when(kind == f"{who}.{script}", F.concat(root, F.lit(consonants[8]), ending)).otherwise(name)
-    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "ssn", ssn).when(F.startswith(kind, F.lit("phone")), number).when(kind == "access_key", access).when(kind == "secret", secret).otherwise(name)
+    whole = 1 << 40
+    syllable = lambda i: F.concat(picked(sound(0), draw(i * 2, whole)), picked(sound(1), draw(i * 2 + 1, whole)))
+    root = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2) + F.floor(attempt / 2).cast("int")), syllable), "")
+    endings = [(f"{who}.{script}", SOUNDS[script][2 + i]) for script in SOUNDS for i, who in enumerate(("female", "male", "family"))]
+    known = F.create_map(*(x for k, e in endings for x in (F.lit(k), F.array(*map(F.lit, e)))))
+    ending = F.element_at(F.try_element_at(known, kind), draw(at(9005), 3).cast("int") + 1)
+    name = F.concat(root, F.substring(sound(0), 9, 1), ending)
+    return F.when(kind == "email", email).when(kind == "ip", public).when(kind == "private_ip", private).when(kind.isin(*PERMUTED), number).otherwise(name)
 
 
 def assigned(units: DataFrame, key: str) -> DataFrame:
-    """kind, unit and surrogate of each distinct (kind, unit): within a kind, surrogates differ and are no unit themselves."""
+    """kind, unit and surrogate of each distinct (kind, unit); within a kind, surrogates differ, and none is its own unit.
+
+    Drawn surrogates are no unit of the corpus either; permuted ones may be another's. Raises after MOST_ATTEMPTS rounds.
+    """
     units = written(units.select("kind", "unit").distinct(), "units")
-    kept, open_, attempt = None, units, 0
-    while True:
-        drawn = open_.select("kind", "unit", _surrogate(key, F.col("kind"), F.col("unit"), F.lit(attempt)).alias("surrogate"))
-        taken = units.select("kind", F.col("unit").alias("surrogate"))
-        if kept is not None:
-            taken = taken.unionByName(kept.select("kind", "surrogate")).distinct()
-        drawn = written(drawn.join(taken.withColumn("taken", F.lit(True)), ["kind", "surrogate"], "left"), "drawn")
-        owners = drawn.where("taken IS NULL").groupBy("kind", "surrogate").agg(F.min("unit").alias("unit"))
-        kept = written(owners if kept is None else kept.unionByName(owners), "surrogates")
-        open_ = written(units.join(kept.select("kind", "unit"), ["kind", "unit"], "left_anti"), "open")
+    kept, open_ = [], units
+    for attempt in range(MOST_ATTEMPTS):
+        tasks = min(20_000, open_.count() // TASK_UNITS + 1)
+        drawn = open_.repartition(tasks, "unit").select("kind", "unit", _surrogate(key, F.col("kind"), F.col("unit"), F.lit(attempt)).alias("surrogate"))
+        taken = units.where(~F.col("kind").isin(*PERMUTED)).select("kind", F.col("unit").alias("surrogate"))
+        for k in kept:
+            taken = taken.unionByName(k.select("kind", "surrogate"))
+        drawn = written(drawn.join(taken, ["kind", "surrogate"], "left_anti"), "drawn")
+        kept.append(written(drawn.groupBy("kind", "surrogate").agg(F.min("unit").alias("unit")), "surrogates"))
+        open_ = written(open_.join(kept[-1], ["kind", "unit"], "left_anti"), "open")
         if open_.isEmpty():
-            return kept
-        attempt += 1
+            return reduce(DataFrame.unionByName, kept)
+    raise RuntimeError(f"units without a surrogate after {MOST_ATTEMPTS} attempts: {open_.groupBy('kind').count().collect()}")
 
 
 def _rendered(kind: Column, mention: Column, surrogates: Column) -> Column:
@@ -186,10 +232,11 @@ def replaced(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "tex
     """docs with its own columns, where text holds surrogates, and n_entities, the mentions that were replaced.
 
     n_entities gets underscores in front if docs has it already. A null text stays null, with none. Repeated rows are
-    returned as often as they stand. An empty table gives no rows.
+    returned as often as they stand; rows without doc_id are taken apart by their texts. Very long texts are searched
+    whole. An empty table gives no rows.
     """
     row, swaps, n_entities = fresh(docs, "row_key", "swaps", "n_entities")
-    keyed = docs.withColumn(row, F.xxhash64(F.col(doc_id), F.col(text)))
+    keyed = docs.withColumn(row, row_key(doc_id, text))
     found = keyed.where(F.regexp_like(F.col(text), F.lit(MAYBE))).select(F.col(row).alias("row"), F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0)).alias("mentions"))
     hits = written(found.where(F.size("mentions") > 0).dropDuplicates(["row"]), "mentions")
     places = hits.select("row", F.posexplode("mentions").alias("place", "mention"))

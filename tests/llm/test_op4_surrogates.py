@@ -1,6 +1,80 @@
+import hashlib
+import random
 import re
 
+from pyspark.sql import functions as F
+
 from terrace.llm import surrogates
+from tests.llm import corpus
+
+
+def draw(key, salt, i, size):
+    return int(hashlib.sha256("\x1f".join([key, *salt, str(i)]).encode()).hexdigest()[:15], 16) % size
+
+
+def shifted(c, by):
+    alphabet = next(a for a in (surrogates.DIGITS, surrogates.LOWER, surrogates.UPPER, surrogates.SIGNS) if c in a)
+    return alphabet[(alphabet.index(c) + by(len(alphabet))) % len(alphabet)]
+
+
+def permuted(key, salt, text):
+    """The permutation in plain Python."""
+    right = ""
+    for c in text:
+        right += shifted(c, lambda n: draw(key, [*salt, "right", right], len(right), n))
+    left = ""
+    for c in reversed(right[1:]):
+        left += shifted(c, lambda n: draw(key, [*salt, "left", left], len(left), n))
+    return shifted(text[0], lambda n: draw(key, [*salt, "first", left], len(left), n - 1) + 1) + left[::-1]
+
+
+def surrogate(key, kind, unit):
+    moved = lambda t: permuted(key, [kind, "0", str(len(t))], t)
+    if kind == "ssn":
+        return moved(unit)
+    if kind == "card":
+        body = unit[0] + moved(unit[1:-1])
+        return body + str((luhn_sum(unit) - luhn_sum(body + "0")) % 10)
+    return unit[0] + moved(unit[1:])
+
+
+def luhn_sum(number):
+    return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(int(c) for c in number[::-1]))
+
+
+def test_numbers_against_brute_force(spark):
+    """Whole texts with phones, cards and social security numbers, found and replaced in plain Python."""
+    rng = random.Random(3)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    pool = [f"({digits(3)}) {digits(3)}-{digits(4)}" for _ in range(20)] + [f"{digits(3)}-{digits(2)}-{digits(4)}" for _ in range(20)] + [f"{digits(4)} {digits(4)} {digits(4)} {digits(4)}" for _ in range(20)]
+    texts = [" and ".join([*corpus.words(rng, 5), *rng.choices(pool, k=4)]) for _ in range(60)]
+    long_ = " ".join(corpus.words(rng, 20_000) + [pool[0], pool[25], pool[45]])
+    pattern = re.compile(r"(\(\d{3}\) \d{3}-\d{4})|(\d{3}-\d\d-\d{4})|(\d{4} \d{4} \d{4} \d{4})")
+
+    def swap(m):
+        own = re.sub(r"\D", "", m[0])
+        new = iter(surrogate("k", ("phone", "ssn", "card")[m.lastindex - 1], own))
+        return re.sub(r"\d", lambda _: next(new), m[0])
+
+    assert run(spark, [*texts, long_]) == [pattern.sub(swap, t) for t in [*texts, long_]]
+
+
+def test_full_spaces_end_without_collisions(spark):
+    """Every five-digit phone of a country: a permutation of its whole space; private addresses, short addresses, hex secrets."""
+    phones = spark.range(10_000).select(F.lit("phone+").alias("kind"), F.format_string("1%04d", F.col("id")).alias("unit"))
+    hosts = spark.range(65_536).select(F.lit("private_ip").alias("kind"), F.concat_ws(".", F.lit("192.168"), (F.col("id") / 256).cast("int"), F.col("id") % 256).alias("unit"))
+    others = spark.range(3_000).select(F.explode(F.array(F.struct(F.lit("email").alias("kind"), F.concat(F.chr(97 + F.col("id") % 26), F.lit("@x"), F.col("id"), F.lit(".com")).alias("unit")), F.struct(F.lit("secret").alias("kind"), F.lower(F.lpad(F.hex("id"), 8, "0")).alias("unit")))).alias("x")).select("x.*")
+    out = surrogates.assigned(phones.unionByName(hosts).unionByName(others), "k").toPandas()
+    assert len(out) == 81_536 and not out.duplicated(["kind", "surrogate"]).any() and (out.unit != out.surrogate).all()
+    own = out[out.kind == "phone+"]
+    assert set(own.unit) == set(own.surrogate)
+    assert set(out[out.kind == "private_ip"].unit) == set(out[out.kind == "private_ip"].surrogate)
+    assert out[out.kind == "secret"].surrogate.str.fullmatch("[0-9a-f]{8}").all()
+
+
+def test_odd_texts(spark):
+    texts = corpus.odd_texts(random.Random(1))
+    assert run(spark, texts) == texts
 
 
 def run(spark, texts, key="k"):
@@ -38,7 +112,7 @@ def test_formats_and_coreference(spark):
     script = re.fullmatch(r"г-жа ([А-Я][а-я]+) ([А-Я][а-я]+) и г-н ([А-Я][а-я]+)", out[5])
     assert script and script[2] == script[3] != "Петренко"
     assert "hunter2" not in out[6] and re.search(r"AKIA[A-Z2-7]{16}", out[6]) and "AKIAABCDEF" not in out[6]
-    assert re.search(r"ssn 9\d\d-\d\d-\d{4}", out[7])
+    assert re.search(r"ssn \d\d\d-\d\d-\d{4}", out[7]) and "123-45-6789" not in out[7]
     assert out[8] == "nothing here 12 345"
 
 
@@ -101,5 +175,5 @@ def test_phone_ends_before_the_next_number(spark):
     ips = [out[i].split()[-1] for i in (0, 1)]
     assert ips[0] == ips[1] and int(ips[0].split(".")[0]) >= 240 and ips[0].count(".") == 3
     assert re.fullmatch(r"4\d{3} \d{4} \d{4} \d{4}", out[2][18:]) and luhn(out[2][18:]) and out[2][18:] != "4539 1488 0343 6467"
-    assert re.fullmatch(r"9\d\d-\d\d-\d{4}", out[3][18:])
+    assert re.fullmatch(r"\d\d\d-\d\d-\d{4}", out[3][18:]) and out[3][18:] != "123-45-6789"
     assert re.fullmatch(r"\+\d\d \d \d\d\.\d\d\.\d\d\.\d\d", out[5]) and out[5] != "+33 1 42.68.53.10"

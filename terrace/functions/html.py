@@ -85,10 +85,10 @@ def section(html: Column, tag: str = "article") -> Column:
 
 
 def plain(text: Column) -> Column:
-    """Entities replaced by their characters."""
+    """Entities replaced by their characters, runs of white space and no-break spaces by one space, none at the ends."""
 
     @F.pandas_udf("string")
     def read(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else unescape(t))
+        return texts.map(lambda t: None if t is None else " ".join(unescape(t).split()))
 
     return read(text)

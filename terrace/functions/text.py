@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,13 +35,12 @@ def strict_key(name: Column) -> Column:
 
 
 def loose_key(name: Column, generic: list[str]) -> Column:
-    """The strict key without the words that names of the kind share."""
-    return strict_key(F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), rf"\b(?:{'|'.join(generic)})\b", " "))
+    """The strict key without the generic words at the end of the name; those within it stay."""
+    return strict_key(F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), rf"(?:(?<![a-z0-9])(?:{'|'.join(generic)})(?![a-z0-9])[^a-z0-9]*)+$", " "))
 
 
-def suffixless_key(name: Column, generic: list[str]) -> Column:
-    """The strict key without the generic words at the end of the name."""
-    return strict_key(F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), rf"(?:(?<![a-z0-9])(?:{'|'.join(generic)})(?![a-z0-9])[^a-z0-9]*)+$", " "))
+def symbol_key(symbol: Column) -> Column:
+    return F.upper(F.trim(F.coalesce(symbol, F.lit(""))))
 
 
 def chosen_name(left: Column, right: Column, generic: list[str]) -> Column:
@@ -49,7 +50,7 @@ def chosen_name(left: Column, right: Column, generic: list[str]) -> Column:
     """
     a, b = (F.regexp_replace(c, r"(?U)^\s+|\s+$", "") for c in (left, right))
     x, y = strict_key(a), strict_key(b)
-    equal = (x == y) | (suffixless_key(a, generic) == suffixless_key(b, generic))
+    equal = (x == y) | (loose_key(a, generic) == loose_key(b, generic))
     least = F.when(F.struct(F.length(b), F.lower(b)) < F.struct(F.length(a), F.lower(a)), b).otherwise(a)
     holds = (x != "") & (y != "") & F.when(F.length(y) < F.length(x), F.contains(x, y)).otherwise(F.contains(y, x))
     shorter = F.when(F.length(b) < F.length(a), b).otherwise(a)
@@ -74,6 +75,12 @@ def bare_host(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(url_host(url), r"^.*@", ""), r":[0-9]*$", ""), r"^www\.", "")
 
 
+def domain(url: Column, explicit: Column | None = None) -> Column:
+    """The explicit domain in lower case, else the URL's authority without a leading www.; port and user stay."""
+    host = F.regexp_replace(url_host(collapsed(url)), r"^www\.", "")
+    return host if explicit is None else F.when(~blank(explicit), F.lower(collapsed(explicit))).otherwise(host)
+
+
 def url_slug(url: Column) -> Column:
     """The last path segment that isn't empty."""
     path = F.regexp_replace(F.regexp_replace(F.coalesce(url, F.lit("")), r"[?#].*$", ""), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", "")
@@ -96,3 +103,84 @@ def canonical_reasons(reasons: Column, alias: dict[str, str], default: str) -> C
 def flags(columns: dict[str, Column], joint: str = "|") -> Column:
     """Names of the columns that say 1, true or yes, in order."""
     return F.concat_ws(joint, *(F.when(F.lower(F.trim(c.cast("string"))).isin("1", "true", "yes"), F.lit(k)) for k, c in columns.items()))
+
+
+def slug_url(base: str, slug: Column) -> Column:
+    """base and the slug, an empty text without one."""
+    return F.when(~blank(slug), F.concat(F.lit(base), F.trim(slug))).otherwise("")
+
+
+def name_and_symbol(label: Column) -> Column:
+    """A struct of name and symbol: the last word in capitals, digits, dots and dashes is the symbol; empty ones without it."""
+    pattern = r"^\s*(.+?)\s+([A-Z0-9.\-]+)\s*$"
+    return F.struct(F.regexp_extract(label, pattern, 1).alias("name"), F.regexp_extract(label, pattern, 2).alias("symbol"))
+
+
+def identifier_words(name: Column) -> Column:
+    """Words of an identifier: split at underscores, before a capital behind small letters, and before a run's last capital."""
+    spaced = F.regexp_replace(F.regexp_replace(F.regexp_replace(name, "_", " "), "([A-Z]+)([A-Z][a-z])", "$1 $2"), "([a-z0-9])([A-Z])", "$1 $2")
+    return F.filter(F.split(spaced, r"\s+"), lambda x: x != "")
+
+
+def table_sample(value: Column, most: int = 120) -> Column:
+    """A value for a table cell: collapsed, pipes escaped, cut to most characters with dots for the rest."""
+    escaped = F.replace(collapsed(value), F.lit("|"), F.lit("\\|"))
+    return F.when(F.length(escaped) > most, F.concat(F.substring(escaped, 1, most - 4), F.lit(" ..."))).otherwise(escaped)
+
+
+def number_in(name: Column, pattern: str, default: int = 0) -> Column:
+    """The number in a name, such as that of a batch file or an attempt folder."""
+    return F.coalesce(F.regexp_extract(name, pattern, 1).try_cast("int"), F.lit(default))
+
+
+def log_tag(line: Column) -> Column:
+    """The first word in square brackets behind the time of a log line."""
+    return F.regexp_extract(line, r"^\S*\s*\[([^\]]+)\]", 1)
+
+
+def log_time(line: Column) -> Column:
+    """The ISO time at the head of a log line, null without one."""
+    return F.try_to_timestamp(F.regexp_extract(line, r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2})", 1), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
+
+
+def error_source(error: Column) -> Column:
+    """The path or the <label> that an error begins with, also behind identity_drift; null for others."""
+    drift = "identity_drift: "
+    head = lambda text: F.nullif(F.trim(F.substring_index(text, ":", 1)), F.lit(""))
+    return (
+        F.when(F.startswith(error, F.lit("<post-verifier-output>")), "<post-verifier-output>")
+        .when(F.startswith(error, F.lit(drift)), head(F.substr(error, F.lit(len(drift) + 1))))
+        .when(F.regexp_like(error, F.lit("^[/<]")), head(error))
+    )
+
+
+def error_task(error: Column) -> Column:
+    return F.regexp_extract(error, r"task_index=(\d+)", 1).try_cast("int")
+
+
+# Texts that mark an error of a row's schema.
+SCHEMA_ERRORS = (
+    "is not a valid JSON list",
+    "status must be",
+    "needs_manual_review must be",
+    "confidence must be",
+    "skip_candidate cannot have",
+    "contains non-http values",
+    "contains invalid labels",
+    "has invalid",
+    "must be yes or no",
+    "must be high, medium, or low",
+    "does not match classifier_results.csv",
+)
+
+
+def error_category(error: Column) -> Column:
+    """header_mismatch, row_count_mismatch, row_order_mismatch or schema_error, tried in that order; null for others."""
+    has = lambda *parts: reduce(lambda x, y: x & y, (F.contains(error, F.lit(p)) for p in parts))
+    schema = reduce(lambda x, y: x | y, (has(m) for m in SCHEMA_ERRORS))
+    return (
+        F.when(has("header mismatch"), "header_mismatch")
+        .when(has("expected ", " rows, found "), "row_count_mismatch")
+        .when(has(": row ", "expected task_index="), "row_order_mismatch")
+        .when(has("task_index=") & schema, "schema_error")
+    )

@@ -50,17 +50,26 @@ def inferred_type(name: Column) -> Column:
 
 
 def is_json_list(value: Column) -> Column:
+    """Whether a text is a JSON list by the strict rules.
+
+    Text that doesn't begin with a bracket is none; the rest is read in Arrow batches, as the engine's own parser takes
+    single quotes and bare words too.
+    """
+
     @F.pandas_udf("boolean")
     def strict(values: pd.Series) -> pd.Series:
-        def one(x):
-            try:
-                return isinstance(json.loads(x), list)
-            except (TypeError, ValueError):
-                return False
+        return values.map(lambda x: _as_list(x, json.loads) is not None)
+
+    return F.when(F.regexp_like(F.coalesce(value, F.lit("")), F.lit(r"^\s*\[")), strict(value)).otherwise(False)
 
-        return values.map(one)
 
-    return strict(value)
+def _as_list(text: str | None, read) -> list | None:
+    """What read makes of a text, if that is a list."""
+    try:
+        found = read(text)
+    except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+        return None
+    return list(found) if isinstance(found, (list, tuple)) else None
 
 
 def json_list(value: Column) -> Column:
@@ -72,40 +81,93 @@ def list_length(value: Column) -> Column:
     return F.when(is_json_list(value), F.json_array_length(value)).otherwise(F.lit(-1))
 
 
+def _json_text(items: list) -> str:
+    return json.dumps(items, ensure_ascii=False, separators=(",", ":"), default=str)
+
+
+def _quoted_list(text: str) -> list | None:
+    """A JSON list behind damaged quotes: doubled ones, one too many at the end, or a whole list in a JSON text."""
+    single = text.replace('""', '"')
+    tries = [single, single[:-1] if single.endswith('"') else ""] if single != text else []
+    if text.startswith('"') and text.endswith('"'):
+        try:
+            inner = json.loads(text)
+        except ValueError:
+            inner = None
+        tries.append(inner if isinstance(inner, str) else "")
+    return next((found for t in tries if (found := _as_list(t.strip(), json.loads)) is not None), None)
+
+
 def normal_list(value: Column) -> Column:
-    """Text that stands for a list as a compact JSON list.
+    """Text that stands for a list as a compact JSON list; a blank text stays empty.
 
-    In this order: a JSON list; a list literal with single quotes; blank, none, null and n/a, which are empty; a JSON
-    list whose quotes are doubled; parts between pipes; any other text is a list of itself.
+    In this order: a JSON list; a literal of a list or of bare items; none and null, which are empty; a JSON list behind
+    damaged quotes; parts between pipes; any other text is a list of itself.
     """
 
     @F.pandas_udf("string")
     def normal(values: pd.Series) -> pd.Series:
-        def read(text, how):
-            try:
-                found = how(text)
-            except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
-                return None
-            return list(found) if isinstance(found, (list, tuple)) else None
+        readers = (
+            lambda t: _as_list(t, json.loads),
+            lambda t: _as_list(t, ast.literal_eval),
+            lambda t: [] if t.lower() in ("none", "null") else None,
+            _quoted_list,
+            lambda t: [p.strip() for p in t.split("|") if p.strip()] if "|" in t else None,
+            lambda t: [t],
+        )
 
         def one(x):
             text = (x or "").strip()
-            found = read(text, json.loads)
-            if found is None and text[:1] in "[(":
-                found = read(text, ast.literal_eval) if text else None
-            if found is None and text.lower() in ("", "none", "null", "n/a"):
-                found = []
-            if found is None and '""' in text:
-                found = read(text.strip('"').replace('""', '"'), json.loads)
-            if found is None:
-                found = [p.strip() for p in text.split("|") if p.strip()]
-            return json.dumps(found, ensure_ascii=False, separators=(",", ":"), default=str)
+            return _json_text(next(found for r in readers if (found := r(text)) is not None)) if text else ""
 
         return values.map(one)
 
     return normal(value)
 
 
+def split_list(value: Column) -> Column:
+    """Items of a pipe list or of a JSON list, trimmed, without empty ones; a broken JSON list is split at pipes too."""
+    text = F.trim(F.coalesce(value, F.lit("")))
+    items = F.when(is_json_list(text), F.coalesce(F.from_json(text, "array<string>"), F.array().cast("array<string>"))).otherwise(F.split(text, r"\|"))
+    return F.filter(F.transform(items, lambda x: F.trim(F.coalesce(x, F.lit("")))), lambda x: x != "")
+
+
+def piped(items: Column) -> Column:
+    return F.array_join(items, "|")
+
+
+def spaced_json(items: Column) -> Column:
+    """A JSON list of texts with a space behind each comma."""
+    quoted = F.transform(items, lambda x: F.regexp_replace(F.to_json(F.array(x)), r"^\[|\]$", ""))
+    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+
+
+def risk_flags(value: Column) -> Column:
+    """A JSON list as it stands; blank and none are []; a pipe list or one flag becomes a spaced JSON list."""
+    text = F.trim(F.coalesce(value, F.lit("")))
+    parts = F.filter(F.transform(F.split(text, r"\|"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.when((text == "") | (F.lower(text) == "none"), "[]").when(is_json_list(text), text).otherwise(spaced_json(parts))
+
+
+def clean_tags(tags: Column) -> Column:
+    """A JSON list of the tags that aren't blank, trimmed."""
+    return F.to_json(F.filter(F.transform(F.coalesce(tags, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != ""))
+
+
+def defaulted(payload: dict[str, Column]) -> dict[str, Column]:
+    """Every value as text, an empty one for null."""
+    return {c: F.coalesce(v.cast("string"), F.lit("")) for c, v in payload.items()}
+
+
+def object_without(value: Column, required: list[str]) -> Column:
+    """What is wrong with a JSON object in text: blank, not_json, not_an_object, or missing and the absent keys; null if nothing is."""
+    text = F.trim(F.coalesce(value, F.lit("")))
+    keys = F.json_object_keys(text)
+    absent = F.array_except(F.array(*map(F.lit, required)), F.coalesce(keys, F.array().cast("array<string>")))
+    other = F.try_parse_json(text).isNotNull()
+    return F.when(text == "", "blank").when(~other, "not_json").when(~F.startswith(text, F.lit("{")), "not_an_object").when(F.size(absent) > 0, F.concat(F.lit("missing "), F.array_join(absent, ",")))
+
+
 def incremented(counts: Column, kind: Column) -> Column:
     """A JSON map of counts with kind raised by one, keys in order."""
     have = F.coalesce(F.from_json(counts, "map<string,int>"), F.create_map().cast("map<string,int>"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions.values import inferred_type
@@ -36,3 +36,55 @@ def resolved(references: DataFrame, key: str, kinds: dict[str, DataFrame]) -> Da
     """
     every = reduce(DataFrame.unionByName, (df.select(F.lit(k).alias("kind"), F.col("id").alias(key), "name") for k, df in kinds.items()))
     return references.join(every, key)
+
+
+# Words in column names by category; the first category with a word in the name counts.
+CATEGORY_WORDS = {
+    "identity": ("RowID", "LastUpdated", "DealNo", "CikCode"),
+    "name": ("Name", "AlsoKnownAs", "FormerName", "LegalName"),
+    "status": ("Status", "Type", "Class", "Category", "IsPrimary", "IsCurrent", "IsLead", "IsOnBoard", "Universe"),
+    "time": ("Date", "Year", "Quarter", "Vintage", "Period", "Frequency", "Tenor"),
+    "amount": ("Amount", "Size", "Valuation", "Revenue", "Profit", "Income", "EBIT", "EBITDA", "Debt", "EV", "NAV", "IRR", "DPI", "TVPI", "RVPI", "Price", "Capital", "Commitment", "AUM", "DryPowder", "Shares", "MarketCap", "Multiple", "Ratio", "Percent", "Percentage", "Value"),
+    "place": ("HQ", "Address", "Location", "City", "State", "Province", "PostCode", "Country", "Phone", "Fax", "Email", "Region", "Website", "URL", "Domiciles"),
+    "person": ("Person", "CEO", "LeadPartner", "PrimaryContact", "FullTitle", "Title", "Position", "RoleOnBoard", "Advisory", "Prefix", "Suffix", "Biography", "Education", "Degree", "Major", "Gender"),
+    "holding": ("Holding", "Percent", "Representing", "ParentCompany", "Affiliate", "Similar", "Competitor", "InvestorOwnership", "ServiceTo", "CoInvestor", "Co_Investor", "Partial_Full", "Acquired", "Exit"),
+    "industry": ("Industry", "Vertical", "Naics", "Sic", "Morningstar", "TradeAssociations", "EmergingSpaces"),
+}
+# Words of names whose values are decimals.
+DECIMAL_WORDS = ("Amount", "Size", "Value", "Valuation", "Revenue", "Profit", "Income", "Debt", "EBIT", "EBITDA", "AUM", "IRR", "DPI", "TVPI", "RVPI", "NAV", "Price", "Ratio", "Percent", "Percentage", "Shares", "Capital", "Commitment", "Multiple")
+
+
+def _holds(name: Column, words: tuple[str, ...]) -> Column:
+    return F.regexp_like(name, F.lit("|".join(words)))
+
+
+def category(name: Column) -> Column:
+    """The category of a column by its name; text for the rest. Ids are known by their end or as a whole."""
+    out = F.lit("text")
+    for kind, words in reversed(CATEGORY_WORDS.items()):
+        if kind != "identity":
+            out = F.when(_holds(name, words), kind).otherwise(out)
+    identity = name.isin(*CATEGORY_WORDS["identity"]) | F.endswith(name, F.lit("ID"))
+    return F.when(name == "RaisedToDate", "amount").when(identity, "identity").otherwise(out)
+
+
+def documented_type(name: Column) -> Column:
+    """DATE, INTEGER, DECIMAL or TEXT by a column's name in capitalised words."""
+    whole = F.endswith(name, F.lit("Year")) | F.endswith(name, F.lit("Count")) | name.isin("Vintage", "DealNo")
+    return F.when((name == "LastUpdated") | F.contains(name, F.lit("Date")), "DATE").when(whole, "INTEGER").when(_holds(name, DECIMAL_WORDS), "DECIMAL").otherwise("TEXT")
+
+
+def columns_by_category(columns: DataFrame, table: str, column: str, place: str) -> DataFrame:
+    """For each table and category with columns: place of the category, and its columns in order, joined by commas."""
+    order = F.create_map(*(F.lit(x) for i, k in enumerate([*CATEGORY_WORDS, "text"]) for x in (k, i)))
+    named = columns.withColumn("category", category(F.col(column)))
+    listed = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(place, column))), lambda x: x[column]), ",").alias("columns")
+    return named.groupBy(table, "category").agg(listed).withColumn("category_place", F.element_at(order, F.col("category")))
+
+
+def keys_of(columns: DataFrame, table: str, column: str) -> DataFrame:
+    """For each table its guessed primary key (the table's name and ID, not for relations) and foreign keys, joined by commas."""
+    own = F.concat(F.col(table), F.lit("ID"))
+    primary = F.max(F.when((F.col(column) == own) & ~F.endswith(F.col(table), F.lit("Relation")), F.col(column)))
+    foreign = F.collect_set(F.when(F.endswith(F.col(column), F.lit("ID")) & (F.col(column) != "RowID") & (F.col(column) != own), F.col(column)))
+    return columns.groupBy(table).agg(F.coalesce(primary, F.lit("")).alias("primary_key"), F.array_join(F.sort_array(foreign), ",").alias("foreign_keys"))

@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrace.sources.shared import shared_folder
+
 
 def cut(df: DataFrame) -> DataFrame:
-    """df by a reliable checkpoint in the folder that the cluster names, or in one of our own where none is named."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="terrace-"))
+    """df by a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

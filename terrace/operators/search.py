@@ -29,21 +29,30 @@ def ranked_hits(hits: dict[str, DataFrame]) -> DataFrame:
     return one("file", "file").unionByName(one("column", "column_name")).unionByName(one("file_column", "file", "column_name"))
 
 
+def clean_keywords(keywords: list[str]) -> list[str]:
+    """Keywords in lower case, trimmed, each once, in their order; blank ones go."""
+    return list(dict.fromkeys(k for k in (x.strip().lower() for x in keywords) if k))
+
+
 def filtered(df: DataFrame, columns: list[str], keywords: list[str]) -> DataFrame:
-    """Rows with a keyword in any of columns, with matched_keywords and matched_columns joined by pipes."""
-    found = [matched(F.col(c), keywords) for c in columns]
-    words = F.array_join(F.filter(F.array(*map(F.lit, keywords)), lambda k: F.array_contains(F.flatten(F.array(*found)), k)), "|")
+    """Rows with a keyword in any of columns, with matched_keywords and matched_columns joined by pipes.
+
+    Keywords come in the order in which they are first met, column by column. Each column is searched once.
+    """
+    found = [f"_found_{i}" for i in range(len(columns))]
+    searched = df.withColumns({f: matched(F.col(c), keywords) for f, c in zip(found, columns)})
+    words = F.array_join(F.array_distinct(F.concat(*map(F.col, found))), "|")
     names = F.concat_ws("|", *(F.when(F.size(f) > 0, F.lit(c)) for c, f in zip(columns, found)))
-    return df.withColumns({"matched_keywords": words, "matched_columns": names}).where("matched_keywords <> ''")
+    return searched.withColumns({"matched_keywords": words, "matched_columns": names}).where("matched_keywords <> ''").drop(*found)
 
 
-def folded(relation: DataFrame, key: str, value: str, order: str, name: str) -> DataFrame:
-    """For each key its distinct values in the order of their first appearance, joined by pipes.
+def folded(relation: DataFrame, key: str, value: str, order: str, name: str, joint: str = " | ") -> DataFrame:
+    """For each key its distinct values in the order of their first appearance, joined by joint.
 
     Repeats are counted away before anything is gathered.
     """
     first = relation.where(F.col(key).isNotNull() & (F.trim(F.col(value)) != "")).groupBy(key, value).agg(F.min(order).alias("_at"))
-    return first.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_at", value))), lambda x: x[value]), "|").alias(name))
+    return first.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_at", value))), lambda x: x[value]), joint).alias(name))
 
 
 def enriched(entities: DataFrame, key: str, folds: list[DataFrame]) -> DataFrame:

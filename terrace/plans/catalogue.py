@@ -72,7 +72,7 @@ DOC_WORDS = ["src1", "license", "the", "es"]
 
 @query("""WITH m AS (SELECT doc_id, [x FOR x IN ['src1','license','the','es'] IF contains(lower(coalesce(source,'')), x)] AS a,
  [x FOR x IN ['src1','license','the','es'] IF contains(lower(coalesce(lang,'')), x)] AS b, [x FOR x IN ['src1','license','the','es'] IF contains(lower(coalesce(text,'')), x)] AS c FROM documents)
-SELECT doc_id, array_to_string([x FOR x IN ['src1','license','the','es'] IF list_contains(a, x) OR list_contains(b, x) OR list_contains(c, x)], '|') AS matched_keywords,
+SELECT doc_id, array_to_string(a || [x FOR x IN b IF NOT list_contains(a, x)] || [x FOR x IN c IF NOT list_contains(a, x) AND NOT list_contains(b, x)], '|') AS matched_keywords,
  concat_ws('|', CASE WHEN len(a) > 0 THEN 'source' END, CASE WHEN len(b) > 0 THEN 'lang' END, CASE WHEN len(c) > 0 THEN 'text' END) AS matched_columns
 FROM m WHERE len(a) + len(b) + len(c) > 0""")
 def keyword_filter_rows(read):
@@ -87,7 +87,7 @@ def first_id_column(read):
     return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-_FOLD_SQL = """SELECT o_custkey AS c_custkey, string_agg(o_orderpriority, '|' ORDER BY k) AS priorities
+_FOLD_SQL = """SELECT o_custkey AS c_custkey, string_agg(o_orderpriority, ' | ' ORDER BY k) AS priorities
 FROM (SELECT o_custkey, o_orderpriority, min(o_orderkey) AS k FROM orders WHERE o_orderstatus = 'P' GROUP BY 1, 2) GROUP BY 1"""
 
 
@@ -110,9 +110,10 @@ _HOST_SQL = r"lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)',
 _SLUG_SQL = r"regexp_extract(regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*', ''), '([^/]+)/*$', 1)"
 
 
-@query(f"SELECT page_id, {_HOST_SQL} AS host, regexp_replace({_HOST_SQL}, '^www\\.', '') AS bare_host FROM pages")
+@query(f"SELECT page_id, {_HOST_SQL} AS host, regexp_replace({_HOST_SQL}, '^www\\.', '') AS bare_host, CASE WHEN page_id % 5 = 0 THEN 'own.org' ELSE regexp_replace({_HOST_SQL}, '^www\\.', '') END AS domain FROM pages")
 def page_host(read):
-    return read("pages").select("page_id", text.url_host(F.col("url")).alias("host"), text.bare_host(F.col("url")).alias("bare_host"))
+    own = F.when(F.col("page_id") % 5 == 0, " Own.ORG ").otherwise("")
+    return read("pages").select("page_id", text.url_host(F.col("url")).alias("host"), text.bare_host(F.col("url")).alias("bare_host"), text.domain(F.col("url"), own).alias("domain"))
 
 
 @query(f"SELECT page_id, {_SLUG_SQL} AS slug FROM pages")
@@ -126,17 +127,23 @@ def slug_first_wins(read):
 
 
 _STRICT = "regexp_replace(lower({0}), '[^a-z0-9]+', '', 'g')"
-_LOOSE = "regexp_replace(regexp_replace(lower({0}), '\\b(" + "|".join(NOUNS) + ")\\b', ' ', 'g'), '[^a-z0-9]+', '', 'g')"
+_LOOSE = "regexp_replace(regexp_replace(lower({0}), '\\b((" + "|".join(NOUNS) + ")[^a-z0-9]*)+$', ' '), '[^a-z0-9]+', '', 'g')"
 
 
-@query(f"SELECT p_partkey, {_STRICT.format('p_name')} AS strict, {_LOOSE.format('p_name')} AS loose FROM part")
+_BACK = "(string_split(p_name, ' ')[2] || ' ' || string_split(p_name, ' ')[1] || ' ' || p_name)"
+
+
+@query(f"SELECT p_partkey, {_STRICT.format('p_name')} AS strict, {_LOOSE.format('p_name')} AS loose, {_LOOSE.format(_BACK)} AS loose_within FROM part")
 def name_keys(read):
-    return read("part").select("p_partkey", text.strict_key(F.col("p_name")).alias("strict"), text.loose_key(F.col("p_name"), NOUNS).alias("loose"))
+    """Keys of a name, and of one that has generic words at its head, within it and at its end."""
+    words = F.split("p_name", " ")
+    back = F.concat_ws(" ", F.get(words, F.lit(1)), F.get(words, F.lit(0)), "p_name")
+    return read("part").select("p_partkey", text.strict_key(F.col("p_name")).alias("strict"), text.loose_key(F.col("p_name"), NOUNS).alias("loose"), text.loose_key(back, NOUNS).alias("loose_within"))
 
 
-_SIDES_SQL = f"""p AS (SELECT p_partkey AS id, p_partkey // 2 AS pair, p_brand, p_brand || '-' || p_size AS symbol, {_STRICT.format("p_name || p_type")} AS strict, {_LOOSE.format("p_name || ' ' || p_type")} AS loose FROM part),
+_SIDES_SQL = f"""p AS (SELECT p_partkey AS id, p_partkey // 6 AS pair, p_brand, p_brand || '-' || p_size AS symbol, {_STRICT.format("p_name || p_type")} AS strict, {_LOOSE.format("p_name || ' ' || p_type")} AS loose FROM part),
 l AS (SELECT id AS left_id, * EXCLUDE (id) FROM p WHERE id % 2 = 0), r AS (SELECT id AS right_id, * EXCLUDE (id) FROM p WHERE id % 2 = 1),
-t0 AS (SELECT left_id, right_id, 'exact' AS match_method FROM l JOIN r USING (pair, p_brand)),
+t0 AS (SELECT left_id, right_id, 'exact' AS match_method FROM (SELECT pair, p_brand, max(left_id) AS left_id FROM l GROUP BY 1, 2) JOIN (SELECT pair, p_brand, max(right_id) AS right_id FROM r GROUP BY 1, 2) USING (pair, p_brand)),
 l1 AS (SELECT * FROM l WHERE left_id NOT IN (SELECT left_id FROM t0)), r1 AS (SELECT * FROM r WHERE right_id NOT IN (SELECT right_id FROM t0)),
 t1 AS (SELECT left_id, right_id, 'same_symbol_same_name' AS match_method FROM (SELECT symbol, strict, min(left_id) AS left_id FROM l1 GROUP BY 1, 2 HAVING count(*) = 1) JOIN (SELECT symbol, strict, min(right_id) AS right_id FROM r1 GROUP BY 1, 2 HAVING count(*) = 1) USING (symbol, strict)),
 l2 AS (SELECT * FROM l1 WHERE left_id NOT IN (SELECT left_id FROM t1)), r2 AS (SELECT * FROM r1 WHERE right_id NOT IN (SELECT right_id FROM t1)),
@@ -146,7 +153,7 @@ m AS (SELECT * FROM t0 UNION ALL SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNI
 
 def _matched(read):
     rows = read("part").select(
-        "p_partkey", F.floor(F.col("p_partkey") / 2).alias("pair"), "p_brand", F.concat_ws("-", "p_brand", "p_size").alias("symbol"),
+        "p_partkey", F.floor(F.col("p_partkey") / 6).alias("pair"), "p_brand", F.concat_ws("-", "p_brand", "p_size").alias("symbol"),
         text.strict_key(F.concat("p_name", "p_type")).alias("strict"), text.loose_key(F.concat_ws(" ", "p_name", "p_type"), NOUNS).alias("loose"),
     )
     left, right = rows.where("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "left_id"), rows.where("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "right_id")
@@ -216,19 +223,29 @@ def json_field(read):
     return read("events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
-@query("""SELECT p_partkey, CASE p_partkey % 6 WHEN 2 THEN '[]' WHEN 4 THEN '["' || p_name || '"]' ELSE '["' || p_name || '","' || p_type || '"]' END AS normal,
-CASE WHEN p_partkey % 6 IN (0) THEN 2 ELSE -1 END AS n_items FROM part""")
+@query("""SELECT p_partkey, CASE p_partkey % 10 WHEN 2 THEN '[]' WHEN 4 THEN '["' || p_name || '"]' WHEN 6 THEN '' WHEN 7 THEN '["n/a"]' WHEN 8 THEN '["' || p_name || '"]' WHEN 9 THEN '[' || p_size || ',2]' ELSE '["' || p_name || '","' || p_type || '"]' END AS normal,
+CASE WHEN p_partkey % 10 IN (0) THEN 2 ELSE -1 END AS n_items,
+CASE p_partkey % 10 WHEN 0 THEN p_name || '/' || p_type WHEN 1 THEN '[' || chr(39) || p_name || chr(39) || ', ' || chr(39) || p_type || chr(39) || ']' WHEN 2 THEN 'None' WHEN 3 THEN '[""' || p_name || '"",""' || p_type || '""]' WHEN 4 THEN p_name WHEN 5 THEN p_name || '/' || p_type WHEN 6 THEN '' WHEN 7 THEN 'n/a' WHEN 8 THEN '"[\\"' || p_name || '\\"]"' ELSE p_size || ',2' END AS parts,
+CASE p_partkey % 10 WHEN 0 THEN '[ "' || p_name || '", "' || p_type || '" ]' WHEN 2 THEN '[]' WHEN 6 THEN '[]' WHEN 5 THEN '["' || p_name || '", "' || p_type || '"]' WHEN 4 THEN '["' || p_name || '"]' WHEN 7 THEN '["n/a"]' WHEN 9 THEN '["' || p_size || ',2"]'
+ WHEN 1 THEN '["[' || chr(39) || p_name || chr(39) || ', ' || chr(39) || p_type || chr(39) || ']"]' WHEN 3 THEN '["[\\"\\"' || p_name || '\\"\\",\\"\\"' || p_type || '\\"\\"]"]' ELSE '["\\"[\\\\\\"' || p_name || '\\\\\\"]\\""]' END AS flags FROM part""")
 def json_list_norm(read):
-    name, kind, arm = F.col("p_name"), F.col("p_type"), F.col("p_partkey") % 6
+    """Every reading of a text as a list: normal form, length, parts and risk flags."""
+    name, kind, arm = F.col("p_name"), F.col("p_type"), F.col("p_partkey") % 10
     raw = (
         F.when(arm == 0, F.concat(F.lit('[ "'), name, F.lit('", "'), kind, F.lit('" ]')))
         .when(arm == 1, F.concat(F.lit("['"), name, F.lit("', '"), kind, F.lit("']")))
         .when(arm == 2, F.lit(" None "))
         .when(arm == 3, F.concat(F.lit('[""'), name, F.lit('"",""'), kind, F.lit('""]')))
         .when(arm == 4, name)
+        .when(arm == 6, F.lit(" "))
+        .when(arm == 7, F.lit("n/a"))
+        .when(arm == 8, F.concat(F.lit('"[\\"'), name, F.lit('\\"]"')))
+        .when(arm == 9, F.concat(F.col("p_size").cast("string"), F.lit(",2")))
         .otherwise(F.concat(name, F.lit(" | "), kind))
     )
-    return read("part").select("p_partkey", values.normal_list(raw).alias("normal"), values.list_length(raw).alias("n_items"))
+    parts = F.array_join(values.split_list(raw), "/")
+    rows = read("part").select("p_partkey", values.normal_list(raw).alias("normal"), values.list_length(raw).alias("n_items"), parts.alias("parts"), values.risk_flags(raw).alias("flags"))
+    return rows
 
 
 @query("SELECT event_id, CASE WHEN value / 100 >= 0.8 THEN 'high' WHEN value / 100 >= 0.5 THEN 'medium' ELSE 'low' END AS level FROM events")
@@ -521,5 +538,5 @@ def shifted_repair(read):
     return quality.applied(raw, quality.repaired_result({c: F.col(c) for c in ("status", "confidence", "name", "link")}))
 
 
-QUERIES["stream_progress"] = lambda spark, sf_dir: replayed(spark, sf_dir, "events")
+QUERIES["stream_progress"] = lambda spark, sf_dir: replayed(spark, sf_dir, "events", "user_id", "ts")
 ORACLES["stream_progress"] = "SELECT user_id, count(*) AS n_events, min(ts) AS first_at, max(ts) AS last_at FROM events GROUP BY 1"

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrace.sources.shared import shared_folder
+
 
 def scratch(spark: SparkSession, kind: str) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="terrace-")
-    return f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
 def counted(events: DataFrame, key: str, at: str) -> DataFrame:
@@ -19,15 +19,15 @@ def counted(events: DataFrame, key: str, at: str) -> DataFrame:
     return events.groupBy(key).agg(F.count(F.lit(1)).alias("n_events"), F.min(at).alias("first_at"), F.max(at).alias("last_at"))
 
 
-def replayed(spark: SparkSession, source: str, name: str) -> DataFrame:
-    """The final state of a table of files that is read as a stream, written by each batch as a keyed table of its own.
+def replayed(spark: SparkSession, source: str, name: str, key: str, at: str) -> DataFrame:
+    """The final state by key of a table of files that is read as a stream, written by each batch as a keyed table of its own.
 
     A batch's table holds the whole state by then, so that a batch that runs again writes the same; the last one counts.
     """
     out, path = scratch(spark, "progress"), f"{source}/{name}.parquet"
     schema = spark.read.parquet(path).schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(source)
-    state = counted(stream, "user_id", "ts")
+    state = counted(stream, key, at)
     versions: list[int] = []
 
     def keep(batch: DataFrame, version: int) -> None:
@@ -36,4 +36,4 @@ def replayed(spark: SparkSession, source: str, name: str) -> DataFrame:
 
     query = state.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", scratch(spark, "stream")).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.parquet(f"{out}/{versions[-1]}")
+    return spark.read.parquet(f"{out}/{versions[-1]}") if versions else counted(spark.read.parquet(path), key, at)

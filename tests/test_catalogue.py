@@ -6,7 +6,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from terrace.plans import catalogue
+from terrace.plans import catalogue, review
+
+assert review
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 

@@ -130,7 +130,7 @@ def runs(words: list[str], size: int = 2000) -> list[list[str]]:
 
 
 #: Bytes of the files of a table that is sent to every executor.
-BROADCAST_BYTES = 32_000_000
+BROADCAST_BYTES = 8_000_000
 
 
 def file_bytes(side: DataFrame) -> int:
@@ -141,23 +141,13 @@ def file_bytes(side: DataFrame) -> int:
 
 
 def sized_join(rows: DataFrame, side: DataFrame, on: list[str] | str, how: str) -> DataFrame:
-    """A join with a written table: broadcast while its files have at most BROADCAST_BYTES, else both sides are shuffled."""
+    """A join with a written table: broadcast while its files have at most BROADCAST_BYTES, else both sides are shuffled.
+
+    As side is a table of its own, rows aren't dealt for an aggregation by the same key, and Spark may split hot keys.
+    """
     return rows.join(F.broadcast(side) if file_bytes(side) <= BROADCAST_BYTES else side, on, how)
 
 
 def id_filter(rows: DataFrame, ids: DataFrame, key: list[str] | str, how: str) -> DataFrame:
     """rows with (left_semi) or without (left_anti) the keys in ids, a written table."""
     return sized_join(rows, ids, key, how)
-
-
-#: Parts into which the rows of one key are dealt.
-SALTS = 32
-
-
-def salted_join(rows: DataFrame, side: DataFrame, on: list[str], how: str, by: list[str]) -> DataFrame:
-    """A join whose rows of one key are dealt to SALTS tasks by the hash of columns `by`; side has few rows for a key."""
-    if file_bytes(side) <= BROADCAST_BYTES:
-        return rows.join(F.broadcast(side), on, how)
-    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"))
-    copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return dealt.join(copies, [*on, "_salt"], how).drop("_salt")

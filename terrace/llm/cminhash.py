@@ -119,7 +119,7 @@ def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", 2_000_000):
             keys, sizes, signatures = [], [], []
             for shingles, words in shingle_sets(batch.column("text")):
                 raw = words.tobytes()
@@ -176,11 +176,21 @@ def short_sets(texts: DataFrame) -> DataFrame:
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """Members of each two blocks of a bucket in one row; every two blocks meet once, and a row is as large as two blocks."""
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    fields = [c for c in rows.columns if c not in ("bucket", "n")]
+    """Members of each two blocks of a bucket in one row, so that members of different components meet once.
+
+    A component of BLOCK members or more has blocks of its own, which never meet each other; smaller ones are pooled. So
+    a large component and a few others make as many rows as there are members. A row is as large as two blocks.
+    """
+    whole = lambda x: F.ceil(x / BLOCK).cast("int")
+    large = F.col("k") >= BLOCK
+    pooled = whole(F.col("pooled"))
+    before = F.aggregate(F.filter("larges", lambda x: x["component"] < F.col("component")), F.lit(0), lambda s, x: s + whole(x["k"]))
+    every = F.aggregate("larges", pooled, lambda s, x: s + whole(x["k"]))
+    own = rows.withColumn("base", F.when(large, pooled + before).otherwise(0)).withColumn("size", F.when(large, whole(F.col("k"))).otherwise(pooled)).withColumn("every", every)
+    own = own.withColumn("own", F.col("base") + F.pmod(F.xxhash64("node"), F.col("size")).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("every") - 1), lambda o: ~large | (o < F.col("base")) | (o >= F.col("base") + F.col("size")))
+    fields = [c for c in rows.columns if c in ("node", "component", "sketch", "short")]
+    dealt = own.select("bucket", *fields, "own", F.explode(others).alias("other"))
     return dealt.groupBy("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(F.collect_list(F.struct(*fields)).alias("members")).select("members")
 
 
@@ -267,7 +277,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     usable = base.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     nodes = written(usable.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
     placed = nodes.select("node", F.explode("bands").alias("bucket"))
-    buckets = placed.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # A table of its own, so that the join isn't bound to the aggregation's partitions and hot buckets are split.
+    buckets = written(placed.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     members = written(placed.join(buckets, "bucket"), "members")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     stars = written(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "stars")
@@ -279,10 +290,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     tested = stars
 
     def open_members() -> DataFrame:
-        """Members of the buckets that hold several components."""
-        left = members.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
-        open_ = left.where("n > 2").groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("bucket")
-        return left.join(open_, "bucket").join(nodes.select("node", "sketch"), "node")
+        """Members of the buckets that hold several components, with the sizes of these."""
+        left = written(members.where("n > 2").join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component")), "labelled")
+        sizes = written(left.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k")), "sizes")
+        pool = F.coalesce(F.sum(F.when(F.col("k") < BLOCK, F.col("k"))), F.lit(0)).alias("pooled")
+        # A bucket has one entry for each BLOCK of its members at most.
+        larges = F.sort_array(F.collect_list(F.when(F.col("k") >= BLOCK, F.struct("component", "k")))).alias("larges")
+        open_ = written(sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), pool, larges).where("c > 1").join(sizes, "bucket").drop("c"), "open-sizes")
+        return left.join(open_, ["bucket", "component"]).join(nodes.select("node", "sketch"), "node")
 
     def linked(pairs: DataFrame) -> None:
         nonlocal links, labels, tested

@@ -11,7 +11,7 @@ are grouped by the Jaccard similarity of their five-word shingles, and a group c
 So what only the copies of a text share stays for document dedup to judge, and boilerplate goes from copies as well.
 
 The tree's counts are sums by (leaf, place, token), so that they don't depend on the order of lines, and no leaf is
-gathered anywhere: only lines of leaves that hold different lines are taken apart, and hot leaves are dealt by line.
+gathered anywhere: only lines of leaves that hold different lines are taken apart.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm._spark import fresh, id_filter, row_key, salted_join, sized_join, sliced, written
+from terrace.llm._spark import fresh, id_filter, row_key, sized_join, sliced, written
 from terrace.llm.cminhash import near_duplicates
 
 MIN_DOCS = 3
@@ -83,12 +83,12 @@ def generalised(lines: DataFrame) -> DataFrame:
     """masked and template of each line whose template has variable fields beyond those with digits."""
     forms = written(lines.select("leaf", "masked", "row").distinct().groupBy("leaf", "masked").agg(F.count(F.lit(1)).alias("docs")), "forms")
     leaves = written(forms.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum("docs").alias("d")).where(f"n > 1 AND d >= {MIN_DOCS}").select("leaf"), "leaves")
-    wanted = written(salted_join(forms, leaves, ["leaf"], "left_semi", ["masked"]), "wanted")
+    wanted = written(sized_join(forms, leaves, "leaf", "left_semi"), "wanted")
     texts = sized_join(lines.where("body IS NOT NULL").select("masked", "body"), wanted.select("masked"), "masked", "left_semi")
     bodies = texts.groupBy("masked").agg(F.first("body").alias("body"))
     tokens = wanted.join(bodies, "masked").select("leaf", "masked", "docs", F.posexplode(F.split("body", " ")).alias("place", "token"))
     constant = written(tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("n")).where(f"n >= {MIN_DOCS}").select("leaf", "place", "token", F.lit(True).alias("constant")), "constant")
-    marked = salted_join(tokens, constant, ["leaf", "place", "token"], "left", ["masked"]).withColumn("kept", F.coalesce("constant", F.lit(False)))
+    marked = sized_join(tokens, constant, ["leaf", "place", "token"], "left").withColumn("kept", F.coalesce("constant", F.lit(False)))
     # The tokens of one line meet in one row.
     built = marked.groupBy("leaf", "masked").agg(F.count_if("kept").alias("k"), F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.struct("place", F.when(F.col("kept"), F.col("token")).otherwise(FIELD).alias("token")))).alias("tokens"))
     template = F.unhex(F.md5(F.concat(F.lower(F.hex("leaf")), F.lit("/"), F.array_join("tokens.token", " "))))

@@ -1,6 +1,9 @@
+import math
 import random
 import zlib
 
+import zstandard
+
 from terrace.llm import toxicity
 from tests.llm import corpus
 
@@ -48,3 +51,51 @@ def test_odd_rows_and_no_labels(spark):
     assert len(rows) == docs.count() and rows.score.between(0, 1).all()
     _, labels, _ = labelled(spark, 60)
     assert toxicity.classified(docs.limit(0), labels).count() == 0
+
+
+def plain_score(model, text):
+    """Score of a text in plain Python: windows, their lengths with either dictionary, and the logistic."""
+    def length(window, content):
+        known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        known.precompute_compress(level=3)
+        return len(zstandard.ZstdCompressor(level=3, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False).compress(window))
+
+    raw, gains, at = (text or "").encode(), [], 0
+    while True:
+        window = raw[at : at + 64]
+        gains.append(length(window, model.ordinary) - length(window, model.ordinary + model.toxic))
+        at += 48
+        if at >= len(raw) - 16:
+            break
+    told = [g for g in gains if g >= 2]
+    x = (math.log1p(sum(told)), math.log1p(100 * sum(told) / len(gains)), math.log1p(len(told)))
+    return 1 / (1 + math.exp(-max(-30, min(30, sum(a * b for a, b in zip(x, model.weights)) + model.bias))))
+
+
+def test_scores_against_plain_python(spark):
+    docs, labels, _ = labelled(spark, 300)
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    long_ = " ".join(corpus.words(random.Random(9), 30_000)) + " worthless idiotic"
+    odd = [t for t in corpus.odd_texts(random.Random(7)) if not t or len(t) < 6000]
+    every = corpus.table(spark, [*texts[:60], *odd, long_, long_])
+    rows, share = toxicity.training_rows(docs, labels, ~toxicity.held_out())
+    model = toxicity.fitted(rows, share)
+    got = corpus.by_id(toxicity.scored(every, model)).score.tolist()
+    want = [plain_score(model, t) for t in [*texts[:60], *odd, long_]]
+    assert all(abs(a - b) < 1e-9 for a, b in zip(got, [*want, want[-1]])) and len(got) == len(want) + 1
+
+
+def test_a_huge_text_does_not_use_up_the_sample(spark):
+    docs, labels, _ = labelled(spark, 100)
+    huge = spark.range(1000, 1040).selectExpr("id AS doc_id", "repeat(concat(id, ' word '), 200000) AS text", "'en' AS lang", "'s' AS source", "0L AS n_chars")
+    more = labels.unionByName(huge.selectExpr("doc_id", "1 AS quality", "1 AS toxic"))
+    rows, _ = toxicity.training_rows(docs.unionByName(huge), more, ~toxicity.held_out())
+    plain, _ = toxicity.training_rows(docs, labels, ~toxicity.held_out())
+    assert sorted(rows) == sorted(plain) and len(rows) > 60
+
+
+def test_null_ids_and_clashing_columns(spark):
+    docs, labels, _ = labelled(spark, 100)
+    more = docs.selectExpr("CASE WHEN doc_id % 9 <> 0 THEN doc_id END AS doc_id", "text", "doc_id AS score", "1 AS toxic", "2 AS copy")
+    rows = toxicity.classified(more.unionByName(more), labels).toPandas()
+    assert len(rows) == 200 and rows[rows.doc_id.isna()].held_out.all() and rows.score.between(0, 1).all()

@@ -65,8 +65,10 @@ class Codec:
         unknown = next((i for i, p in enumerate(pieces) if p.type == UNKNOWN), 0)
         fallback = bool(trainer.byte_fallback)
         if trainer.model_type == UNIGRAM:
-            # Pieces that text can't give must never win a path.
-            model = models.Unigram([(p.piece, p.score if p.type in (NORMAL, USER, UNKNOWN) else -1e6) for p in pieces], unk_id=unknown, byte_fallback=fallback)
+            # Pieces that text can't give must never win a path; users' own ones win, as scores are logarithms.
+            top = max([0.0, *(p.score for p in pieces if p.type == NORMAL)])
+            score = lambda p: len(p.piece.encode()) * top - 0.1 if p.type == USER else p.score if p.type in (NORMAL, UNKNOWN) else -1e6
+            model = models.Unigram([(p.piece, score(p)) for p in pieces], unk_id=unknown, byte_fallback=fallback)
         elif trainer.model_type == BPE:
             model = models.BPE({p.piece: i for i, p in enumerate(pieces)}, merges(proto), unk_token=pieces[unknown].piece, fuse_unk=True, byte_fallback=fallback)
         else:
@@ -82,10 +84,10 @@ class Codec:
         self.tokenizer = Tokenizer(model)
         self.tokenizer.normalizer = normalizers.Sequence(steps)
         self.tokenizer.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
-        own = [p.piece for p in pieces if p.type == USER]
+        own = [p.piece for p in pieces if p.type == USER and trainer.model_type == BPE]
         self.tokenizer.add_tokens([AddedToken(piece, normalized=False) for piece in own])
         inner = any(MARK in p.piece[1:] and p.piece.strip(MARK) for p in pieces)
-        self.by_word = self.prefix and spec.escape_whitespaces and not (spec.precompiled_charsmap or spec.remove_extra_whitespaces or inner or own)
+        self.by_word = self.prefix and spec.escape_whitespaces and not (spec.precompiled_charsmap or spec.remove_extra_whitespaces or inner or any(p.type == USER for p in pieces))
         self.begins = np.array([p.piece.startswith(MARK) for p in pieces])
 
     def normalise(self, text: str) -> str:
@@ -167,7 +169,9 @@ def encode_documents(docs: DataFrame, model_file: str, threads: int = 2, doc_id:
 
     A null text counts as an empty one and has no ids. round_trip: decoding gives the normalised text back; checked for
     every row (text with characters that neither the vocabulary nor byte fallback knows can't pass). parity: the ids
-    equal those of the sentencepiece library for the whole text; checked for every row. A caller who asks for a larger
+    equal those of the sentencepiece library for the whole text; checked for every row. Paths of a unigram model whose
+    scores are equal, up to the library's single precision, are told apart in different ways, and users' own pieces in a BPE model take the spaces around them.
+    Repeated rows are encoded each, very long texts whole, and an empty table gives no rows. A caller who asks for a larger
     parity_every gets it for rows without a doc_id and those whose doc_id it divides, and null elsewhere. ids_crc32: of
     the ids as little-endian uint32.
     """

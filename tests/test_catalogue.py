@@ -6,9 +6,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from terrace.plans import catalogue, review
+from terrace.plans import catalogue, review, supervision
 
-assert review
+assert review and supervision
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 

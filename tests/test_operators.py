@@ -2,8 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace.functions import html, text, values
-from terrace.operators import batching, catalog, match, merge, ordering, quality, runtime, search
+from terrace.operators import batching, catalog, match, merge, ordering, quality, rounds, runtime, search, selection, validate
 from terrace.sources import files
+from terrace.sources.shared import shared_folder
 
 
 def col(spark, values_, expr, kind="string"):
@@ -138,3 +139,54 @@ def test_profile_and_lookup(spark):
     df = spark.createDataFrame([(2, "b", None), (1, " ", None)], "k long, name string, price double")
     rows = {r.column_name: (r.sample, r.n_filled, r.inferred_type) for r in catalog.profile(df, "k", ["name", "price"]).collect()}
     assert rows == {"name": ("b", 1, "TEXT"), "price": (None, 0, "DECIMAL")}
+
+
+def test_what_must_be_refused(spark):
+    rows = spark.createDataFrame([(1, "/a/x.csv"), (2, "/a/y.csv")], "k int, path string")
+    asked = spark.createDataFrame([(1, "y.csv"), (2, "/b/z.csv")], "at int, value string")
+    with pytest.raises(ValueError, match="z.csv"):
+        selection.scoped(rows, "path", asked, "value", "at")
+    with pytest.raises(ValueError, match="path"):
+        validate.unexpected_columns(rows, ["k"])
+    progress = lambda *open_: spark.createDataFrame([(i, not o) for i, o in enumerate(open_)], "r int, all_resolved boolean")
+    assert rounds.single_open_round(progress(False, True, False), "r") == 1
+    for wrong in ((False, False), (True, True)):
+        with pytest.raises(ValueError):
+            rounds.single_open_round(progress(*wrong), "r")
+    assert rounds.resume_point(progress(False, False), "r").collect()[0].asDict() == {"resume_round": None, "completed_rounds": 2}
+
+
+def test_arguments():
+    assert selection.listed_ids(["a, B", "a", " "], lower=True) == ["a", "b"]
+    assert search.clean_keywords([" Web3", "web3", "", "Token "]) == ["web3", "token"]
+
+
+def test_orders_and_windows(spark):
+    rows = spark.createDataFrame([("9", "b", 1), ("10", "a", 2), ("n/a", "C", 3), ("", "b", 4), ("9", "a", 5)], "rank string, slug string, at int")
+    assert [r.at for r in rows.orderBy(*selection.rank_order(F.col("rank"), F.col("slug"), F.col("at"))).collect()] == [5, 1, 2, 4, 3]
+    assert [r.at for r in selection.window(rows, ["at"], 1, 0).collect()] == [2, 3, 4, 5]
+
+
+def test_a_stream_of_no_files_has_no_state(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "2020-01-01")], "k int, at string").limit(0)
+    rows.write.parquet(f"{tmp_path}/none.parquet")
+    from terrace.streaming.progress import replayed
+
+    assert replayed(spark, str(tmp_path), "none", "k", "at").count() == 0
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_folder(Session())

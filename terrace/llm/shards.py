@@ -4,7 +4,7 @@ Copies of a text are linked. Every row starts in a shard by its place in a hash
 counts at most one apart. In each round the members of a group of copies look at where most of them are, and ask to
 move there. Requests from shard a to shard b are granted up to a quota: as many as rows come back from b to a, be it on
 request or as volunteers, rows without copies who don't mind. So counts never change, and every granted request takes
-away cut links. Rounds end when no more is granted or after MAX_ROUNDS.
+away cut links. Rounds end when no more is granted, as they must: each one leaves fewer cut links.
 
 A group larger than a part of a shard is first dealt into clans of bounded size by a hash; each clan then gathers for
 itself, so that the hot text of a third of all rows fills shard after shard instead of asking for one in vain.
@@ -16,13 +16,13 @@ and a row's place within its bucket does the rest. Nothing is sorted as a whole,
 from __future__ import annotations
 
 from collections import defaultdict
+from itertools import count
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.llm._spark import sized_join, written
 
-MAX_ROUNDS = 6
 #: Clans hold at most one part in so many of a shard.
 CLAN_SHARE = 2
 #: Rows that a bucket of a ranking holds, about.
@@ -30,12 +30,14 @@ BUCKET_ROWS = 20_000
 EXTRA = 8
 
 
-def ranked(rows: DataFrame, by: list[str], order: list[str], name: str, buckets: int, salt: int) -> DataFrame:
-    """rows with name: gapless places from 0 within each value of by, in the order of (bucket, order).
+def ranked(rows: DataFrame, by: list[str], order: list[str], name: str, buckets: int, salt: int, level: Column | None = None) -> DataFrame:
+    """rows with name: gapless places from 0 within each value of by, in the order of (level, bucket, order).
 
     Buckets are hashes of order; each is sorted alone, and its base is the sum of the counts of the buckets before it.
+    Rows of a lower level (0 by default) come before all others, however many buckets there are.
     """
-    spread = rows.withColumn("_b", F.pmod(F.xxhash64(F.lit(salt), *order), F.lit(buckets)))
+    hashed = F.pmod(F.xxhash64(F.lit(salt), *order), F.lit(buckets))
+    spread = rows.withColumn("_b", (F.lit(0) if level is None else level.cast("long")) * buckets + hashed)
     before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     counts = spread.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
     bases = counts.select(*by, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
@@ -90,7 +92,7 @@ def sharded(docs: DataFrame, shards: int = 24, doc_id: str = "doc_id", text: str
         F.pmod(F.col("place"), F.lit(shards)).cast("int").alias("shard"),
     )
     now = written(known, "shards")
-    for turn in range(MAX_ROUNDS):
+    for turn in count():
         counts = now.where("clan IS NOT NULL").groupBy("clan", "shard").agg(F.count(F.lit(1)).alias("k"))
         # Most members win; ties go by a hash, not to the low numbers.
         homes = counts.groupBy("clan").agg(F.max_by("shard", F.struct("k", F.xxhash64("clan", "shard"))).alias("home"), F.max("k").alias("there"))
@@ -104,8 +106,8 @@ def sharded(docs: DataFrame, shards: int = 24, doc_id: str = "doc_id", text: str
             break
         spark = docs.sparkSession
         granted = spark.createDataFrame([(a, b, k) for (a, b), k in grants.items()], "shard int, to int, quota long")
-        # Within a bucket, clans of which most members are there come first: they close soonest.
-        asked = ranked(wishes.where("to IS NOT NULL").withColumn("late", -F.col("there")), ["shard", "to"], ["late", "clan", "place"], "rank", buckets, turn)
+        # Clans of which most members are there come first, by powers of two: they close soonest.
+        asked = ranked(wishes.where("to IS NOT NULL"), ["shard", "to"], ["clan", "place"], "rank", buckets, turn, 63 - F.floor(F.log2("there")))
         moves = asked.join(F.broadcast(granted), ["shard", "to"]).where("rank < quota").select("place", "to")
         if back:
             spans, rows_back = [], []

@@ -27,7 +27,10 @@ def _encoding(rank_file: str, pattern: str):
 
 
 def encoded_lengths(docs: DataFrame, rank_file: str, pattern: str, text: str = "text") -> DataFrame:
-    """n_tokens (long) of each row; a null or empty text has 0."""
+    """n_tokens (long) of each row; a null or empty text has 0.
+
+    Repeated rows count each, rows without doc_id like others, very long texts whole; an empty table gives no rows.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoding(rank_file, pattern).encode_ordinary

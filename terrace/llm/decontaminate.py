@@ -43,8 +43,8 @@ DEEP = 100
 LEAST_AGREED = 0.2
 #: Bytes that an item must have behind a start for the walk to begin there.
 LEAST_REST = 20
-#: Characters of the stretches that an item and a window must share before they are compared.
-GRAM = 4
+#: Bytes of the stretches that an item and a window must share before they are compared, and bits of their hashes.
+GRAM, GRAM_BITS = 4, 14
 #: Characters of the longest item that is found by its pieces.
 SHORT = 64
 #: Bytes of items in one pass over the documents; an index takes some 20 times that in a worker.
@@ -88,7 +88,6 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]], max_share: float, recall: float):
         self.items = items
-        self._grams: dict[int, set[str]] = {}
         self.limit = [int(max_share * len(n)) for _, n in items]
         raw = [n.encode() for _, n in items]
         self.sizes = np.array([len(r) for r in raw], np.int64)
@@ -102,6 +101,8 @@ class Index:
         owner = np.searchsorted(begins, starts, "right") - 1
         good = self.sizes[owner] - (starts - begins[owner]) >= LEAST_REST
         starts, owner = starts[good], owner[good]
+        self.begins, self.grams = begins, gram_hashes(self.buffer)
+        self.least = [self.least_grams(i) for i in range(len(items))]
         self.starts, self.owner, self.offset = starts.astype(np.int32), owner.astype(np.int32), (starts - begins[owner]).astype(np.int32)
         self.depth = np.array([_depth(len(n), len(r), k, max_share, recall) for (_, n), r, k in zip(items, raw, np.bincount(owner, minlength=len(items)))], np.int64)
         self.bits = int(np.clip(np.ceil(np.log2(len(starts) + 1)) + 5, 16, 27))
@@ -127,11 +128,10 @@ class Index:
             self.maps.append(maps)
             self.keys.append(keys)
 
-    def grams(self, i: int) -> set[str]:
-        if i not in self._grams:
-            item = self.items[i][1]
-            self._grams[i] = {item[k : k + GRAM] for k in range(len(item) - GRAM + 1)}
-        return self._grams[i]
+    def least_grams(self, i: int) -> int:
+        """How many grams of an item stand unchanged in any passage within its limit: an edit takes away those it touches."""
+        widest = max(map(len, map(str.encode, set(self.items[i][1]))))
+        return int(self.sizes[i]) - GRAM + 1 - (GRAM - 1 + widest) * self.limit[i]
 
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -189,6 +189,17 @@ def _depth(chars: int, size: int, starts: int, share: float, recall: float) -> i
     return DEPTHS[0]
 
 
+def gram_hashes(buffer: np.ndarray) -> np.ndarray:
+    """A hash of GRAM_BITS bits for the GRAM bytes from each place on."""
+    out = np.zeros(max(0, len(buffer) - GRAM + 1), np.uint32)
+    for k in range(GRAM):
+        out *= np.uint32(0x01000193)
+        out ^= buffer[k : k + len(out)]
+    out *= np.uint32(0x9E3779B1)
+    out >>= np.uint32(32 - GRAM_BITS)
+    return out.astype(np.uint16)
+
+
 def walk_starts(buffer: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """Places where a word begins behind a space or a text, and every character of scripts that don't space words."""
     word = buffer > 32
@@ -294,23 +305,29 @@ class Items:
         raw = b"".join(raws)
         buffer = np.frombuffer(raw + bytes(STRATA[-1] + DEEP + 1), np.uint8)
         at, walk = index.candidates(buffer, walk_starts(buffer[: len(raw)], begins))
-        doc, item = np.searchsorted(ends, at, "right"), index.owner[walk]
+        doc, item = np.searchsorted(ends, at, "right"), index.owner[walk].astype(np.int64)
+        start = at - index.offset[walk]
+        order = np.lexsort((start, doc, item))
+        grams = gram_hashes(buffer)
         best: dict[tuple[int, int], int] = {}
         tried: set[tuple[int, int, int]] = set()
-        for d, i, start in zip(doc.tolist(), item.tolist(), (at - index.offset[walk]).tolist()):
+        held = np.zeros(1 << GRAM_BITS, bool)
+        for d, i, x in zip(doc[order].tolist(), item[order].tolist(), start[order].tolist()):
             limit = index.limit[i]
             # Edits in front of the key shift the start by limit characters at most. A start within half of what the slack
             # adds to that lies in the same window as one that was tried.
             slack = 2 * -(-limit * int(index.sizes[i]) // len(index.items[i][1])) + 32
-            if best.get((d, i)) == 0 or (d, i, start // (slack // 2 + 1)) in tried:
+            if best.get((d, i)) == 0 or (d, i, x // (slack // 2 + 1)) in tried:
                 continue
-            tried.add((d, i, start // (slack // 2 + 1)))
-            window = raw[max(int(begins[d]), start - slack) : min(int(ends[d]), start + int(index.sizes[i]) + slack)].decode("utf-8", "ignore")
-            # An edit takes away GRAM of an item's grams at most, the others stand in the window.
-            held = {window[k : k + GRAM] for k in range(len(window) - GRAM + 1)}
-            if len(index.grams(i) - held) > GRAM * limit:
+            tried.add((d, i, x // (slack // 2 + 1)))
+            a, b = max(int(begins[d]), x - slack), min(int(ends[d]), x + int(index.sizes[i]) + slack)
+            own, there = index.grams[index.begins[i] : index.begins[i] + int(index.sizes[i]) - GRAM + 1], grams[a : b - GRAM + 1]
+            held[there] = True
+            shared = np.count_nonzero(held[own])
+            held[there] = False
+            if shared < index.least[i]:
                 continue
-            found = distance_within(index.items[i][1], window)
+            found = distance_within(index.items[i][1], raw[a:b].decode("utf-8", "ignore"))
             if found <= limit and found < best.get((d, i), limit + 1):
                 best[d, i] = found
         for (d, i), x in sorted(best.items()):

@@ -227,10 +227,10 @@ def selected_rows(read):
     return selection.projected(selection.without(rows, "c_custkey", [7, 11]), ["c_name", "extra", "c_nationkey"])
 
 
-@query("""SELECT s_suppkey, CASE s_suppkey WHEN 3 THEN 1 WHEN 12 THEN 2 WHEN 5 THEN 4 END::BIGINT AS scope_order FROM supplier WHERE s_suppkey IN (3, 5, 12)""")
+@query("""SELECT s_suppkey, CASE s_suppkey WHEN 3 THEN 1 WHEN 8 THEN 2 WHEN 5 THEN 4 END::BIGINT AS scope_order FROM supplier WHERE s_suppkey IN (3, 5, 8)""")
 def scoped_rows(read):
     rows = read("supplier").select("s_suppkey", F.concat(F.lit("/in/batch_"), F.col("s_suppkey").cast("string"), F.lit(".jsonl")).alias("path"))
-    asked = rows.sparkSession.createDataFrame([(1, "/in/batch_3.jsonl"), (2, "batch_12.jsonl"), (3, "batch_3.jsonl"), (4, " batch_5.jsonl "), (5, "")], "at long, value string")
+    asked = rows.sparkSession.createDataFrame([(1, "/in/batch_3.jsonl"), (2, "batch_8.jsonl"), (3, "batch_3.jsonl"), (4, " batch_5.jsonl "), (5, "")], "at long, value string")
     return selection.scoped(rows, "path", asked, "value", "at").select("s_suppkey", "scope_order")
 
 

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import cminhash, decontaminate, host_rules, line_templates, sentencepiece_codec, shards, surrogates, token_files, token_lengths, toxicity
+from terrace.llm import cminhash, decontaminate, host_rules, line_templates, prefix_trie, sentencepiece_codec, shards, surrogates, text_density, token_files, token_lengths, toxicity, wand
 from terrace.llm._spark import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -67,6 +67,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digest(spark, table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)
 
 
+def op11_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return wand.search(wand.index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_density.extracted(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
@@ -78,10 +91,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_templates": op8_line_templates,
     "op9_token_lengths": op9_token_lengths,
     "op10_token_files": op10_token_files,
+    "op11_wand": op11_wand,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_text_density": op13_text_density,
     "pipeline": corpus_pipeline.run,
 }
 
 _SPACE = r"[^\x20\x09-\x0D]"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
     "op6_host_rules": rf"""
@@ -151,4 +169,36 @@ q AS (SELECT id, list(DISTINCT line_no) AS drops FROM y JOIN w USING (template)
 SELECT a.doc_id, CASE WHEN q.id IS NULL THEN a.text ELSE array_to_string([v FOR v, i IN string_split(a.text, chr(10)) IF NOT list_contains(q.drops, i - 1)], chr(10)) END AS text,
        CASE WHEN a.text IS NULL OR a.text = '' THEN 0 ELSE len(string_split(a.text, chr(10))) END::BIGINT AS n_lines, coalesce(len(q.drops), 0)::BIGINT AS n_dropped
 FROM documents a LEFT JOIN q ON q.id = md5(concat_ws(chr(31), a.doc_id::VARCHAR, a.text))""",
+    "op11_wand": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS w FROM documents),
+n AS (SELECT row_number() OVER () AS id, doc_id, len(w)::BIGINT AS n, w FROM d WHERE len(w) > 0),
+a AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS l FROM n),
+m AS (SELECT id, doc_id, w, 50 + (50 * n * nn) // l AS m FROM n, a),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark),
+u AS (SELECT id, doc_id, m, unnest(w) AS term FROM m),
+p AS (SELECT id, doc_id, m, term, count(*)::BIGINT AS tf FROM u SEMI JOIN q ON q.term = u.term GROUP BY ALL),
+t AS (SELECT term, floor(1000 * ln((2 * any_value(nn) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, a GROUP BY term),
+s AS (SELECT item_id, id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score FROM q JOIN p USING (term) JOIN t USING (term) GROUP BY ALL HAVING score > 0)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score FROM s QUALIFY rank <= 50""",
+    "op12_prefix_trie": """
+WITH RECURSIVE t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS p,
+         md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS k, strlen(coalesce(text, ''))::BIGINT AS b
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list(k ORDER BY p) AS k, list(b ORDER BY p) AS b FROM t GROUP BY c),
+h AS (
+  SELECT c, k, b, xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split(c::VARCHAR, '')]),
+    LAMBDA s, x: list_reduce(list_prepend(xor(s, x), range(8)), LAMBDA y, i: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END)), 4294967295) % 9 AS h FROM o),
+r AS (
+  SELECT a.c, list_concat(coalesce(z.k[:a.h], []), a.k[a.h + 1:]) AS k, list_concat(coalesce(z.b[:a.h], []), a.b[a.h + 1:]) AS b
+  FROM h a LEFT JOIN h z ON z.c = a.c - a.c % 5),
+m AS (SELECT c, u.d AS d, array_to_string(k[:u.d], '/') AS node, CASE WHEN u.d > 0 THEN array_to_string(k[:u.d - 1], '/') END AS up, coalesce(b[u.d], 0) AS b, len(k) = u.d AS ends FROM r, unnest(range(len(k) + 1)) AS u(d)),
+n AS (
+  SELECT node, d, any_value(up) AS up, min(c) AS conv_id, count(*) AS n, any_value(b) AS b,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM m GROUP BY node, d),
+k AS (SELECT n.*, (SELECT count(*) FROM n x WHERE x.up = n.node AND x.d = n.d + 1) AS n_children FROM n),
+g AS (SELECT node AS top, d AS td, node, d, n_children, (n - 1) * b AS saved FROM k UNION ALL SELECT g.top, g.td, k.node, k.d, k.n_children, (k.n - 1) * k.b FROM g JOIN k ON k.up = g.node AND k.d = g.d + 1),
+f AS (SELECT top, td, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM g GROUP BY 1, 2)
+SELECT k.conv_id, k.d AS depth, x.conv_id AS parent_conv_id, k.n AS n_convs, k.n_children, n_leaves, saved_tokens, k.ends_sha256
+FROM k JOIN f ON f.top = k.node AND f.td = k.d LEFT JOIN n x ON x.node = k.up AND x.d = k.d - 1""",
 }

@@ -15,6 +15,11 @@ def collapsed(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, " "))
 
 
+def stripped(text: Column) -> Column:
+    """Text without Unicode white space at its ends; null becomes an empty text."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)^\s+|\s+$", "")
+
+
 def limited(text: Column, most: int) -> Column:
     """The collapsed text cut to most characters, without a space at its end."""
     return F.rtrim(F.substring(collapsed(text), 1, most))

@@ -1,13 +1,17 @@
-"""Numbers, states and lists in text, as Column expressions; the strict JSON arms are Arrow-batched."""
+"""Numbers, states and lists in text, as Column expressions; only JSON that the engine refuses is read in Arrow batches."""
 
 from __future__ import annotations
 
 import ast
 import json
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType
+
+from terrace.functions.text import stripped
 
 NUMERIC = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 
@@ -17,11 +21,16 @@ def optional_int(value: Column, default: int) -> Column:
 
 
 def bucketed(value: Column) -> Column:
-    """high, medium and low pass; numbers from 0.8 are high, from 0.5 medium, else low; other text stays."""
+    """high, medium and low pass as they are; numbers from 0.8 are high, from 0.5 medium, else low; other text stays.
+
+    HIGH is none of the three and stays, so that a validator sees it. Infinities are numbers, and nan is one that is low.
+    """
     text = F.trim(value.cast("string"))
+    word = F.lower(F.regexp_replace(text, r"^[+-]", ""))
+    infinite = F.when(word.isin("inf", "infinity"), F.when(F.startswith(text, F.lit("-")), "low").otherwise("high")).when(word == "nan", "low")
     number = F.when(F.regexp_like(text, F.lit(NUMERIC)), text.try_cast("double"))
     level = F.when(number >= 0.8, "high").when(number >= 0.5, "medium").when(number.isNotNull(), "low")
-    return F.when(F.lower(text).isin("high", "medium", "low"), F.lower(text)).otherwise(F.coalesce(level, text))
+    return F.coalesce(level, infinite, text)
 
 
 def effective_status(rules: list[tuple[Column, str]], otherwise: Column) -> Column:
@@ -49,18 +58,26 @@ def inferred_type(name: Column) -> Column:
     )
 
 
+@lru_cache
+def _strict():
+    @F.pandas_udf(BooleanType())
+    def strict(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: _as_list(x, json.loads) is not None)
+
+    return strict
+
+
 def is_json_list(value: Column) -> Column:
     """Whether a text is a JSON list by the strict rules.
 
-    Text that doesn't begin with a bracket is none; the rest is read in Arrow batches, as the engine's own parser takes
-    single quotes and bare words too.
+    Text that doesn't begin and end with brackets is none. The engine's parser is asked for the text within an object and
+    within a list, so that nothing can follow it; what it refuses (NaN, equal keys) goes to a strict reader in Arrow batches.
     """
-
-    @F.pandas_udf("boolean")
-    def strict(values: pd.Series) -> pd.Series:
-        return values.map(lambda x: _as_list(x, json.loads) is not None)
-
-    return F.when(F.regexp_like(F.coalesce(value, F.lit("")), F.lit(r"^\s*\[")), strict(value)).otherwise(False)
+    text = F.coalesce(value, F.lit(""))
+    framed = F.concat(F.lit("["), text, F.lit("]"))
+    maybe = F.regexp_like(text, F.lit(r"^[ \t\n\r]*\[(?s:.*)\][ \t\n\r]*$"))
+    sure = F.try_parse_json(F.concat(F.lit('{"a":'), text, F.lit("}"))).isNotNull() & F.try_parse_json(framed).isNotNull() & (F.json_array_length(framed) == 1)
+    return F.when(~maybe, False).when(sure, True).otherwise(F.coalesce(_strict()(F.when(maybe & ~sure, text)), F.lit(False)))
 
 
 def _as_list(text: str | None, read) -> list | None:
@@ -98,31 +115,45 @@ def _quoted_list(text: str) -> list | None:
     return next((found for t in tries if (found := _as_list(t.strip(), json.loads)) is not None), None)
 
 
-def normal_list(value: Column) -> Column:
-    """Text that stands for a list as a compact JSON list; a blank text stays empty.
-
-    In this order: a JSON list; a literal of a list or of bare items; none and null, which are empty; a JSON list behind
-    damaged quotes; parts between pipes; any other text is a list of itself.
-    """
+@lru_cache
+def _normal():
+    readers = (
+        lambda t: _as_list(t, json.loads),
+        lambda t: _as_list(t, ast.literal_eval),
+        lambda t: [] if t.lower() in ("none", "null") else None,
+        _quoted_list,
+        lambda t: [p.strip() for p in t.split("|") if p.strip()] if "|" in t else None,
+        lambda t: [t],
+    )
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(StringType())
     def normal(values: pd.Series) -> pd.Series:
-        readers = (
-            lambda t: _as_list(t, json.loads),
-            lambda t: _as_list(t, ast.literal_eval),
-            lambda t: [] if t.lower() in ("none", "null") else None,
-            _quoted_list,
-            lambda t: [p.strip() for p in t.split("|") if p.strip()] if "|" in t else None,
-            lambda t: [t],
-        )
+        return values.map(lambda t: None if t is None else _json_text(next(found for r in readers if (found := r(t)) is not None)))
 
-        def one(x):
-            text = (x or "").strip()
-            return _json_text(next(found for r in readers if (found := r(text)) is not None)) if text else ""
+    return normal
 
-        return values.map(one)
 
-    return normal(value)
+#: Text that is no literal and no JSON: it begins with a letter and has neither brackets, quotes, commas nor control characters.
+BARE = r"""^[A-Za-z][^\[\](){},'"\\\x00-\x1f\x7f-\x9f]*$"""
+#: A JSON list of strings without escapes.
+STRINGS = r"""^\[ *(?:"[^"\\\x00-\x1f]*+" *(?:, *"[^"\\\x00-\x1f]*+" *)*+)?\]$"""
+#: Characters up to which patterns look at lists, as they recurse by item.
+PATTERN_CHARS = 4000
+
+
+def normal_list(value: Column) -> Column:
+    """Text that stands for a list as a compact JSON list; a blank text stays empty.
+
+    In this order: a JSON list; a literal of a list or of bare items; none and null, which are empty; a JSON list behind
+    damaged quotes; parts between pipes; any other text is a list of itself. Bare words and lists of plain strings, which
+    most texts are, stay in the engine; the rest is read in Arrow batches.
+    """
+    text = stripped(value)
+    parts = F.filter(F.transform(F.split(text, r"\|"), stripped), lambda x: x != "")
+    words = F.when(F.lower(text).isin("none", "null"), "[]").when(F.contains(text, F.lit("|")), F.to_json(parts)).otherwise(F.to_json(F.array(text)))
+    bare, strings = F.regexp_like(text, F.lit(BARE)), (F.length(text) <= PATTERN_CHARS) & F.regexp_like(text, F.lit(STRINGS))
+    known = (text == "") | bare | strings
+    return F.when(text == "", "").when(bare, words).when(strings, F.to_json(F.from_json(text, "array<string>"))).otherwise(_normal()(F.when(~known, text)))
 
 
 def split_list(value: Column) -> Column:
@@ -154,11 +185,6 @@ def clean_tags(tags: Column) -> Column:
     return F.to_json(F.filter(F.transform(F.coalesce(tags, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != ""))
 
 
-def defaulted(payload: dict[str, Column]) -> dict[str, Column]:
-    """Every value as text, an empty one for null."""
-    return {c: F.coalesce(v.cast("string"), F.lit("")) for c, v in payload.items()}
-
-
 def object_without(value: Column, required: list[str]) -> Column:
     """What is wrong with a JSON object in text: blank, not_json, not_an_object, or missing and the absent keys; null if nothing is."""
     text = F.trim(F.coalesce(value, F.lit("")))

@@ -49,9 +49,3 @@ def escalated(counts: DataFrame, rules: list[tuple[int, str]], count: str) -> Da
     for threshold, name in rules:
         action = F.when(F.col(count) >= threshold, name).otherwise(action)
     return counts.withColumn("action", action)
-
-
-def slotted(pending: DataFrame, order: list, slots: int) -> DataFrame:
-    """The first rows in order, each with a slot from 1; as many as there are slots."""
-    first = pending.orderBy(*order).limit(slots)
-    return first.withColumn("slot", F.row_number().over(Window.orderBy(*order)).cast("long"))

@@ -55,39 +55,10 @@ def repaired_ragged(parts: Column, width: int, anchor: int) -> Column:
     return F.when(extra > 0, fixed).otherwise(F.concat(parts, F.array_repeat(F.lit(""), F.greatest(-extra, F.lit(0)))))
 
 
-def output_state(exists: Column, header_ok: Column, rows: Column, expected: Column) -> Column:
-    return (
-        F.when(~exists, "missing").when(~header_ok, "header_mismatch").when(rows == 0, "header_only").when(rows < expected, "partial").when(rows > expected, "surplus").otherwise("completed")
-    )
-
-
-def repaired_result(row: dict[str, Column]) -> list[dict[str, Column]]:
-    """Steps that put shifted fields back, to be applied one after another, as each reads what the one before left.
-
-    A level that stands in the status column goes to an empty confidence; a state that stands in the confidence column
-    goes to the status; a link in the name column goes to an empty link column.
-    """
-    level = lambda c: F.lower(c).isin("high", "medium", "low")
-    state = lambda c: F.lower(c).isin("completed", "failed", "skipped")
-    swap = level(row["status"]) & state(row["confidence"])
-    first = {"status": F.when(swap, row["confidence"]).otherwise(row["status"]), "confidence": F.when(swap, row["status"]).otherwise(row["confidence"])}
-    lone = level(row["status"]) & (row["confidence"] == "")
-    second = {"confidence": F.when(lone, row["status"]).otherwise(row["confidence"]), "status": F.when(lone, "").otherwise(row["status"])}
-    link = F.regexp_like(row["name"], F.lit("^https?://")) & (row["link"] == "")
-    third = {"link": F.when(link, row["name"]).otherwise(row["link"]), "name": F.when(link, "").otherwise(row["name"])}
-    return [first, second, third]
-
-
-def applied(df: DataFrame, steps: list[dict[str, Column]]) -> DataFrame:
-    for step in steps:
-        df = df.withColumns(step)
-    return df
-
-
-def evidence_text(flag: Column, sources: Column, most: int = 3) -> Column:
-    """A sentence for yes, naming the first sources, and one for no; other text stays."""
-    named = F.array_join(F.slice(sources, 1, most), ", ")
-    return F.when(F.lower(flag) == "yes", F.when(F.size(sources) > 0, F.concat(F.lit("Supported by "), named)).otherwise("Supported without sources")).when(F.lower(flag) == "no", "No evidence found").otherwise(flag)
+def output_state(exists: Column, readable: Column, header_ok: Column, rows: Column, expected: Column) -> Column:
+    """missing, unreadable, header_mismatch, header_only, completed or partial; more rows than expected are partial too."""
+    known = F.when(~exists, "missing").when(~readable, "unreadable").when(~header_ok, "header_mismatch").when(rows == 0, "header_only")
+    return known.when((expected > 0) & (rows == expected), "completed").otherwise("partial")
 
 
 def guarded(errors: DataFrame, allow_partial: bool = False) -> None:

@@ -5,33 +5,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.functions.text import blank
 from terrace.operators.ordering import best
 
 # How attempts rank by state, and modes that do a whole batch.
 STATE_RANK = {"completed": 4, "partial_prefix": 3, "header_only": 1, "partial_misaligned": 0}
+FULL_MODES = ("fresh_full_batch", "fresh_restart", "continue_from_prefix")
 
 
-def attempt_order() -> list[Column]:
-    """State, valid prefix, rows that both files have, last activity and attempt number, the largest being best."""
+def progress_rows(*counters: Column) -> Column:
+    """The largest of the counters, missing ones as 0."""
+    return F.greatest(*(F.coalesce(c, F.lit(0)) for c in counters), F.lit(0))
+
+
+def attempt_order(merged: Column | None = None) -> list[Column]:
+    """State, valid prefix, rows that both files have, last activity and attempt number, the largest being best.
+
+    merged: whether a candidate was put together from shards; such ones go before others of their state.
+    """
     rank = F.lit(0)
     for state, value in STATE_RANK.items():
         rank = F.when(F.col("state") == state, value).otherwise(rank)
-    return [rank, F.coalesce("prefix_len", F.lit(0)), F.coalesce(F.least("classifier_rows", "result_rows"), F.lit(0)), F.coalesce("last_activity", F.lit(0.0)), F.coalesce("attempt_index", F.lit(0))]
+    both = F.least(*(F.coalesce(c, F.lit(0)) for c in ("classifier_rows", "result_rows")))
+    source = [] if merged is None else [merged.cast("int")]
+    return [rank, *source, F.coalesce("prefix_len", F.lit(0)), both, F.coalesce("last_activity", F.lit(0.0)), F.coalesce("attempt_index", F.lit(0))]
 
 
-def chosen_attempts(attempts: DataFrame, key: str, full_modes: list[str]) -> DataFrame:
+def chosen_attempts(attempts: DataFrame, key: str) -> DataFrame:
     """For each batch the attempt that counts: attempt_index, state and prefix_len.
 
     attempts: state, prefix_len, classifier_rows, result_rows, last_activity, attempt_index, mode and is_current. The
-    best one counts, but the current one stays if it is a fresh restart, or if nothing is completed and it does a whole
-    batch or has rows and no shorter prefix.
+    best one counts, but the current one stays if it is a fresh restart, or if nothing is completed and its mode is one of
+    FULL_MODES or it has rows and no shorter prefix. A blank mode is a fresh_full_batch; missing numbers are 0.
     """
     columns = ["attempt_index", "state", "prefix_len"]
     top = best(attempts, [key], attempt_order(), columns)
-    current = attempts.where("is_current").groupBy(key).agg(F.max_by(F.struct(*(F.col(c).alias(f"cur_{c}") for c in columns), F.col("mode").alias("cur_mode"), (F.least("classifier_rows", "result_rows") > 0).alias("cur_begun")), "attempt_index").alias("c")).select(key, "c.*")
+    mode = F.when(blank(F.col("mode")), "fresh_full_batch").otherwise(F.trim("mode"))
+    begun = F.least(*(F.coalesce(c, F.lit(0)) for c in ("classifier_rows", "result_rows"))) > 0
+    current = attempts.where("is_current").groupBy(key).agg(F.max_by(F.struct(*(F.col(c).alias(f"cur_{c}") for c in columns), mode.alias("cur_mode"), begun.alias("cur_begun")), "attempt_index").alias("c")).select(key, "c.*")
     joined = top.join(current, key, "left")
-    stays = (F.col("cur_mode") == "fresh_restart") | ((F.col("state") != "completed") & (F.col("cur_mode").isin(full_modes) | (F.col("cur_begun") & (F.col("cur_prefix_len") >= F.col("prefix_len")))))
-    keep = F.coalesce(F.col("cur_attempt_index").isNotNull() & stays, F.lit(False))
+    longer = F.coalesce("cur_prefix_len", F.lit(0)) >= F.coalesce("prefix_len", F.lit(0))
+    stays = (F.col("cur_mode") == "fresh_restart") | (~F.col("state").eqNullSafe("completed") & (F.col("cur_mode").isin(*FULL_MODES) | (F.col("cur_begun") & longer)))
+    keep = F.coalesce(F.col("cur_mode").isNotNull() & stays, F.lit(False))
     return joined.select(key, *(F.when(keep, F.col(f"cur_{c}")).otherwise(F.col(c)).alias(c) for c in columns), keep.alias("kept_current"))
 
 
@@ -112,14 +127,6 @@ def upserted_one(rows: DataFrame, place: str, key: str, row: dict[str, str]) ->
     return changed.unionByName(more)
 
 
-def job_status(rules: list[tuple[Column, str, str]]) -> Column:
-    """A struct of status and reason by the first rule that holds: (condition, status, reason)."""
-    out = F.struct(F.lit("unknown").alias("status"), F.lit("no rule holds").alias("reason"))
-    for holds, status, reason in reversed(rules):
-        out = F.when(holds, F.struct(F.lit(status).alias("status"), F.lit(reason).alias("reason"))).otherwise(out)
-    return out
-
-
 def guarded_prefix(writes: DataFrame, preserved: DataFrame, key: str) -> DataFrame:
     """Writes whose key belongs to the preserved rows: those that must be refused."""
     return writes.join(preserved.select(key), key, "left_semi")

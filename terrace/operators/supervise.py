@@ -1,4 +1,4 @@
-"""What a supervisor reads from a schedule and writes into it: summaries, views of the queue, transitions and audits."""
+"""What schedules and their outputs say: summaries, overviews, comparisons, scopes and audits."""
 
 from __future__ import annotations
 
@@ -7,10 +7,30 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.functions.text import blank
+from terrace.functions.text import stripped
 from terrace.functions.values import list_length
+from terrace.operators.rounds import progress_rows
 
-STICKY = ("retry_capped", "long_tail_deferred", "schema_error_quarantined")
+# Statuses that end a batch, and those that a failure leaves.
+FAILED = ("partial_complete_retry_pending", "worker_failed_retry_pending", "schema_error_quarantined", "collect_blocked")
+RESOLVED = ("completed", "deferred_long_tail", "retry_capped", *FAILED)
+
+
+def effective_status(status: Column, completion_mode: Column) -> Column:
+    """What a row's status and completion mode say together.
+
+    What a failure leaves goes first, in either column; then a cap of retries and the deferral of a long tail, which the
+    mode names unless the status says otherwise; then the status, unknown where that is blank.
+    """
+    own, mode = stripped(status), stripped(completion_mode)
+    return (
+        F.when(own.isin(*FAILED), own)
+        .when(mode.isin(*FAILED), mode)
+        .when((own == "retry_capped") | (~own.isin("completed", "deferred_long_tail") & (mode == "retry_capped")), "retry_capped")
+        .when((own == "deferred_long_tail") | ((own != "completed") & (mode == "deferred_long_tail")), "deferred_long_tail")
+        .when(own == "", "unknown")
+        .otherwise(own)
+    )
 
 
 def result_summary(rows: DataFrame, batch: str, expected: str) -> DataFrame:
@@ -18,26 +38,45 @@ def result_summary(rows: DataFrame, batch: str, expected: str) -> DataFrame:
 
     rows: mapped_entity_name, entity_search_required and needs_manual_review, and the batch's expected rows in each row.
     """
-    mapped = list_length(F.col("mapped_entity_name")) > 0
-    searched = F.trim(F.coalesce("entity_search_required", F.lit(""))) == "yes"
+    mapped = list_length(stripped(F.col("mapped_entity_name"))) > 0
+    searched = stripped(F.col("entity_search_required")) == "yes"
     counts = rows.groupBy(batch).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(mapped).alias("with_entity"), F.count_if(~mapped).alias("without_entity"), F.count_if(searched & ~mapped).alias("searched_none"),
-        F.count_if(~searched).alias("skipped"), F.count_if(F.col("needs_manual_review").eqNullSafe("yes")).alias("manual_review"), F.max(expected).alias("expected"),
+        F.count(F.lit(1)).alias("rows_written"), F.count_if(mapped).alias("rows_with_entity"), F.count_if(~mapped).alias("rows_without_entity"), F.count_if(searched & ~mapped).alias("searched_no_entity_rows"),
+        F.count_if(~searched & ~mapped).alias("skip_candidate_rows"), F.count_if(stripped(F.col("needs_manual_review")) == "yes").alias("manual_review_rows"), F.max(expected).alias("task_count"),
     )
-    reason = F.when(F.col("n_rows") < F.col("expected"), "incomplete").when(F.col("manual_review") > 0, "completed_with_manual_review").when(F.col("with_entity") == 0, "completed_without_entities").otherwise("completed")
-    return counts.withColumn("completion_reason", reason)
+    # The reasons.
+    reason = (
+        F.when(F.col("rows_written") < F.col("task_count"), "interrupted_incomplete")
+        .when(F.col("rows_with_entity") > 0, "completed_with_entities_found")
+        .when(F.col("searched_no_entity_rows") == F.col("task_count"), "all_tokens_searched_no_entity")
+        .otherwise("all_rows_resolved_zero_entity_mixed_skip_and_search")
+    )
+    return counts.withColumns({"search_complete": F.col("rows_written") == F.col("task_count"), "completion_reason": reason})
 
 
-def overview(schedule: DataFrame, final: list[str]) -> DataFrame:
-    """One row: resolved and open batches, rows (the larger of live and best of each batch) and failures."""
-    resolved = F.col("status").isin(final)
-    return schedule.agg(F.count_if(resolved).alias("resolved"), F.count_if(~resolved).alias("open"), F.sum(F.greatest(F.coalesce("live_rows", F.lit(0)), F.coalesce("best_rows", F.lit(0)))).alias("n_rows"), F.sum(F.coalesce("failures", F.lit(0))).alias("failures"))
+def overview(schedule: DataFrame) -> DataFrame:
+    """One row: batches in all, resolved and open ones, those with rows of either file, those with failures, and rows of either file.
+
+    schedule: status, completion_mode, last_seen_ and best_valid_ classifier_rows and result_rows, respawn_count,
+    startup_failure_count, stall_failure_count and failure_counts_json. A batch's rows are the larger of those seen last
+    and the best ones. A batch has failures if one of the counters is above 0, or its status says so.
+    """
+    status = effective_status(F.col("status"), F.col("completion_mode"))
+    above = lambda c: F.coalesce(F.col(c), F.lit(0)) > 0
+    counts = F.coalesce(F.from_json("failure_counts_json", "map<string,int>"), F.create_map().cast("map<string,int>"))
+    failed = above("respawn_count") | above("startup_failure_count") | above("stall_failure_count") | F.exists(F.map_values(counts), lambda n: F.coalesce(n > 0, F.lit(False))) | status.isin("retry_capped", "deferred_long_tail")
+    classified, results = (progress_rows(F.col(f"last_seen_{x}_rows"), F.col(f"best_valid_{x}_rows")) for x in ("classifier", "result"))
+    return schedule.agg(
+        F.count(F.lit(1)).alias("total_batches"), F.count_if(status.isin(*RESOLVED)).alias("resolved_batches"), F.count_if(~status.isin(*RESOLVED)).alias("open_batches"), F.count_if(classified > 0).alias("batches_with_classifier_rows"),
+        F.count_if(results > 0).alias("batches_with_result_rows"), F.count_if(failed).alias("batches_with_failures"), F.sum(classified).alias("total_classifier_rows"), F.sum(results).alias("total_result_rows"),
+    )
 
 
-def current_round(schedule: DataFrame, round_: str, final: list[str], columns: list[str]) -> DataFrame:
-    """Batches of the first round with an open one, with the larger of their live and best rows; none if all are resolved."""
-    first = schedule.where(~F.col("status").isin(final)).agg(F.min(round_).alias(round_))
-    return schedule.join(F.broadcast(first), round_).select(round_, *columns, F.greatest(F.coalesce("live_rows", F.lit(0)), F.coalesce("best_rows", F.lit(0))).alias("n_rows"))
+def current_round(schedule: DataFrame, round_: str, columns: list[str]) -> DataFrame:
+    """Batches of the first round with an unresolved one, with the larger of their live and best rows in either file."""
+    first = schedule.where(~stripped(F.col("status")).isin(*RESOLVED)).agg(F.min(round_).alias(round_))
+    rows = {f"{x}_rows": progress_rows(F.col(f"last_seen_{x}_rows"), F.col(f"best_valid_{x}_rows")).cast("long") for x in ("classifier", "result")}
+    return schedule.join(F.broadcast(first), round_).select(round_, *columns, *(v.alias(c) for c, v in rows.items()))
 
 
 def compared(expected: DataFrame, seen: DataFrame, key: str) -> DataFrame:
@@ -58,74 +97,6 @@ def latest_heartbeat(sources: dict[str, DataFrame], key: str, at: str) -> DataFr
     return every.where("heartbeat_at IS NOT NULL").groupBy(key).agg(F.max("heartbeat_at").alias("heartbeat_at"), F.max_by("source", F.struct("heartbeat_at", "_rank")).alias("source"))
 
 
-def recent(signals: Column, age: Column, grace: int) -> Column:
-    return (signals > 0) & (age <= grace)
-
-
-def queue_view(schedule: DataFrame) -> Column:
-    """The view of the queue that a row is shown in: capped, deferred, active, ready, tail_retry or waiting; null for done rows."""
-    status, collected = F.col("status"), F.col("collect_state")
-    done = (status == "completed") & (collected == "collected")
-    return (
-        F.when(status == "retry_capped", "capped")
-        .when((status == "long_tail_deferred") & F.col("tail_retry"), "tail_retry")
-        .when(status == "long_tail_deferred", "deferred")
-        .when(status == "running", "active")
-        .when((status == "completed") & ~done, "ready")
-        .when(~done, "waiting")
-    )
-
-
-def tail_retry_allowed(schedule: DataFrame) -> DataFrame:
-    """One row: whether no row is waiting and none is ready, and whether no row is open at all."""
-    view = queue_view(schedule)
-    count = lambda *kinds: F.count_if(F.coalesce(view.isin(*kinds), F.lit(False)))
-    return schedule.agg((count("waiting", "ready") == 0).alias("tail_retry_allowed"), (count("waiting", "ready", "active", "tail_retry") == 0).alias("run_complete"))
-
-
-def marked_rerun(schedule: DataFrame, reruns: DataFrame, key: str) -> DataFrame:
-    """schedule where batches of reruns (key, reason) wait again: their count grows, reasons gather, collecting starts anew."""
-    joined = schedule.join(reruns.select(key, F.col("reason").alias("_reason")), key, "left")
-    hit = F.col("_reason").isNotNull()
-    new = {
-        "status": F.when(hit, "needs_rerun").otherwise(F.col("status")),
-        "collect_state": F.when(hit, "").otherwise(F.col("collect_state")),
-        "rerun_count": F.coalesce("rerun_count", F.lit(0)) + hit.cast("int"),
-        "rerun_reason": F.when(hit & ~blank(F.col("rerun_reason")), F.concat_ws("|", "rerun_reason", "_reason")).when(hit, F.col("_reason")).otherwise(F.col("rerun_reason")),
-    }
-    return joined.select(*(new.get(c, F.col(c)).alias(c) for c in schedule.columns))
-
-
-def transition(schedule: DataFrame, event: Column) -> DataFrame:
-    """schedule after an event by row: started, collecting, collected, failed or verifier_rerun; null leaves it."""
-    status = F.when(event == "started", "running").when(event.isin("failed", "verifier_rerun"), "needs_rerun").otherwise(F.col("status"))
-    collect = F.when(event == "collecting", "collecting").when(event == "collected", "collected").when(event == "failed", "failed").when(event.isin("started", "verifier_rerun"), "").otherwise(F.col("collect_state"))
-    return schedule.withColumns({"status": status, "collect_state": collect})
-
-
-def recovery(schedule: DataFrame) -> dict[str, Column]:
-    """The next attempt of a row: its number, the prefix that it carries on, its mode, and counters at 0."""
-    prefix = F.coalesce("prefix_len", F.lit(0))
-    return {"attempt_index": F.coalesce("attempt_index", F.lit(0)) + 1, "start_row": prefix, "attempt_mode": F.when(prefix > 0, "continue_from_prefix").otherwise("fresh_full_batch"), "no_progress": F.lit(0), "respawns": F.lit(0)}
-
-
-def one_retry(schedule: DataFrame, most: int = 1) -> DataFrame:
-    """Quarantined rows under the bound of supervisor retries wait again, with their counter raised; others stay."""
-    again = (F.col("status") == "schema_error_quarantined") & (F.coalesce("supervisor_retries", F.lit(0)) < most)
-    return schedule.withColumns({"supervisor_retries": F.coalesce("supervisor_retries", F.lit(0)) + again.cast("int"), "status": F.when(again, "needs_rerun").otherwise(F.col("status"))})
-
-
-def two_file_status(classifier: Column, result: Column, status: Column) -> Column:
-    """completed if both files are, unless a sticky status says otherwise; partial if either has rows, else missing."""
-    return F.when(status.isin(*STICKY), status).when((classifier == "completed") & (result == "completed"), "completed").when(classifier.isin("missing", "header_only") & result.isin("missing", "header_only"), "missing").otherwise("partial")
-
-
-def repaired_metadata(schedule: DataFrame) -> DataFrame:
-    """Completed rows lose what only open ones have: reasons, deferral and failures."""
-    done = F.col("status") == "completed"
-    return schedule.withColumns({"rerun_reason": F.when(done, "").otherwise(F.col("rerun_reason")), "tail_retry": F.when(done, False).otherwise(F.col("tail_retry")), "failures": F.when(done, 0).otherwise(F.col("failures"))})
-
-
 def overlay_fields(rows: DataFrame, source: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """rows with source's values of fields, and key_missing for rows that source lacks, which keep their own."""
     joined = rows.join(source.select(key, *(F.col(f).alias(f"_{f}") for f in fields), F.lit(True).alias("_there")), key, "left")

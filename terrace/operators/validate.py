@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.functions.text import blank, error_category, error_source, error_task
-from terrace.functions.values import bucketed, is_json_list, json_list, list_length, normal_list, risk_flags, split_list
+from terrace.functions.text import blank, error_category, error_source, error_task, stripped
+from terrace.functions.values import bucketed, is_json_list, json_list, list_length, normal_list, split_list
+from terrace.operators.ordering import top_in_group
 
 # What a column may hold.
 ORIGINS = ("layer1_or_l2", "protocol_or_app", "exchange_token", "stablecoin", "wrapped_or_bridged_asset", "liquid_staking_or_restaking", "asset_backed_or_rwa", "meme_or_community", "governance_or_utility")
@@ -17,9 +18,15 @@ LIKELIHOODS = ("high", "medium", "low", "none", "unclear")
 YES_NO = ("yes", "no")
 LEVELS = ("high", "medium", "low")
 TIERS = ("full", "light", "skip_candidate")
-ENTITY_TYPES = ("company", "foundation", "issuer", "association", "trust", "dao_legal_wrapper", "nonprofit", "government_entity", "other_legal_entity")
+ENTITY_TYPES = ("company", "foundation", "issuer", "association", "trust", "dao_legal_wrapper", "nonprofit", "government_entity", "other_legal_entity", "unclear")
+RESULT = (
+    "task_index", "canonical_slug", "token_symbol", "token_name", "token_origin_type", "entity_link_likelihood", "entity_search_required", "entity_search_reason", "project_name", "project_url", "mapped_entity_name", "mapped_entity_legal_name",
+    "mapped_entity_type", "mapped_entity_url", "mapped_entity_country", "entity_relation_type", "status", "completed_at", "has_entity_evidence", "evidence_urls", "evidence_source_types", "confidence", "needs_manual_review",
+)
 LISTS = ("project_name", "project_url", "mapped_entity_name", "mapped_entity_legal_name", "mapped_entity_type", "mapped_entity_url", "mapped_entity_country", "entity_relation_type")
 
+TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z$"
+
 
 def outside(column: Column, allowed: tuple[str, ...]) -> Column:
     """Whether a value, null included, isn't allowed."""
@@ -27,7 +34,7 @@ def outside(column: Column, allowed: tuple[str, ...]) -> Column:
 
 
 def _text(name: str) -> Column:
-    return F.trim(F.coalesce(F.col(name), F.lit("")))
+    return stripped(F.col(name))
 
 
 def result_rules() -> dict[str, Column]:
@@ -79,14 +86,54 @@ def classifier_rules() -> dict[str, Column]:
     }
 
 
-def canonical_result(df: DataFrame, done: tuple[str, ...] = ("complete", "done", "success")) -> DataFrame:
-    """Result rows in canonical form: status words that mean completed, levels, lists and flags; other columns stay."""
-    status = F.when(F.lower(_text("status")).isin(*done, "completed"), "completed").otherwise(_text("status"))
-    new = {"status": status, "confidence": bucketed(F.col("confidence"))}
-    new |= {c: normal_list(F.col(c)) for c in LISTS if c in df.columns}
-    if "risk_flags" in df.columns:
-        new["risk_flags"] = risk_flags(F.col("risk_flags"))
-    return df.withColumns({c: v for c, v in new.items() if c in df.columns})
+def repaired_result(df: DataFrame) -> DataFrame:
+    """Result rows whose values stand in a neighbour's column, put back by nine moves.
+
+    The moves go one after another, as each reads what those before have left: search flag and reason change places; text
+    in the link column is evidence; a status is a project's name where that is blank; a list of links in the time column
+    goes to the links; "completed" in the entity's name is the status, and a time in its legal name the time; links in the
+    confidence column and kinds of source in the review column go to the empty columns that they belong in, which leaves a
+    low confidence and a review; lists become compact JSON.
+    """
+    empty = lambda c: _text(c).isin("", "[]")
+    piped = lambda c, pattern: F.contains(_text(c), F.lit("|")) & (F.size(split_list(F.col(c))) > 0) & F.forall(split_list(F.col(c)), lambda x: F.regexp_like(x, F.lit(pattern)))
+
+    def move(df: DataFrame, when: Column, new: dict[str, Column]) -> DataFrame:
+        return df.withColumn("_moves", F.coalesce(when, F.lit(False))).withColumns({c: F.when(F.col("_moves"), v).otherwise(F.col(c)) for c, v in new.items()})
+
+    df = move(df, _text("entity_search_required").isin("light", "deep", "skip_candidate") & _text("entity_search_reason").isin(*YES_NO), {"entity_search_required": _text("entity_search_reason"), "entity_search_reason": _text("entity_search_required")})
+    text = ~blank(F.col("project_url")) & ~is_json_list(_text("project_url")) & empty("has_entity_evidence") & ~F.regexp_like(_text("project_url"), F.lit("^https?://"))
+    df = move(df, text, {"has_entity_evidence": _text("project_url"), "project_url": F.lit("[]")})
+    df = move(df, empty("project_name") & (_text("status") != ""), {"project_name": normal_list(F.col("status"))})
+    df = move(df, is_json_list(_text("completed_at")) & normal_list(F.col("project_url")).isin("", "[]"), {"project_url": normal_list(F.col("completed_at")), "completed_at": F.lit("")})
+    df = move(df, (_text("status") != "completed") & (_text("mapped_entity_name") == "completed"), {"status": F.lit("completed"), "mapped_entity_name": F.lit("[]"), "mapped_entity_type": F.lit("[]")})
+    df = move(df, F.col("_moves") & F.regexp_like(_text("mapped_entity_legal_name"), F.lit(TIME)), {"completed_at": _text("mapped_entity_legal_name"), "mapped_entity_legal_name": F.lit("[]")})
+    df = move(df, piped("confidence", "^https?://") & (F.size(split_list(F.col("evidence_urls"))) == 0), {"evidence_urls": _text("confidence"), "confidence": F.lit("low")})
+    df = move(df, piped("needs_manual_review", "^[a-z0-9_]+$") & (F.size(split_list(F.col("evidence_source_types"))) == 0), {"evidence_source_types": _text("needs_manual_review"), "needs_manual_review": F.lit("yes")})
+    return df.withColumns({c: normal_list(F.col(c)) for c in LISTS}).drop("_moves")
+
+
+def evidence_text() -> Column:
+    """A sentence where a searched row's evidence is a bare yes or no: what was cited, and whether an entity is mapped."""
+    flag, mapped = _text("has_entity_evidence"), F.json_array_length(normal_list(F.col("mapped_entity_name")))
+    sources = split_list(F.col("evidence_source_types"))
+    cited = F.when(F.size(sources) > 0, F.array_join(F.slice(sources, 1, 3), ", ")).otherwise("official project sources")
+    # The sentences.
+    found, none = "; the cited materials support the mapped entity.", "; no reliable legal-entity mapping surfaced from those sources."
+    sentence = F.concat(F.lit("Reviewed canonical token pages and cited "), cited, F.when(F.coalesce(mapped, F.lit(0)) > 0, found).otherwise(none))
+    return F.when(F.lower(flag).isin(*YES_NO) & (_text("entity_search_required") == "yes"), sentence).otherwise(flag)
+
+
+def canonical_result(df: DataFrame) -> DataFrame:
+    """Result rows in canonical form, with just the columns of a result besides those that it hasn't.
+
+    Null and absent columns are empty; "complete", so written, is completed; levels and lists take their form before and
+    after shifted values are put back; a bare yes or no as evidence becomes a sentence.
+    """
+    named = {c.lower() for c in df.columns}
+    df = df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in named else F.lit("") for c in RESULT})
+    df = df.withColumns({"status": F.when(F.col("status") == "complete", "completed").otherwise(F.col("status")), "confidence": bucketed(F.col("confidence")), **{c: normal_list(F.col(c)) for c in LISTS}})
+    return repaired_result(df).withColumn("has_entity_evidence", evidence_text()).withColumn("confidence", bucketed(F.col("confidence")))
 
 
 def identity_changes(rows: DataFrame, tasks: DataFrame, key: str, fields: list[str]) -> DataFrame:
@@ -96,18 +143,21 @@ def identity_changes(rows: DataFrame, tasks: DataFrame, key: str, fields: list[s
     return joined.select(key, F.explode(F.array_compact(F.array(*differs))).alias("x")).select(key, "x.*")
 
 
-def override_summary(changes: DataFrame, source: Column, sample: Column, most: int = 10) -> DataFrame:
-    """For each source its identity changes and the first samples in order, joined by commas."""
-    named = changes.select(source.alias("source"), sample.alias("sample"))
-    counts = named.groupBy("source").agg(F.count(F.lit(1)).alias("n_changes"))
-    once = named.distinct().withColumn("place", F.row_number().over(_by_sample())).where(F.col("place") <= most)
-    return counts.join(once.groupBy("source").agg(F.array_join(F.sort_array(F.collect_list("sample")), ",").alias("samples")), "source")
-
+def override_summary(changes: DataFrame, key: str, source: str, order: list[str], names: list[str], most: int = 10) -> DataFrame:
+    """How many rows had an identity field overridden: a row for each source, and one with null for all, which has samples.
 
-def _by_sample():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("source").orderBy("sample")
+    changes: key, source, order and field, was and now, as identity_changes gives them. A row with several changed fields
+    counts once. The samples are the first rows of the run by order, joined by line breaks, each with all its changes in
+    the order of names.
+    """
+    place = F.array_position(F.array(*map(F.lit, names)), F.col("field"))
+    told = F.concat(F.col("field"), F.lit(" overridden from '"), F.coalesce(F.col("was").cast("string"), F.lit("")), F.lit("' to '"), F.coalesce(F.col("now").cast("string"), F.lit("")), F.lit("'"))
+    rows = changes.groupBy(key, source, *order).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(place.alias("p"), told.alias("t")))), lambda x: x["t"]), "; ").alias("told"))
+    counts = rows.rollup(source).agg(F.count(F.lit(1)).alias("n_rows"), F.grouping(source).alias("_all"))
+    # As many rows as samples.
+    first = rows.orderBy(*order).limit(most).select(F.struct(*order, F.concat(F.col(source), F.lit(": task_index="), F.col(key).cast("string"), F.lit(": "), "told").alias("t")).alias("x"))
+    samples = first.agg(F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["t"]), "\n").alias("samples"))
+    return counts.join(F.broadcast(samples.withColumn("_all", F.lit(1).cast("byte"))), "_all", "left").select(source, "n_rows", "samples")
 
 
 def labels_differ(flags: dict[str, Column], labels: Column) -> Column:
@@ -134,6 +184,17 @@ def errors_by_batch(errors: DataFrame, error: str, batches: DataFrame, tasks: Da
     return by_task.withColumn("batch_file", F.coalesce("_by_path", "_by_task")).select(*errors.columns, "batch_file")
 
 
-def error_buckets(errors: DataFrame, batch: str, error: str) -> DataFrame:
-    """For each batch its errors, the set of their categories joined by pipes, and the first one."""
-    return errors.groupBy(batch).agg(F.count(F.lit(1)).alias("error_count"), F.array_join(F.sort_array(F.collect_set(error_category(F.col(error)))), "|").alias("categories"), F.min(error).alias("first_error"))
+def error_buckets(errors: DataFrame, batch: str, error: str, order: str, severe: int = 8, most: int = 5) -> DataFrame:
+    """Batches that their errors send back: error_count, reason, quarantined and the first errors in order.
+
+    reason has the categories in order, joined by pipes. Errors of single rows that have no category count by themselves:
+    from as many as severe on, a batch has a severe_schema_error. Batches without any category are left out, and so are
+    errors without a batch. quarantined: whether a schema error is among the reasons.
+    """
+    named = errors.where(F.col(batch).isNotNull()).withColumns({"_category": error_category(F.col(error)), "_source": error_source(F.col(error))})
+    by_row = F.col("_category").isNull() & F.coalesce(F.startswith("_source", F.lit("/")), F.lit(False)) & F.contains(F.col(error), F.lit("task_index="))
+    counts = named.groupBy(batch).agg(F.count(F.lit(1)).alias("error_count"), F.collect_set("_category").alias("_reasons"), F.count_if(by_row).alias("_by_row"))
+    reasons = F.sort_array(F.when(F.col("_by_row") >= severe, F.array_append("_reasons", F.lit("severe_schema_error"))).otherwise(F.col("_reasons")))
+    first = top_in_group(named, [batch], [order], most).groupBy(batch).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", F.col(error).alias("e")))), lambda x: x["e"]), " || ").alias("sample_errors"))
+    kept = counts.withColumn("_reasons", reasons).where(F.size("_reasons") > 0)
+    return kept.join(first, batch).select(batch, "error_count", F.array_join("_reasons", "|").alias("reason"), F.arrays_overlap("_reasons", F.array(F.lit("schema_error"), F.lit("severe_schema_error"))).alias("quarantined"), "sample_errors")

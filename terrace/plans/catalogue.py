@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions import html, text, values
-from terrace.operators import batching, catalog, match, merge, ordering, progress, quality, runtime, search
+from terrace.operators import batching, catalog, match, merge, ordering, progress, quality, search
 from terrace.sources.files import table
 from terrace.streaming.progress import counted, replayed
 
@@ -248,9 +248,12 @@ def json_list_norm(read):
     return rows
 
 
-@query("SELECT event_id, CASE WHEN value / 100 >= 0.8 THEN 'high' WHEN value / 100 >= 0.5 THEN 'medium' ELSE 'low' END AS level FROM events")
+@query("SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'HIGH' WHEN 1 THEN 'medium' WHEN 2 THEN 'n/a' ELSE CASE WHEN value / 100 >= 0.8 THEN 'high' WHEN value / 100 >= 0.5 THEN 'medium' ELSE 'low' END END AS level FROM events")
 def bucket_value(read):
-    return read("events").select("event_id", values.bucketed(F.col("value") / 100).alias("level"))
+    """Words in capitals are no levels and stay."""
+    k = F.col("event_id") % 5
+    raw = F.when(k == 0, " HIGH ").when(k == 1, "medium").when(k == 2, "n/a").otherwise((F.col("value") / 100).cast("string"))
+    return read("events").select("event_id", values.bucketed(raw).alias("level"))
 
 
 RULES = {"large_quantity": "l_quantity > 49", "deep_discount": "l_discount >= 0.1", "tax_over_discount": "l_tax > l_discount + 0.07", "bad_flag": "l_returnflag NOT IN ('A', 'N', 'R')", "unpriced": "l_extendedprice IS NULL OR l_extendedprice <= 0"}
@@ -356,11 +359,6 @@ def rule_escalation(read):
     return progress.escalated(counts, [(5, "retry"), (15, "split"), (30, "quarantine")], "n_errors")
 
 
-@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderdate, o_orderkey) AS slot FROM orders WHERE o_orderstatus = 'P' QUALIFY slot <= 12")
-def slot_assign(read):
-    return progress.slotted(read("orders").where("o_orderstatus = 'P'"), ["o_orderpriority", "o_orderdate", "o_orderkey"], 12).select("o_orderkey", "slot")
-
-
 @query("SELECT event_type, count(*) AS n_events, min(ts) AS first_at, max(ts) AS last_at, arg_max(event_id, ts) AS last_event FROM events GROUP BY 1")
 def tag_rollup(read):
     return progress.tag_rollup(read("events"), "event_type", "ts", "event_id")
@@ -438,74 +436,15 @@ def polymorphic_lookup(read):
     return catalog.resolved(read("nation").select("n_nationkey", "n_name"), "n_nationkey", kinds).select("n_nationkey", "n_name", "kind", "name")
 
 
-_SCHEDULE_SQL = """SELECT o_orderkey AS batch, CASE o_orderkey % 6 WHEN 0 THEN 'completed' WHEN 1 THEN 'running' WHEN 2 THEN 'pending' WHEN 3 THEN 'retry_capped' WHEN 4 THEN 'completed' ELSE 'long_tail_deferred' END AS status,
- CASE WHEN o_orderkey % 4 = 0 THEN 'collected' WHEN o_orderkey % 4 = 1 THEN 'collecting' ELSE '' END AS collect_state, o_custkey % 3 <> 0 AS alive, coalesce(n, 0)::BIGINT AS n_rows, 5::BIGINT AS expected
- FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey"""
-
-
-def _schedule(read):
-    lines = read("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n"))
-    status = F.element_at(F.array(*map(F.lit, ("completed", "running", "pending", "retry_capped", "completed", "long_tail_deferred"))), (F.col("o_orderkey") % 6 + 1).cast("int"))
-    collected = F.when(F.col("o_orderkey") % 4 == 0, "collected").when(F.col("o_orderkey") % 4 == 1, "collecting").otherwise("")
-    joined = read("orders").select("o_orderkey", "o_custkey").join(lines, "o_orderkey", "left")
-    return joined.select(F.col("o_orderkey").alias("batch"), status.alias("status"), collected.alias("collect_state"), (F.col("o_custkey") % 3 != 0).alias("alive"), F.coalesce("n", F.lit(0)).alias("n_rows"), F.lit(5).cast("long").alias("expected"))
-
-
-@query(f"""SELECT batch, CASE WHEN status IN ('retry_capped', 'long_tail_deferred') THEN status WHEN status = 'completed' AND collect_state = 'collected' THEN 'done' WHEN status = 'completed' THEN 'ready_to_collect'
- WHEN status = 'running' AND alive THEN 'active' WHEN status = 'running' THEN 'dead_worker' ELSE 'waiting' END AS queue_state FROM ({_SCHEDULE_SQL})""")
-def queue_states(read):
-    return _schedule(read).select("batch", runtime.queue_state(F.col("status"), F.col("collect_state"), F.col("alive")).alias("queue_state"))
+_OUTPUTS_SQL = "(SELECT o_orderkey AS batch, o_custkey % 3 <> 0 AS there, o_custkey % 7 <> 1 AS readable, o_orderkey % 11 <> 3 AS header_ok, coalesce(n, 0)::BIGINT AS n_rows, (o_orderkey % 6)::BIGINT AS expected FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey)"
 
 
-@query(f"""SELECT batch FROM ({_SCHEDULE_SQL}) WHERE status NOT IN ('completed', 'retry_capped', 'long_tail_deferred') OR (status = 'completed' AND collect_state <> 'collected')""")
-def open_batches(read):
-    return _schedule(read).where(runtime.open_work(F.col("status"), F.col("collect_state"))).select("batch")
-
-
-@query(f"SELECT batch, CASE WHEN n_rows >= expected THEN 'none' WHEN n_rows > 0 THEN 'continue_from_prefix' ELSE 'fresh' END AS mode FROM ({_SCHEDULE_SQL})")
-def attempt_modes(read):
-    return _schedule(read).select("batch", runtime.attempt_mode(F.lit(True), F.col("n_rows"), F.col("expected")).alias("mode"))
-
-
-@query(f"SELECT batch, CASE WHEN NOT alive THEN 'missing' WHEN n_rows = 0 THEN 'header_only' WHEN n_rows < expected THEN 'partial' WHEN n_rows > expected THEN 'surplus' ELSE 'completed' END AS state FROM ({_SCHEDULE_SQL})")
+@query(f"SELECT batch, CASE WHEN NOT there THEN 'missing' WHEN NOT readable THEN 'unreadable' WHEN NOT header_ok THEN 'header_mismatch' WHEN n_rows = 0 THEN 'header_only' WHEN expected > 0 AND n_rows = expected THEN 'completed' ELSE 'partial' END AS state FROM {_OUTPUTS_SQL}")
 def output_states(read):
-    return _schedule(read).select("batch", quality.output_state(F.col("alive"), F.lit(True), F.col("n_rows"), F.col("expected")).alias("state"))
-
-
-@query(f"""SELECT batch, CASE WHEN status = 'running' THEN 'needs_rerun' ELSE status END AS status, CASE WHEN status = 'completed' AND collect_state = 'collecting' THEN 'ready' ELSE collect_state END AS collect_state,
- CASE WHEN status = 'running' AND n_rows > 2 THEN 'continue_from_prefix' WHEN status = 'running' THEN 'fresh' ELSE '' END AS resume_mode FROM ({_SCHEDULE_SQL})""")
-def abort_transitions(read):
-    after = runtime.aborted(F.col("status"), F.col("collect_state"), F.col("n_rows"), F.lit(2))
-    return _schedule(read).select("batch", *(c.alias(n) for n, c in after.items()))
-
-
-@query(f"SELECT batch, CASE WHEN n_rows >= 7 THEN 'rotate_now' WHEN n_rows >= 4 THEN 'rotate_at_next_row' ELSE 'keep' END AS action FROM ({_SCHEDULE_SQL})")
-def segment_rotation(read):
-    return _schedule(read).select("batch", runtime.rotate(F.col("n_rows"), 4, 7).alias("action"))
-
-
-@query(f"SELECT s.slot::BIGINT AS slot, count(batch) AS n_active FROM range(1, 9) AS s(slot) LEFT JOIN (SELECT batch, batch % 6 + 1 AS held FROM ({_SCHEDULE_SQL}) WHERE status = 'running' AND alive) ON held = s.slot GROUP BY 1")
-def slot_view(read):
-    active = _schedule(read).where("status = 'running' AND alive").withColumn("slot", F.col("batch") % 6 + 1)
-    return runtime.slots(active, "slot", 8)
-
-
-_VERDICT = "CASE event_type WHEN 'error' THEN 'fail' WHEN 'purchase' THEN 'pass' WHEN 'signup' THEN 'manual' ELSE 'note' END"
-
-
-@query(f"""SELECT user_id, CASE WHEN v = 'pass' THEN 'open' WHEN v IS NOT NULL THEN 'blocked' ELSE 'pending' END AS gate_state FROM (SELECT user_id, arg_min(v, event_id) FILTER (v <> 'note') AS v FROM (SELECT user_id, event_id, {_VERDICT} AS v FROM events) GROUP BY 1)""")
-def verification_gate(read):
-    return runtime.gate(read("events").withColumn("verdict", F.expr(_VERDICT)), "user_id", "event_id", "verdict")
-
-
-@query("""SELECT event_id, CASE WHEN r > coalesce(b, 0) THEN 'progressed' WHEN r > 0 AND g >= 43200 THEN 'hard_stall' WHEN r > 0 AND g >= 14400 THEN 'soft_stall' WHEN r <= 0 AND g >= 28800 THEN 'hard_startup' WHEN r <= 0 AND g >= 7200 THEN 'soft_startup' ELSE 'wait' END AS action
-FROM (SELECT event_id, floor(value / 25)::BIGINT AS r, lag(floor(value / 25)::BIGINT) OVER w AS b, coalesce(greatest(0, floor(epoch(ts))::BIGINT - floor(epoch(lag(ts) OVER w))::BIGINT), 0) AS g FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))""")
-def watch_ticks(read):
-    w = ordering.Window.partitionBy("user_id").orderBy("ts", "event_id")
-    rows = F.floor(F.col("value") / 25).cast("long")
-    seen = read("events").select("event_id", "user_id", "ts", rows.alias("n"), F.coalesce(F.lag(rows).over(w), F.lit(0)).alias("before"), F.lag("ts").over(w).alias("before_at"))
-    idle = F.coalesce(values.idle_seconds(F.col("ts"), F.col("before_at")), F.lit(0))
-    return seen.select("event_id", runtime.watch_action(F.col("n"), F.col("before"), idle, {"start": 7200, "stall": 14400}, {"start": 28800, "stall": 43200}).alias("action"))
+    lines = read("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n"))
+    rows, k = read("orders").select("o_orderkey", "o_custkey").join(lines, "o_orderkey", "left"), F.col("o_orderkey")
+    state = quality.output_state(F.col("o_custkey") % 3 != 0, F.col("o_custkey") % 7 != 1, k % 11 != 3, F.coalesce("n", F.lit(0)), k % 6)
+    return rows.select(k.alias("batch"), state.alias("state"))
 
 
 @query("""SELECT event_id, '{"error":' || (CASE WHEN event_type = 'error' THEN 3 ELSE 2 END) || CASE WHEN event_type <> 'error' THEN ',"' || event_type || '":1' ELSE '' END || '}' AS counts FROM events WHERE event_type IN ('error', 'view', 'signup', 'purchase')""")
@@ -528,15 +467,5 @@ def ragged_repair(read):
     return fixed.select("p_partkey", *(F.get("f", F.lit(i)).alias(n) for i, n in enumerate(("brand", "evidence", "size"))))
 
 
-@query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 1 THEN '' ELSE 'completed' END AS status, 'high' AS confidence, CASE WHEN p_partkey % 4 = 2 THEN '' ELSE p_name END AS name, CASE WHEN p_partkey % 4 = 2 THEN 'https://x.com/' || p_partkey ELSE '' END AS link FROM part""")
-def shifted_repair(read):
-    arm = F.col("p_partkey") % 4
-    raw = read("part").select(
-        "p_partkey", F.when(arm.isin(0, 1), "high").otherwise("completed").alias("status"), F.when(arm == 0, "completed").when(arm == 1, "").otherwise("high").alias("confidence"),
-        F.when(arm == 2, F.concat(F.lit("https://x.com/"), F.col("p_partkey").cast("string"))).otherwise(F.col("p_name")).alias("name"), F.lit("").alias("link"),
-    )
-    return quality.applied(raw, quality.repaired_result({c: F.col(c) for c in ("status", "confidence", "name", "link")}))
-
-
 QUERIES["stream_progress"] = lambda spark, sf_dir: replayed(spark, sf_dir, "events", "user_id", "ts")
 ORACLES["stream_progress"] = "SELECT user_id, count(*) AS n_events, min(ts) AS first_at, max(ts) AS last_at FROM events GROUP BY 1"

@@ -8,42 +8,9 @@ from terrace.operators import supervise
 from terrace.plans.catalogue import query
 from terrace.plans.review import _length, varied, varied_sql
 
-FINAL = ["completed", "retry_capped", "long_tail_deferred"]
-SCHEDULE = {
-    "status": ["completed", "running", "retry_capped", "long_tail_deferred", "needs_rerun", "schema_error_quarantined", "queued"], "collect_state": ["collected", "collecting", "", "ready"], "live_rows": [0, 4, None, 9],
-    "best_rows": [2, None, 7], "failures": [0, 1, None, 3], "tail_retry": [1, 0, 0], "rerun_count": [0, None, 2], "rerun_reason": ["", "stalled", " "], "prefix_len": [0, 5, None], "attempt_index": [1, None, 3], "supervisor_retries": [0, None, 1],
-    "event": ["started", None, "collecting", "collected", "failed", "verifier_rerun"],
-}
-_ROWS = f"(SELECT * REPLACE (tail_retry = 1 AS tail_retry) FROM {varied_sql('orders', 'o_orderkey', SCHEDULE)})"
-
-
-def _schedule(read):
-    return varied(read("orders"), "o_orderkey", SCHEDULE).withColumn("tail_retry", F.col("tail_retry") == 1)
-
-
 RESULTS = {"mapped_entity_name": ['["a"]', "[]", "", '["a","b"]', "x"], "entity_search_required": ["yes", "no", None], "needs_manual_review": ["no", "no", "no", "no", "no", "no", "yes", None, "no", "no", "no"]}
 
 
-@query(f"""WITH r AS (SELECT k // 8 AS batch, 6 + (k // 8) % 4 AS expected, * FROM {varied_sql("orders", "o_orderkey", RESULTS)} WHERE k % 8 < 7), c AS (SELECT batch, count(*) AS n_rows, count(*) FILTER ({_length("mapped_entity_name")} > 0) AS with_entity, count(*) FILTER ({_length("mapped_entity_name")} <= 0) AS without_entity,
-count(*) FILTER (entity_search_required = 'yes' AND {_length("mapped_entity_name")} <= 0) AS searched_none, count(*) FILTER (coalesce(entity_search_required, '') <> 'yes') AS skipped, count(*) FILTER (needs_manual_review = 'yes') AS manual_review, max(expected) AS expected FROM r GROUP BY 1)
-SELECT *, CASE WHEN n_rows < expected THEN 'incomplete' WHEN manual_review > 0 THEN 'completed_with_manual_review' WHEN with_entity = 0 THEN 'completed_without_entities' ELSE 'completed' END AS completion_reason FROM c""")
-def result_summary(read):
-    batch = F.floor(F.col("k") / 8).cast("long")
-    rows = varied(read("orders"), "o_orderkey", RESULTS).where("k % 8 < 7").withColumns({"batch": batch, "expected": 6 + batch % 4})
-    return supervise.result_summary(rows, "batch", "expected")
-
-
-@query(f"SELECT count(*) FILTER (status IN ('completed','retry_capped','long_tail_deferred')) AS resolved, count(*) FILTER (status NOT IN ('completed','retry_capped','long_tail_deferred')) AS open, sum(greatest(coalesce(live_rows, 0), coalesce(best_rows, 0)))::BIGINT AS n_rows, sum(coalesce(failures, 0))::BIGINT AS failures FROM {_ROWS}")
-def progress_overview(read):
-    return supervise.overview(_schedule(read), FINAL)
-
-
-@query(f"WITH s AS (SELECT *, k // 50 AS round_index FROM {_ROWS}) SELECT round_index, k, status, greatest(coalesce(live_rows, 0), coalesce(best_rows, 0)) AS n_rows FROM s WHERE round_index = (SELECT min(round_index) FROM s WHERE status NOT IN ('completed','retry_capped','long_tail_deferred') AND k >= 60) AND k >= 60")
-def current_round(read):
-    rows = _schedule(read).where("k >= 60").withColumn("round_index", F.floor(F.col("k") / 50).cast("long"))
-    return supervise.current_round(rows, "round_index", FINAL, ["k", "status"])
-
-
 @query("WITH e AS (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_orderkey % 3 > 0), s AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_orderkey % 4 > 0) SELECT count(e.k) AS n_expected, count(s.k) AS n_seen, count(*) FILTER (s.k IS NULL) AS n_missing, count(*) FILTER (e.k IS NULL) AS n_unexpected FROM e FULL JOIN s USING (k)")
 def set_comparison(read):
     expected, seen = read("orders").where("o_orderkey % 3 > 0").select(F.col("o_orderkey").alias("k")), read("lineitem").where("l_orderkey % 4 > 0").select(F.col("l_orderkey").alias("k"))
@@ -66,57 +33,9 @@ def latest_heartbeat(read):
     return supervise.latest_heartbeat(parts | {"report": events.groupBy("user_id").agg(F.max("ts").alias("ts"))}, "user_id", "ts")
 
 
-_VIEW = "CASE WHEN status = 'retry_capped' THEN 'capped' WHEN status = 'long_tail_deferred' AND tail_retry THEN 'tail_retry' WHEN status = 'long_tail_deferred' THEN 'deferred' WHEN status = 'running' THEN 'active' WHEN status = 'completed' AND collect_state <> 'collected' THEN 'ready' WHEN status <> 'completed' THEN 'waiting' END"
-
-
-@query(f"SELECT {_VIEW} AS view, count(*) AS n_rows, count(*) FILTER (live_rows > 0 AND failures <= 1) AS n_recent FROM {_ROWS} GROUP BY 1")
-def queue_views(read):
-    rows = _schedule(read)
-    return rows.groupBy(supervise.queue_view(rows).alias("view")).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(supervise.recent(F.col("live_rows"), F.col("failures"), 1)).alias("n_recent"))
-
-
-@query(f"SELECT k % 9 AS run, count(*) FILTER (v IN ('waiting','ready')) = 0 AS tail_retry_allowed, count(*) FILTER (v IN ('waiting','ready','active','tail_retry')) = 0 AS run_complete FROM (SELECT k, {_VIEW} AS v FROM {_ROWS}) WHERE k % 9 IN (2, 3) AND k < 60 GROUP BY 1")
-def tail_retries(read):
-    rows = _schedule(read).where("k < 60")
-    return supervise.tail_retry_allowed(rows.where("k % 9 = 2")).withColumn("run", F.lit(2)).unionByName(supervise.tail_retry_allowed(rows.where("k % 9 = 3")).withColumn("run", F.lit(3)))
-
-
-@query(f"SELECT k, CASE WHEN k % 5 = 0 THEN 'needs_rerun' ELSE status END AS status, CASE WHEN k % 5 = 0 THEN '' ELSE collect_state END AS collect_state, coalesce(rerun_count, 0) + (k % 5 = 0)::INTEGER AS rerun_count, CASE WHEN k % 5 = 0 AND trim(rerun_reason) <> '' THEN rerun_reason || '|schema_error' WHEN k % 5 = 0 THEN 'schema_error' ELSE rerun_reason END AS rerun_reason FROM {_ROWS}")
-def marked_reruns(read):
-    rows = _schedule(read).select("k", "status", "collect_state", "rerun_count", "rerun_reason")
-    return supervise.marked_rerun(rows, rows.where("k % 5 = 0").select("k", F.lit("schema_error").alias("reason")), "k")
-
-
-@query(f"""SELECT k, CASE event WHEN 'started' THEN 'running' WHEN 'failed' THEN 'needs_rerun' WHEN 'verifier_rerun' THEN 'needs_rerun' ELSE status END AS status,
-CASE event WHEN 'collecting' THEN 'collecting' WHEN 'collected' THEN 'collected' WHEN 'failed' THEN 'failed' WHEN 'started' THEN '' WHEN 'verifier_rerun' THEN '' ELSE collect_state END AS collect_state FROM {_ROWS}""")
-def transitions(read):
-    return supervise.transition(_schedule(read).select("k", "status", "collect_state", "event"), F.col("event")).drop("event")
-
 
-@query(f"SELECT k, coalesce(attempt_index, 0) + 1 AS attempt_index, coalesce(prefix_len, 0) AS start_row, CASE WHEN prefix_len > 0 THEN 'continue_from_prefix' ELSE 'fresh_full_batch' END AS attempt_mode, 0 AS no_progress, 0 AS respawns FROM {_ROWS}")
-def recovery_attempts(read):
-    rows = _schedule(read)
-    return rows.select("k", *(v.alias(c) for c, v in supervise.recovery(rows).items()))
 
 
-@query(f"SELECT k, CASE WHEN status = 'schema_error_quarantined' AND coalesce(supervisor_retries, 0) < 1 THEN 'needs_rerun' ELSE status END AS status, coalesce(supervisor_retries, 0) + (status = 'schema_error_quarantined' AND coalesce(supervisor_retries, 0) < 1)::INTEGER AS supervisor_retries FROM {_ROWS}")
-def supervisor_retries(read):
-    return supervise.one_retry(_schedule(read).select("k", "status", "supervisor_retries"))
-
-
-FILES = {"classifier": ["completed", "missing", "partial_prefix", "header_only"], "result": ["completed", "missing", "header_only"], "status": ["running", "retry_capped", "completed"]}
-
-
-@query(f"SELECT k, CASE WHEN status = 'retry_capped' THEN status WHEN classifier = 'completed' AND result = 'completed' THEN 'completed' WHEN classifier IN ('missing','header_only') AND result IN ('missing','header_only') THEN 'missing' ELSE 'partial' END AS batch_status FROM {varied_sql('customer', 'c_custkey', FILES)}")
-def two_file_status(read):
-    rows = varied(read("customer"), "c_custkey", FILES)
-    return rows.select("k", supervise.two_file_status(F.col("classifier"), F.col("result"), F.col("status")).alias("batch_status"))
-
-
-@query(f"SELECT k, status, CASE WHEN status = 'completed' THEN '' ELSE rerun_reason END AS rerun_reason, status <> 'completed' AND tail_retry AS tail_retry, CASE WHEN status = 'completed' THEN 0 ELSE failures END AS failures FROM {_ROWS}")
-def repaired_metadata(read):
-    return supervise.repaired_metadata(_schedule(read).select("k", "status", "rerun_reason", "tail_retry", "failures"))
-
 
 @query("SELECT l_orderkey, l_linenumber, CASE WHEN o.o_orderkey IS NOT NULL THEN o_orderstatus ELSE l_linestatus END AS l_linestatus, o.o_orderkey IS NULL AS key_missing FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 4 > 0) o ON o_orderkey = l_orderkey")
 def overlaid_fields(read):
@@ -166,3 +85,51 @@ def expected_keys(read):
     tasks = read("customer").select(F.floor(F.col("c_custkey") / 25).cast("long").alias("batch"), F.col("c_custkey").alias("k"))
     ranges = tasks.select("batch").distinct().select("batch", (F.col("batch") * 25).alias("first"), (F.col("batch") * 25 + 9).alias("last"))
     return supervise.expected_keys(ranges, tasks.where("batch % 2 = 0"), "batch", "k")
+
+@query(f"""WITH r AS (SELECT k // 8 AS batch, 6 + (k // 8) % 4 AS task_count, * FROM {varied_sql("orders", "o_orderkey", RESULTS)} WHERE k % 8 < 7),
+c AS (SELECT batch, count(*) AS rows_written, count(*) FILTER ({_length("mapped_entity_name")} > 0) AS rows_with_entity, count(*) FILTER ({_length("mapped_entity_name")} <= 0) AS rows_without_entity,
+ count(*) FILTER (trim(entity_search_required) = 'yes' AND {_length("mapped_entity_name")} <= 0) AS searched_no_entity_rows, count(*) FILTER (coalesce(trim(entity_search_required), '') <> 'yes' AND {_length("mapped_entity_name")} <= 0) AS skip_candidate_rows,
+ count(*) FILTER (trim(needs_manual_review) = 'yes') AS manual_review_rows, max(task_count) AS task_count FROM r GROUP BY 1)
+SELECT *, rows_written = task_count AS search_complete, CASE WHEN rows_written < task_count THEN 'interrupted_incomplete' WHEN rows_with_entity > 0 THEN 'completed_with_entities_found'
+ WHEN searched_no_entity_rows = task_count THEN 'all_tokens_searched_no_entity' ELSE 'all_rows_resolved_zero_entity_mixed_skip_and_search' END AS completion_reason FROM c""")
+def result_summary(read):
+    batch = F.floor(F.col("k") / 8).cast("long")
+    rows = varied(read("orders"), "o_orderkey", RESULTS).where("k % 8 < 7").withColumns({"batch": batch, "task_count": 6 + batch % 4})
+    return supervise.result_summary(rows, "batch", "task_count")
+
+
+SCHEDULE = {
+    "status": ["completed", "running", "retry_capped", "deferred_long_tail", "needs_rerun", "schema_error_quarantined", "prepared", " ", "collect_blocked"], "completion_mode": ["", "retry_capped", None, "deferred_long_tail", "worker_failed_retry_pending", "fresh"],
+    "last_seen_classifier_rows": [0, 4, None, 9], "best_valid_classifier_rows": [2, None, 7, 0], "last_seen_result_rows": [0, 0, 5, None], "best_valid_result_rows": [None, 0, 3], "respawn_count": [0, 0, None, 0, 2], "startup_failure_count": [0, None, 0, 0, 0, 1],
+    "stall_failure_count": [0, 0, 0, 0, 0, 0, 3], "failure_counts_json": ["", None, "{}", '{"stall":0}', '{"stall":2}', "broken"],
+}
+_ROWS = varied_sql("orders", "o_orderkey", SCHEDULE)
+_FAILED_SQL = "('partial_complete_retry_pending','worker_failed_retry_pending','schema_error_quarantined','collect_blocked')"
+_STATUS_SQL = f"""CASE WHEN status IN {_FAILED_SQL} THEN status WHEN completion_mode IN {_FAILED_SQL} THEN completion_mode WHEN status = 'retry_capped' OR (status NOT IN ('completed','deferred_long_tail') AND coalesce(completion_mode, '') = 'retry_capped') THEN 'retry_capped'
+ WHEN status = 'deferred_long_tail' OR (status <> 'completed' AND coalesce(completion_mode, '') = 'deferred_long_tail') THEN 'deferred_long_tail' WHEN trim(status) = '' THEN 'unknown' ELSE status END"""
+_RESOLVED_SQL = "s IN ('completed','deferred_long_tail','retry_capped','partial_complete_retry_pending','worker_failed_retry_pending','schema_error_quarantined','collect_blocked')"
+
+
+def _schedule(read):
+    return varied(read("orders"), "o_orderkey", SCHEDULE)
+
+
+@query(f"SELECT k, {_STATUS_SQL} AS effective_status FROM {_ROWS}")
+def effective_statuses(read):
+    return _schedule(read).select("k", supervise.effective_status(F.col("status"), F.col("completion_mode")).alias("effective_status"))
+
+
+@query(f"""WITH x AS (SELECT *, {_STATUS_SQL} AS s, greatest(coalesce(last_seen_classifier_rows, 0), coalesce(best_valid_classifier_rows, 0)) AS c, greatest(coalesce(last_seen_result_rows, 0), coalesce(best_valid_result_rows, 0)) AS r FROM {_ROWS})
+SELECT count(*) AS total_batches, count(*) FILTER ({_RESOLVED_SQL}) AS resolved_batches, count(*) FILTER (NOT {_RESOLVED_SQL}) AS open_batches, count(*) FILTER (c > 0) AS batches_with_classifier_rows, count(*) FILTER (r > 0) AS batches_with_result_rows,
+ count(*) FILTER (coalesce(respawn_count, 0) > 0 OR coalesce(startup_failure_count, 0) > 0 OR stall_failure_count > 0 OR coalesce(failure_counts_json, '') LIKE '%2%' OR s IN ('retry_capped','deferred_long_tail')) AS batches_with_failures,
+ sum(c)::BIGINT AS total_classifier_rows, sum(r)::BIGINT AS total_result_rows FROM x""")
+def progress_overview(read):
+    return supervise.overview(_schedule(read))
+
+
+@query(f"""WITH s AS (SELECT *, CASE WHEN k < 120 THEN 0 ELSE k // 50 END AS round_index, CASE WHEN k < 120 THEN 'completed' ELSE status END AS st FROM {_ROWS}), o AS (SELECT min(round_index) AS r FROM s WHERE st NOT IN ('completed','deferred_long_tail','retry_capped','schema_error_quarantined','collect_blocked'))
+SELECT round_index, k, st AS status, greatest(coalesce(last_seen_classifier_rows, 0), coalesce(best_valid_classifier_rows, 0))::BIGINT AS classifier_rows, greatest(coalesce(last_seen_result_rows, 0), coalesce(best_valid_result_rows, 0))::BIGINT AS result_rows FROM s, o WHERE round_index = r""")
+def current_round(read):
+    early = F.col("k") < 120
+    rows = _schedule(read).withColumns({"round_index": F.when(early, 0).otherwise(F.floor(F.col("k") / 50)).cast("long"), "status": F.when(early, "completed").otherwise(F.col("status"))})
+    return supervise.current_round(rows, "round_index", ["k", "status"])

@@ -6,9 +6,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from terrace.plans import catalogue, review, supervision
+from terrace.plans import catalogue, collect, review, supervision
 
-assert review and supervision
+assert collect and review and supervision
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 

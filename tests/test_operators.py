@@ -1,8 +1,11 @@
+import ast
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from terrace.functions import html, text, values
-from terrace.operators import batching, catalog, match, merge, ordering, quality, rounds, runtime, search, selection, validate
+from terrace.operators import batching, catalog, match, merge, ordering, quality, rounds, search, selection, validate
 from terrace.sources import files
 from terrace.sources.shared import shared_folder
 
@@ -25,7 +28,7 @@ def test_urls(spark):
 
 
 def test_numbers(spark):
-    assert col(spark, ["0.8", "0.79", "0.5", "nan", "0.8d", "HIGH", "", None, "1e-1"], values.bucketed) == ["high", "medium", "medium", "nan", "0.8d", "high", "", None, "low"]
+    assert col(spark, ["0.8", "0.79", "0.5", "nan", "-inf", "+Infinity", "0.8d", "HIGH", " low ", "", None, "1e-1"], values.bucketed) == ["high", "medium", "medium", "low", "low", "high", "0.8d", "HIGH", "low", "", None, "low"]
     assert col(spark, ["5", "5.0", " 7 ", None, "x"], lambda c: values.optional_int(c, -1)) == [5, -1, 7, -1, -1]
 
 
@@ -80,6 +83,37 @@ def test_choosers(spark):
     assert [r[0] for r in names.select(text.loose_key(a, ["coin", "ring"])).collect()] == ["ringalpha", "alpha", "", "goldcoin", ""]
 
 
+def test_json_lists_are_those_of_the_strict_reader(spark):
+    raw = ["[]", " [1] ", "[NaN]", "[1,2] x", "[1],[2]", '[1],"b":[2]', "[1]] , [[2]", '[{"a":1,"a":2}]', "['a']", "[a]", '["\\u00e9", "\t"]', '["\\q"]', "[1.]", "[01]", "[1e999]", "{}", '"[1]"', None, "", "[", "[[[]]]", '["a" "b"]', "\u00a0[1]", "[1,]", "[tRue]", "[true,null]"]
+
+    def strict(x):
+        try:
+            return isinstance(json.loads(x), list)
+        except (ValueError, TypeError):
+            return False
+
+    assert col(spark, raw, values.is_json_list) == [strict(x) for x in raw]
+
+
+def test_normal_lists_in_either_reader(spark):
+    raw = ["a", " a|b | ", "none", "Null", "None", "https://x.com/?a=1", '["a", "b c"]', '[ "é" ]', "a,b", "1", "1|2", "(1, 'x')", '["a\\n"]', "a\tb", "yes|", "|", "True", "x\u2003y \u00a0", '["a",1]', '[""]', "b'x'", "{1: 2}"]
+
+    def library(t):
+        t = t.strip()
+        for read in (json.loads, ast.literal_eval):
+            try:
+                if isinstance(found := read(t), (list, tuple)):
+                    return json.dumps(list(found), ensure_ascii=False, separators=(",", ":"))
+            except (ValueError, SyntaxError):
+                pass
+        if t.lower() in ("none", "null"):
+            return "[]"
+        items = [p.strip() for p in t.split("|") if p.strip()] if "|" in t else [t]
+        return json.dumps(items, ensure_ascii=False, separators=(",", ":"))
+
+    assert col(spark, raw, values.normal_list) == [library(x) for x in raw]
+
+
 def test_fold_keeps_first_seen_order(spark):
     rel = spark.createDataFrame([(1, "b", 1), (1, "a", 2), (1, "b", 3), (None, "x", 4), (2, " ", 5)], "k long, v string, at long")
     ents = spark.createDataFrame([(1,), (2,)], "k long")
@@ -104,12 +138,6 @@ def test_ragged_rows(spark):
     quality.guarded(spark.range(0))
 
 
-def test_states(spark):
-    df = spark.createDataFrame([("running", "", True), ("running", "", False), ("completed", "collected", False), ("retry_capped", "", False)], "s string, c string, a boolean")
-    assert [r[0] for r in df.select(runtime.queue_state(F.col("s"), F.col("c"), F.col("a"))).collect()] == ["active", "dead_worker", "done", "retry_capped"]
-    assert spark.range(1).select(runtime.total_of(F.create_map(F.lit("a"), F.lit(2), F.lit("b"), F.lit(3)), ["a", "x"])).first()[0] == 2
-
-
 def test_html_sections(spark):
     page = '<article><p>One &amp; two</p><article>in</article><script>no()</script><a href="u">L</a><a href="w">L</a></article><p>out</p>'
     (x,) = col(spark, [page], html.section)

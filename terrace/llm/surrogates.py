@@ -1,16 +1,21 @@
 """Personal data replaced by keyed surrogates, with SQL functions only.
 
-Mentions are found by one pattern over the whole text: e-mail addresses, secrets (access keys, passwords, tokens), IPv4
-addresses, card numbers, US social security numbers, phone numbers, and names behind a form of address; keywords and
-forms of address in any case. In capitals, a second word behind a form of address counts as part of the name. A mention is
-made of units: the digits of a number whatever its format, the lower-cased address, each word of a name. Each distinct
-unit of the corpus gets one surrogate, drawn from SHA-256 of the key, the kind, the unit and the attempt. So one person's
-number, address or surname becomes the same one in every document and format, and stays the same with the same key.
+Mentions are found by one pattern over the whole text: e-mail addresses, secrets (access keys, passwords, tokens), IPv4 and
+IPv6 addresses, account numbers (IBAN), card numbers, US social security numbers, phone numbers, and names behind a form of
+address; keywords and forms of address in any case. A name has up to four parts, with particles, hyphens, apostrophes,
+initials and inner capitals; in capitals, two. Wherever a word of such a name stands alone in the same document, it is a
+mention too. Names that no form of address leads to in their document aren't found.
+
+A mention is made of units: the digits of a number whatever its format, a number of country 1 with or without it, the
+lower-cased address, each word of a name. Each distinct unit of the corpus gets one surrogate, drawn from SHA-256 of the
+key, the kind, the unit and the attempt. So one person's number, address or surname becomes the same one in every document
+and format, and stays the same with the same key.
 
 Surrogates keep the kind and shape: digits stay digits, letters letters of their case, addresses go under reserved
 example domains, public IPv4 addresses into the reserved block, private ones stay in their own block, card numbers keep
 their length and whether their check digit holds, names keep the gender of the form of address, their capitals and the
-script (Latin, Cyrillic, Greek).
+script (Latin, Cyrillic, Greek); a doctor or professor is of either. Account numbers keep their country, and whether their
+check digits hold.
 
 Numbers, secrets and private addresses have spaces that a corpus can fill, so they are permuted: every character is
 shifted within its class by what a keyed hash makes of those before it, from the left and then from the right, and the
@@ -30,14 +35,23 @@ from pyspark.sql import functions as F
 from terrace.llm._spark import fresh, row_key, sized_join, written
 
 #: Forms of address in any case, Greek capitals without accents; small "ms" and "miss" are a unit and a verb.
-FEMALE = "(?iu:Mrs|Frau|Madame|Mme|Señora|Sra|г-жа|госпожа|κυρ[ίι]α)|M[sS]|Miss|MISS"
-MALE = "(?iu:Mr|Herr|Monsieur|Señor|Sr|г-н|господин|κ[ύυ]ριος)"
+FEMALE = "(?iu:Mrs|Frau|Madame|Madam|Mme|Dame|Señora|Sra|г-жа|госпожа|κυρ[ίι]α)|M[sS]|Miss|MISS"
+MALE = "(?iu:Mr|Sir|Herr|Monsieur|Señor|Sr|г-н|господин|κ[ύυ]ριος)"
+EITHER = "(?iu:Dr|Doctor|Prof|Professor|Mx)"
+TITLE = rf"(?:{FEMALE}|{MALE}|{EITHER})\.? (?:(?:{EITHER})\.? )?"
 KEYWORD = "(?i:password|passwd|pwd|secret|token|api_key|apikey)"
-#: A word of a name, capitalised or in capitals.
-WORD = r"(?:\p{Lu}\p{Ll}{1,24}|\p{Lu}{2,25})"
+#: A word of a name with capitals inside or not; what may join such words; and parts, of which particles come first.
+ATOM = r"\p{Lu}(?:\p{Ll}|\p{Lu}\p{Ll}){1,24}"
+PARTICLE = "(?:van|von|de|der|den|del|della|di|da|du|la|le|ten|ter|bin|ibn|al|el|zu|dos|das) "
+PART = rf"(?:{PARTICLE}){{0,2}}(?:(?:[OD]['’])?{ATOM}(?:[-'’]{ATOM}){{0,2}}|\p{{Lu}}\.)"
+CAPITALS = r"\p{Lu}{2,25}(?:[-'’]\p{Lu}{2,25})?"
+#: Any word of two letters or more that a name's mention replaces.
+WORD = r"\p{Lu}\p{L}{1,50}"
 IP = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])"
 PRIVATE = r"^(?:10\.|192\.168\.|172\.(?:1[6-9]|2[0-9]|3[01])\.|127\.)"
 CARD = r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])"
+IPV6 = r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[A-Fa-f]{0,3}[0-9])[0-9A-Fa-f]{3,4}(?::[0-9A-Fa-f]{1,4}){0,5}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![0-9A-Za-z:])"
+IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})(?![0-9A-Za-z])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _ABROAD, _GROUP = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})", r"(?:[ .-]?[0-9]{2,4})"
 #: Patterns by kind, in the order in which they are tried at a place. Quantifiers are bounded, so that long runs cost no more.
@@ -46,56 +60,74 @@ PATTERNS = {
     "access_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "secret": rf"(?<={KEYWORD}[ ]{{0,2}}[=:][ ]{{0,2}}[\"']{{0,1}})[A-Za-z0-9+/_-]{{8,128}}",
     "ip": IP,
+    "ipv6": IPV6,
+    "iban": IBAN,
     "card": CARD,
     "ssn": SSN,
     # A phone number in front of another number ends before it.
-    "phone": rf"(?<![0-9A-Za-z])(?:{_ABROAD}{_GROUP}{{2,4}}?(?= (?:{IP}|{CARD}|{SSN}))|{_ABROAD}{_GROUP}{{2,4}}|\([0-9]{{3}}\) ?[0-9]{{3}}[ .-][0-9]{{4}}|[0-9]{{3}}[.-][0-9]{{3}}[.-][0-9]{{4}})(?![0-9])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{FEMALE}|{MALE})\.? {WORD}(?: {WORD})?(?!\p{{L}})",
+    "phone": rf"(?<![0-9A-Za-z])(?:{_ABROAD}{_GROUP}{{2,4}}?(?= (?:{IP}|{CARD}|{SSN}))|{_ABROAD}{_GROUP}{{2,4}}|\([0-9]{{3}}\) ?[0-9]{{3}}[ .-][0-9]{{4}}|[0-9]{{3}}[.-][0-9]{{3}}[.-][0-9]{{4}}|(?<=(?i:phone|mobile|cell|call|tel|fax)[:.]? {{0,2}})[2-9][0-9]{{9}})(?![0-9])",
+    "name": rf"(?<![\p{{L}}\p{{N}}]){TITLE}(?:{PART}(?: {PART}){{0,3}}|{CAPITALS}(?: {CAPITALS})?)(?!\p{{L}})",
 }
 ANY = "|".join(PATTERNS.values())
 #: What a text must hold for the pattern to be tried at all.
-MAYBE = rf"[0-9@]|{KEYWORD} {{0,2}}[=:]|(?:{FEMALE}|{MALE})\.? "
+MAYBE = rf"@|[0-9][0-9 .()/-]{{5}}|A[KS]IA|{KEYWORD} {{0,2}}[=:]|:[0-9A-Fa-f]{{0,4}}:|[A-Z]{{2}}[0-9]{{2}}[ A-Z0-9]{{6}}|(?:{FEMALE}|{MALE}|{EITHER})\.? "
 LOWER, UPPER, DIGITS, SIGNS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "+/_-"
 #: Kinds whose surrogates are a permutation of the units' own spaces.
-PERMUTED = ("phone", "phone+", "card", "ssn", "secret", "access_key", "private_ip")
+PERMUTED = ("phone", "phone+", "card", "ssn", "secret", "access_key", "private_ip", "ipv6", "iban")
+#: Before a word of a name that stands alone, its kind between two of these.
+ALONE = "\x1f"
 #: Attempts after which an assignment fails, and units that one task draws for.
 MOST_ATTEMPTS = 24
 TASK_UNITS = 5_000
-#: Consonants, vowels, and endings of female, male and family names by script.
+#: Consonants, vowels, and endings of female, male and family names, and of names of either gender, by script.
 SOUNDS = {
-    "latin": ("bdfghjklmnprstvz", "aeiou", ("a", "ina", "elle"), ("en", "or", "us"), ("er", "man", "ow")),
-    "cyrillic": ("бвгджзклмнпрстф", "аеиоу", ("а", "ина", "ия"), ("ин", "ор", "ей"), ("енко", "ко", "их")),
-    "greek": ("βγδζθκλμνπρστφχ", "αειου", ("α", "ινη", "ια"), ("ος", "ης", "ων"), ("ου", "ακη", "ιδη")),
+    "latin": ("bdfghjklmnprstvz", "aeiou", ("a", "ina", "elle"), ("en", "or", "us"), ("er", "man", "ow"), ("an", "el", "is")),
+    "cyrillic": ("бвгджзклмнпрстф", "аеиоу", ("а", "ина", "ия"), ("ин", "ор", "ей"), ("енко", "ко", "их"), ("ан", "ель", "ис")),
+    "greek": ("βγδζθκλμνπρστφχ", "αειου", ("α", "ινη", "ια"), ("ος", "ης", "ων"), ("ου", "ακη", "ιδη"), ("ι", "ις", "υ")),
 }
+#: Whose endings follow in SOUNDS.
+WHO = ("female", "male", "family", "either")
 
 
 def _kind(mention: Column) -> Column:
     """The first kind whose pattern the whole mention matches; secrets are known by their surroundings, so they come last."""
     bare = {k: p for k, p in PATTERNS.items() if k != "secret"}
-    out = F.lit("secret")
+    # A phone number of digits alone is known by what stands before it, too.
+    out = F.when(F.regexp_like(mention, F.lit("^[2-9][0-9]{9}$")), "phone").otherwise("secret")
     for kind, pattern in reversed(bare.items()):
         out = F.when(F.regexp_like(mention, F.lit(f"^(?:{pattern})$")), F.lit(kind)).otherwise(out)
-    return out
+    return F.when(F.startswith(mention, F.lit(ALONE)), "alone").otherwise(out)
+
 
+def _behind_title(mention: Column) -> Column:
+    return F.regexp_replace(mention, rf"^{TITLE}", "")
 
-def _words(mention: Column) -> Column:
-    """The words of a name behind its form of address."""
-    return F.split(F.regexp_extract(mention, rf"^(?:{FEMALE}|{MALE})\.? (.*)$", 1), " ")
+
+def _named(mention: Column) -> Column:
+    """The words of a name behind its form of address as an array of (kind, unit); those of the last part are the family's."""
+    rest = _behind_title(mention)
+    words = F.regexp_extract_all(rest, F.lit(WORD), F.lit(0))
+    n_last = F.size(F.regexp_extract_all(F.element_at(F.split(rest, " "), -1), F.lit(WORD), F.lit(0)))
+    is_title = lambda of: F.regexp_like(mention, F.lit(rf"^(?:{of})\.? "))
+    gender = F.when(is_title(FEMALE), "female").when(is_title(MALE), "male").otherwise("either")
+    script = lambda w: F.when(F.regexp_like(w, F.lit(r"\p{IsCyrillic}")), "cyrillic").when(F.regexp_like(w, F.lit(r"\p{IsGreek}")), "greek").otherwise("latin")
+    return F.transform(words, lambda w, i: F.struct(F.concat_ws(".", F.when(i >= F.size(words) - n_last, "family").otherwise(gender), script(w)).alias("kind"), F.lower(w).alias("unit")))
 
 
 def _units(kind: Column, mention: Column) -> Column:
     """The units of a mention as an array of (kind, unit)."""
     one = lambda k, u: F.array(F.struct(k.alias("kind"), u.alias("unit")))
-    words = _words(mention)
-    gender = F.when(F.regexp_like(mention, F.lit(rf"^(?:{FEMALE})\.? ")), "female").otherwise("male")
-    script = lambda w: F.when(F.regexp_like(w, F.lit(r"\p{IsCyrillic}")), "cyrillic").when(F.regexp_like(w, F.lit(r"\p{IsGreek}")), "greek").otherwise("latin")
-    last = F.size(words) - 1
-    names = F.transform(words, lambda w, i: F.struct(F.concat_ws(".", F.when(i == last, "family").otherwise(gender), script(w)).alias("kind"), F.lower(w).alias("unit")))
+    digits, known = F.regexp_replace(mention, "[^0-9]", ""), F.split(mention, ALONE)
+    # Country 1 has ten digits within.
+    home = F.startswith(mention, F.lit("+1")) & (F.length(digits) == 11)
+    phone = F.when(home, F.substring(digits, 2, 10)).otherwise(digits)
     return (
-        F.when(kind == "name", names)
-        .when(kind == "email", one(kind, F.lower(mention)))
-        .when(kind == "phone", one(F.when(F.startswith(mention, F.lit("+")), "phone+").otherwise("phone"), F.regexp_replace(mention, "[^0-9]", "")))
-        .when(kind.isin("card", "ssn"), one(kind, F.regexp_replace(mention, "[^0-9]", "")))
+        F.when(kind == "alone", one(F.get(known, F.lit(1)), F.lower(F.get(known, F.lit(2)))))
+        .when(kind == "name", _named(mention))
+        .when(kind.isin("email", "ipv6"), one(kind, F.lower(mention)))
+        .when(kind == "iban", one(kind, F.replace(mention, F.lit(" "), F.lit(""))))
+        .when(kind == "phone", one(F.when(F.startswith(mention, F.lit("+")) & ~home, "phone+").otherwise("phone"), phone))
+        .when(kind.isin("card", "ssn"), one(kind, digits))
         .when((kind == "ip") & F.regexp_like(mention, F.lit(PRIVATE)), one(F.lit("private_ip"), mention))
         .otherwise(one(kind, mention))
     )
@@ -173,12 +205,22 @@ def _surrogate(key: str, kind: Column, unit: Column, attempt: Column) -> Column:
         return F.aggregate(F.transform(F.sequence(F.lit(1), n), twice), F.lit(0), lambda s, x: s + x)
 
     # The first digit of phones and cards and the prefix of access keys stay, and a card's last digit follows from the rest.
-    head = F.when(kind.isin("phone", "phone+", "card"), F.substring(unit, 1, 1)).when(kind == "access_key", F.substring(unit, 1, 4)).otherwise("")
+    head = F.when(kind.isin("phone", "phone+", "card"), F.substring(unit, 1, 1)).when(kind.isin("access_key", "iban"), F.substring(unit, 1, 4)).otherwise("")
     tail = F.substr(unit, F.length(head) + 1, F.length(unit) - F.length(head) - F.when(kind == "card", 1).otherwise(0))
-    hexed = (kind == "secret") & F.regexp_like(unit, F.lit("^[0-9a-f]+$"))
+    hexed = (kind == "ipv6") | ((kind == "secret") & F.regexp_like(unit, F.lit("^[0-9a-f]+$")))
     moved = F.concat(head, _bound(tail, lambda t: permuted(key, [kind, attempt.cast("string"), F.length(t).cast("string")], t, hexed)))
     # What a check digit is off by stays, so that valid numbers stay valid, wrong ones wrong, and different ones different.
-    number = _bound(moved, lambda m: F.when(kind == "card", F.concat(m, F.pmod(luhn(unit) - luhn(F.concat(m, F.lit("0"))), F.lit(10)).cast("string"))).otherwise(m))
+    def remainder(account: Column) -> Column:
+        """By 97, of an account number as its check digits see it: they and the country go to the end, letters count from 10."""
+        value = lambda c: F.instr(F.lit(DIGITS + UPPER), c) - 1
+        return F.aggregate(F.split(F.concat(F.substr(account, F.lit(5)), F.substring(account, 1, 4)), ""), F.lit(0), lambda r, c: F.when(value(c) > 9, (r * 100 + value(c)) % 97).otherwise((r * 10 + value(c)) % 97))
+
+    def checked(m: Column) -> Column:
+        zero = F.concat(F.substring(m, 1, 2), F.lit("00"), F.substr(m, F.lit(5)))
+        check = F.pmod(remainder(unit) - remainder(zero) - 2, F.lit(97)) + 2
+        return F.concat(F.substring(m, 1, 2), F.lpad(check.cast("string"), 2, "0"), F.substr(m, F.lit(5)))
+
+    number = _bound(moved, lambda m: F.when(kind == "iban", checked(m)).when(kind == "card", F.concat(m, F.pmod(luhn(unit) - luhn(F.concat(m, F.lit("0"))), F.lit(10)).cast("string"))).otherwise(m))
 
     def sound(part: int) -> Column:
         of = lambda script: F.lit(SOUNDS[script][part])
@@ -190,7 +232,7 @@ def _surrogate(key: str, kind: Column, unit: Column, attempt: Column) -> Column:
     whole = 1 << 40
     syllable = lambda i: F.concat(picked(sound(0), draw(i * 2, whole)), picked(sound(1), draw(i * 2 + 1, whole)))
     root = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2) + F.floor(attempt / 2).cast("int")), syllable), "")
-    endings = [(f"{who}.{script}", SOUNDS[script][2 + i]) for script in SOUNDS for i, who in enumerate(("female", "male", "family"))]
+    endings = [(f"{who}.{script}", SOUNDS[script][2 + i]) for script in SOUNDS for i, who in enumerate(WHO)]
     known = F.create_map(*(x for k, e in endings for x in (F.lit(k), F.array(*map(F.lit, e)))))
     ending = F.element_at(F.try_element_at(known, kind), draw(at(9005), 3).cast("int") + 1)
     name = F.concat(root, F.substring(sound(0), 9, 1), ending)
@@ -221,11 +263,20 @@ def assigned(units: DataFrame, key: str) -> DataFrame:
 def _rendered(kind: Column, mention: Column, surrogates: Column) -> Column:
     """The surrogates of a mention's units in the mention's own format."""
     digits = F.element_at(surrogates, 1)
-    place = lambda i: F.length(F.regexp_replace(F.substr(mention, F.lit(1), i + 1), "[^0-9]", ""))
-    number = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(F.regexp_like(c, F.lit("[0-9]")), F.substr(digits, place(i), F.lit(1))).otherwise(c)), "")
-    title = F.regexp_extract(mention, rf"^((?:{FEMALE}|{MALE})\.? )", 1)
+    own = F.regexp_replace(mention, "[^0-9]", "")
+    # A country code that isn't part of the unit stays.
+    behind = F.when(kind == "phone", F.length(own) - F.length(digits)).otherwise(0)
+    place = lambda i: F.length(F.regexp_replace(F.substr(mention, F.lit(1), i + 1), "[^0-9]", "")) - behind
+    number = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(F.regexp_like(c, F.lit("[0-9]")) & (place(i) > 0), F.substr(digits, place(i), F.lit(1))).otherwise(c)), "")
+    spot = lambda i: F.length(F.replace(F.substr(mention, F.lit(1), i + 1), F.lit(" "), F.lit("")))
+    account = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c == " ", c).otherwise(F.substr(digits, spot(i), F.lit(1)))), "")
     cased = lambda s, w: F.when(w == F.upper(w), F.upper(s)).otherwise(F.concat(F.upper(F.substring(s, 1, 1)), F.substr(s, F.lit(2))))
-    return F.when(kind == "name", F.concat(title, F.array_join(F.zip_with(surrogates, _words(mention), cased), " "))).when(kind.isin("phone", "card", "ssn"), number).otherwise(digits)
+    rest = _behind_title(mention)
+    title = F.substr(mention, F.lit(1), F.length(mention) - F.length(rest))
+    words = F.zip_with(surrogates, F.regexp_extract_all(rest, F.lit(WORD), F.lit(0)), cased)
+    name = F.array_join(F.zip_with(F.split(rest, WORD, -1), words, lambda gap, w: F.concat(F.coalesce(gap, F.lit("")), F.coalesce(w, F.lit("")))), "")
+    alone = cased(digits, F.get(F.split(mention, ALONE), F.lit(2)))
+    return F.when(kind == "alone", alone).when(kind == "name", F.concat(title, name)).when(kind == "iban", account).when(kind.isin("phone", "card", "ssn"), number).otherwise(digits)
 
 
 def replaced(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -235,23 +286,33 @@ def replaced(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "tex
     returned as often as they stand; rows without doc_id are taken apart by their texts. Very long texts are searched
     whole. An empty table gives no rows.
     """
-    row, swaps, n_entities = fresh(docs, "row_key", "swaps", "n_entities")
+    row, swaps, n_entities, pattern = fresh(docs, "row_key", "swaps", "n_entities", "pattern")
     keyed = docs.withColumn(row, row_key(doc_id, text))
-    found = keyed.where(F.regexp_like(F.col(text), F.lit(MAYBE))).select(F.col(row).alias("row"), F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0)).alias("mentions"))
-    hits = written(found.where(F.size("mentions") > 0).dropDuplicates(["row"]), "mentions")
+    found = keyed.where(F.regexp_like(F.col(text), F.lit(MAYBE))).select(F.col(row).alias("row"), F.col(text).alias("text"), F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0)).alias("mentions"))
+    # Names that a document gives with a form of address, by word, the first kind of a word counting.
+    titled = F.filter("mentions", lambda m: F.regexp_like(m, F.lit(rf"^{PATTERNS['name']}$")))
+    words = F.flatten(F.transform(titled, lambda m: F.transform(F.arrays_zip(_named(m).alias("n"), F.regexp_extract_all(_behind_title(m), F.lit(WORD), F.lit(0)).alias("w")), lambda x: F.struct(x["w"].alias("w"), x["n"]["kind"].alias("kind")))))
+    hits = found.where(F.size("mentions") > 0).dropDuplicates(["row"]).withColumn("words", words)
+    spelled = F.array_distinct(F.flatten(F.transform("words", lambda x: F.array(x["w"], F.upper(x["w"])))))
+    alone = F.when(F.size("words") > 0, F.concat(F.lit(ANY + r"|(?<![\p{L}\p{N}])(?:"), F.array_join(spelled, "|"), F.lit(r")(?![\p{L}\p{N}])"))).otherwise(F.lit(ANY))
+    hits = hits.withColumn("pattern", alone)
+    of = lambda m: F.element_at(F.filter("words", lambda x: (x["w"] == m) | (F.upper(x["w"]) == m)), 1)["kind"]
+    again = F.transform(F.regexp_extract_all("text", F.col("pattern"), F.lit(0)), lambda m: F.when(F.regexp_like(m, F.lit(rf"^{WORD}$")) & F.exists("words", lambda x: (x["w"] == m) | (F.upper(x["w"]) == m)), F.concat(F.lit(ALONE), of(m), F.lit(ALONE), m)).otherwise(m))
+    hits = written(hits.select("row", F.when(F.size("words") > 0, again).otherwise(F.col("mentions")).alias("mentions"), F.when(F.size("words") > 0, F.col("pattern")).alias("pattern")), "mentions")
     places = hits.select("row", F.posexplode("mentions").alias("place", "mention"))
     kinds = places.select("mention").distinct().withColumn("kind", _kind(F.col("mention")))
     mentions = written(kinds.withColumn("units", _units(F.col("kind"), F.col("mention"))), "kinds")
     parts = mentions.select("mention", F.col("kind").alias("of"), F.posexplode("units").alias("nth", "u")).select("mention", "of", "nth", "u.kind", "u.unit")
     table = assigned(parts, key)
-    # A mention has two units at most.
+    # A mention has a dozen units at most.
     built = parts.join(table, ["kind", "unit"]).groupBy("mention", "of").agg(F.sort_array(F.collect_list(F.struct("nth", "surrogate"))).alias("units"))
     swap = written(built.select("mention", _rendered(F.col("of"), F.col("mention"), F.col("units.surrogate")).alias("swap")), "swaps")
     # One row gathers the mentions of one document.
     lists = sized_join(places, swap, "mention", "inner").groupBy(F.col("row").alias(row)).agg(F.sort_array(F.collect_list(F.struct("place", "swap"))).alias(swaps))
-    lists = written(lists.select(row, F.col(f"{swaps}.swap").alias(swaps)), "lists")
+    own = hits.select(F.col("row").alias(row), F.col("pattern").alias(pattern))
+    lists = written(lists.select(row, F.col(f"{swaps}.swap").alias(swaps)).join(own, row), "lists")
     joined = sized_join(keyed, lists, row, "left")
-    pieces = F.zip_with(F.split(F.col(text), ANY, -1), F.col(swaps), lambda piece, other: F.concat(F.coalesce(piece, F.lit("")), F.coalesce(other, F.lit(""))))
+    pieces = F.zip_with(F.when(F.col(pattern).isNull(), F.split(F.col(text), ANY, -1)).otherwise(F.split(F.col(text), F.col(pattern), -1)), F.col(swaps), lambda piece, other: F.concat(F.coalesce(piece, F.lit("")), F.coalesce(other, F.lit(""))))
     new = F.when(F.col(swaps).isNull(), F.col(text)).otherwise(F.array_join(pieces, ""))
     count = F.when(F.col(swaps).isNull(), F.lit(0)).otherwise(F.size(swaps)).cast("long")
     return joined.select(*(new.alias(c) if c == text else F.col(c) for c in docs.columns), count.alias(n_entities))

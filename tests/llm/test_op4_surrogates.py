@@ -177,3 +177,51 @@ def test_phone_ends_before_the_next_number(spark):
     assert re.fullmatch(r"4\d{3} \d{4} \d{4} \d{4}", out[2][18:]) and luhn(out[2][18:]) and out[2][18:] != "4539 1488 0343 6467"
     assert re.fullmatch(r"\d\d\d-\d\d-\d{4}", out[3][18:]) and out[3][18:] != "123-45-6789"
     assert re.fullmatch(r"\+\d\d \d \d\d\.\d\d\.\d\d\.\d\d", out[5]) and out[5] != "+33 1 42.68.53.10"
+
+
+def test_parts_of_names_and_their_later_mentions(spark):
+    texts = [
+        "Mr. John Smith called. Smith said he would return; John agreed. SMITH.", "Mr. John Michael Smith left", "Mr. Jean-Luc Picard, said Picard to Luc", "Mrs. O'Brien and O'Brien's cat", "Mr. McDonald ate; MCDONALD left",
+        "Ms. van Dyke and Herr von der Leyen", "Dr. Anna Lee, Anna!", "Prof. Dr. Mark Stone", "Mr. J. Smith; Smith's dog", "Frau Müller-Lüdenscheidt und Müller", "Nobody is named: Smith, Anna.",
+    ]
+    out = run(spark, texts)
+    hidden = "John Smith SMITH Michael Jean Luc Picard Brien McDonald MCDONALD Dyke Leyen Anna Lee Mark Stone Müller Lüdenscheidt".split()
+    for text, new in zip(texts[:-1], out):
+        words = re.findall(r"\w+", new)
+        assert not set(hidden) & set(words), new
+        assert [w for w in re.findall(r"\W+", new)] == re.findall(r"\W+", text) and [w for w in re.findall(r"\b[a-z]+\b", new)] == re.findall(r"\b[a-z]+\b", text)
+    assert out[-1] == texts[-1]
+    first, family = re.match(r"Mr\. (\w+) (\w+) called", out[0]).groups()
+    assert out[0] == f"Mr. {first} {family} called. {family} said he would return; {first} agreed. {family.upper()}."
+    assert out[1].startswith(f"Mr. {first} ") and out[1].endswith(f" {family} left") and out[8] == f"Mr. J. {family}; {family}'s dog"
+
+
+def test_one_unit_for_a_phone_with_and_without_its_country(spark):
+    out = run(spark, ["+15551234567, (555) 123-4567, 555.123.4567, +1 555 123 4567, call 5551234567", "order 5551234567, +445551234567"])
+    digits = [re.sub(r"\D", "", x)[-10:] for x in out[0].split(",")]
+    assert len(set(digits)) == 1 and digits[0] != "5551234567" and out[0].startswith("+1")
+    assert out[1].startswith("order 5551234567, +4") and digits[0] not in out[1]
+
+
+def test_long_addresses_and_account_numbers(spark):
+    accounts = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82WEST12345698765432", "DE88370400440532013000"]
+    out = run(spark, [f"{a} is one" for a in accounts] + ["2001:db8::ff00:42:8329 and 2001:0DB8:0:0:0:ff00:42:8329, std::vector at 12:34:56"])
+    number = lambda t: t.removesuffix(" is one").replace(" ", "")
+    value = lambda a: int("".join(str(int(c, 36)) for c in a[4:] + a[:4])) % 97
+    assert number(out[0]) == number(out[1]) != number(out[3]) and out[0][4] == " "
+    assert [value(number(x)) for x in out[:4]] == [value(number(a)) for a in accounts] and value(number(out[0])) == 1 != value(number(out[3]))
+    assert all(number(x)[4:] != number(a)[4:] and x[:2] == a[:2] for x, a in zip(out, accounts))
+    assert out[4].endswith(", std::vector at 12:34:56") and "2001:db8" not in out[4].lower() and re.fullmatch(r"[0-9a-f]{4}:[0-9a-f]{3}::[0-9a-f]{4}:[0-9]{2}:[0-9]{4}", out[4].split(" ")[0])
+
+
+def test_names_and_addresses_against_brute_force(spark):
+    """Names and e-mail addresses found and replaced in plain Python, with the surrogates that single mentions get."""
+    rng = random.Random(11)
+    given, family = [w.capitalize() for w in corpus.words(rng, 12) if len(w) > 3], [w.capitalize() for w in corpus.words(rng, 12) if len(w) > 3]
+    mails = [f"{a.lower()}.{b.lower()}@mail.corp.net" for a, b in zip(given, family)]
+    people = [f"{rng.choice(['Mr.', 'Herr'])} {a} {b}" for a in given for b in family]
+    bits = [*people[:60], *mails]
+    alone = dict(zip(bits, run(spark, bits)))
+    texts = ["; ".join(["so", *rng.choices(bits, k=5), "then"]) for _ in range(50)]
+    assert run(spark, texts) == ["; ".join(alone.get(x, x) for x in t.split("; ")) for t in texts]
+    assert len(set(alone.values())) == len(bits) and not set(alone.values()) & set(bits)

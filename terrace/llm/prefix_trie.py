@@ -158,7 +158,9 @@ def prefix_trie(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
 
     root = reps.agg(F.min("conv_id").alias("name"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).where("k > 0").select(F.lit(0).cast("long").alias("parent"), "name", "n", "k", F.lit(0).cast("long").alias("bytes"))
     levels, ended, retired = [written(root, "level")], [], []
-    now = reps.select("conv_id", "n").crossJoin(F.broadcast(levels[0].select(F.col("name").alias("class"))))
+    # The root's one row; an empty table has none.
+    top = levels[0].select("name").first()
+    now = reps.select("conv_id", "n", F.lit(top[0] if top else None).cast("long").alias("class"))
     while True:
         depth = len(levels) - 1
         after = every.where(F.col("pos") == depth).select("conv_id", "key", "bytes")

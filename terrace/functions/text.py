@@ -139,13 +139,17 @@ def number_in(name: Column, pattern: str, default: int = 0) -> Column:
 
 
 def log_tag(line: Column) -> Column:
-    """The first word in square brackets behind the time of a log line."""
-    return F.regexp_extract(line, r"^\S*\s*\[([^\]]+)\]", 1)
+    """What the first square brackets of a log line hold; empty without any."""
+    return stripped(F.regexp_extract(line, r"^[^\[]*\[([^\]]*)\]", 1))
 
 
 def log_time(line: Column) -> Column:
-    """The ISO time at the head of a log line, null without one."""
-    return F.try_to_timestamp(F.regexp_extract(line, r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2})", 1), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
+    """The ISO time that is the first word of a log line, with or without fraction and zone, null without one.
+
+    Times without a zone are in the session's.
+    """
+    word = F.substring_index(F.ltrim(line), " ", 1)
+    return F.when(F.regexp_like(word, F.lit(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:T[0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,9})?)?(?:Z|[+-][0-9]{2}:?[0-9]{2})?)?$")), word.try_cast("timestamp"))
 
 
 def error_source(error: Column) -> Column:

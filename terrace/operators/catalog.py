@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions.values import inferred_type
@@ -82,9 +83,66 @@ def columns_by_category(columns: DataFrame, table: str, column: str, place: str)
     return named.groupBy(table, "category").agg(listed).withColumn("category_place", F.element_at(order, F.col("category")))
 
 
-def keys_of(columns: DataFrame, table: str, column: str) -> DataFrame:
-    """For each table its guessed primary key (the table's name and ID, not for relations) and foreign keys, joined by commas."""
-    own = F.concat(F.col(table), F.lit("ID"))
-    primary = F.max(F.when((F.col(column) == own) & ~F.endswith(F.col(table), F.lit("Relation")), F.col(column)))
-    foreign = F.collect_set(F.when(F.endswith(F.col(column), F.lit("ID")) & (F.col(column) != "RowID") & (F.col(column) != own), F.col(column)))
-    return columns.groupBy(table).agg(F.coalesce(primary, F.lit("")).alias("primary_key"), F.array_join(F.sort_array(foreign), ",").alias("foreign_keys"))
+def longest_prefix(names: DataFrame, name: str, prefixes: DataFrame, prefix: str, proper: bool = False) -> DataFrame:
+    """names with the columns of the longest prefix that each begins with, null without one.
+
+    Each distinct name goes to the join with its own prefixes, as many as the longest known one has characters, so that
+    names and prefixes meet by equality. proper: whether a name has to be longer than its prefix. prefixes has each once.
+    """
+    columns = [c for c in prefixes.columns if c != prefix]
+    longest = prefixes.agg(F.coalesce(F.max(F.length(prefix)), F.lit(0)).alias("_most"))
+    once = names.select(F.col(name).alias("_name")).where("_name IS NOT NULL").distinct().join(F.broadcast(longest))
+    sizes = F.sequence(F.lit(0), F.least(F.col("_most"), F.length("_name") - F.lit(int(proper))))
+    parts = once.where(F.length("_name") >= int(proper)).select("_name", F.explode(F.transform(sizes, lambda n: F.substring("_name", F.lit(1), n))).alias(prefix))
+    found = parts.join(prefixes, prefix).groupBy("_name").agg(F.max_by(F.struct(prefix, *columns), F.length(prefix)).alias("_hit"))
+    return names.join(found, F.col(name) == F.col("_name"), "left").select(*(F.col(c) for c in names.columns), F.col(f"_hit.{prefix}").alias(prefix), *(F.col(f"_hit.{c}").alias(c) for c in columns))
+
+
+def described(tables: DataFrame, table: str, given: DataFrame, subjects: DataFrame, relations: DataFrame, end: str = "Relation", joint: str = "{}") -> DataFrame:
+    """tables with a description: one that is given, else one by the parts of its name, else null.
+
+    given: table and description. A table whose name ends so is a relation of the longest subject (subjects: subject and
+    label) that its name begins with and that leaves a rest; relations (rest and pattern) describe it, the label in place
+    of joint. Where the rest isn't known, the relation's pattern with an empty rest counts.
+    """
+    own = tables.join(given.select(F.col(table), F.col("description").alias("_given")), table, "left")
+    base = own.withColumn("_base", F.when(F.endswith(table, F.lit(end)), F.substr(F.col(table), F.lit(1), F.length(table) - len(end))))
+    split = longest_prefix(base, "_base", subjects, "subject", proper=True).withColumn("_rest", F.substr("_base", F.length("subject") + 1))
+    known = split.join(relations.select(F.col("rest").alias("_rest"), F.col("pattern").alias("_pattern")), "_rest", "left")
+    # One row.
+    other = relations.where("rest = ''").agg(F.max("pattern").alias("_other"))
+    told = F.replace(F.coalesce("_pattern", F.when(F.col("subject").isNotNull(), F.col("_other"))), F.lit(joint), F.col("label"))
+    return known.join(F.broadcast(other)).select(*tables.columns, F.coalesce("_given", told).alias("description"))
+
+
+def join_note(column: Column, notes: dict[str, str], row_id: str, updated: str, id_like: str) -> Column:
+    """What a column can be joined with: a known note, else one for row ids, times of update and other ids; else empty."""
+    known = F.create_map(*(F.lit(x) for kv in notes.items() for x in kv)) if notes else F.create_map().cast("map<string,string>")
+    return F.coalesce(F.try_element_at(known, column), F.when(column == "RowID", row_id).when(column == "LastUpdated", updated).when(F.endswith(column, F.lit("ID")), id_like).otherwise(""))
+
+
+def bounded_profile(spark: SparkSession, files: list[str], read: Callable[[str], DataFrame], most: int = 5000, step: int = 200) -> tuple[DataFrame, int]:
+    """column_name and sample of every column: its first value that isn't blank within the first records; and the files opened.
+
+    files in order, each read by read. Records are taken in growing steps from the front of a file, so that Spark runs
+    tasks for the first splits only, and no further file is opened once every column has a sample or most records
+    are seen. At most that many records come to the driver. Columns without a value have an empty sample.
+    """
+    samples: dict[str, str] = {}
+    left, opened = most, 0
+    for file in files:
+        rows = read(file)
+        samples |= {c: "" for c in rows.columns if c not in samples}
+        opened, seen, size = opened + 1, 0, step
+        while left > seen and any(not samples[c] for c in rows.columns):
+            size = min(size, left)
+            taken = rows.select(*(F.col(c).cast("string").alias(c) for c in rows.columns)).take(size)
+            for row in taken[seen:]:
+                samples |= {c: row[c].strip() for c in rows.columns if not samples[c] and (row[c] or "").strip()}
+            fewer, seen, size = len(taken) < size, len(taken), size * 5
+            if fewer or seen >= left:
+                break
+        left -= seen
+        if left <= 0 or all(samples.values()):
+            break
+    return spark.createDataFrame(list(samples.items()), "column_name string, sample string"), opened

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.operators import attempts, intervals, verify
+from terrace.functions import html
+from terrace.operators import attempts, catalog, intervals, logs, verify
 from terrace.plans.catalogue import query
 from terrace.plans.review import _in, varied, varied_sql
 from terrace.sources import records
@@ -219,3 +220,91 @@ def keyed_upserts(read):
         put(rows.where(F.col("event_id") % 3 == b), b)
     table.delete(events.where("event_id % 101 = 0").select("user_id"))
     return table.read()
+
+
+# Logs: events as lines, by user.
+
+_TAGS = ["worker:start", "command:end", "command:end", "command:stderr", "other:x", "supervisor:tick", "", "- batch_3"]
+_LINE_SQL = f"(SELECT user_id, event_id, ts, ([{', '.join(repr(t) for t in _TAGS)}])[event_id % 8 + 1] AS tag, CASE WHEN event_id % 8 = 7 THEN '  - batch_3 [worker:start] ' || event_id WHEN event_id % 8 = 6 THEN 'Runtime actions: ' || event_id ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || ' [' || tag || '] returncode=' || event_id % 3 END AS line FROM events)"
+
+
+def _log_lines(read):
+    k = F.col("event_id")
+    tag = F.element_at(F.array(*map(F.lit, _TAGS)), (k % 8 + 1).cast("int"))
+    told = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z ["), tag, F.lit("] returncode="), (k % 3).cast("string"))
+    line = F.when(k % 8 == 7, F.concat(F.lit("  - batch_3 [worker:start] "), k.cast("string"))).when(k % 8 == 6, F.concat(F.lit("Runtime actions: "), k.cast("string"))).otherwise(told)
+    return read("events").select("user_id", "event_id", line.alias("line"))
+
+
+@query(f"""WITH l AS {_LINE_SQL}, c AS (SELECT user_id, unnest(CASE event_id % 8 WHEN 0 THEN ['worker:start'] WHEN 3 THEN ['command:stderr'] WHEN 5 THEN ['supervisor:tick'] WHEN 6 THEN ['runtime_action_summary_line'] WHEN 7 THEN ['worker:start', 'runtime_action_batch_line'] WHEN 4 THEN [] ELSE CASE WHEN event_id % 3 = 0 THEN ['command:end'] ELSE ['command:end', 'command:end_nonzero'] END END) AS k FROM l),
+m AS (SELECT user_id, '{{' || string_agg('"' || k || '":' || n, ',' ORDER BY k) || '}}' AS event_counts FROM (SELECT user_id, k, count(*) AS n FROM c GROUP BY 1, 2) GROUP BY 1),
+n AS (SELECT user_id, event_id, u.i AS i, line FROM l, unnest(range(CASE event_id % 8 WHEN 7 THEN 2 WHEN 4 THEN 0 WHEN 1 THEN (event_id % 3 > 0)::INTEGER WHEN 2 THEN (event_id % 3 > 0)::INTEGER ELSE 1 END)) AS u(i)),
+r AS (SELECT user_id, array_to_string(list(line ORDER BY event_id, i)[-12:], chr(10)) AS recent FROM n GROUP BY 1), t AS (SELECT user_id, max(ts) AS last_event_at, arg_max(line, (ts, -event_id)) AS last_event_line FROM l WHERE event_id % 8 < 6 GROUP BY 1)
+SELECT user_id, last_event_at, last_event_line, event_counts, recent FROM m LEFT JOIN t USING (user_id) LEFT JOIN r USING (user_id)""")
+def event_log_rollup(read):
+    found = logs.event_rollup(_log_lines(read), "user_id", "event_id", "line")
+    return found.select("user_id", "last_event_at", "last_event_line", "event_counts", F.array_join("recent_notable_events", "\n").alias("recent"))
+
+
+_SHAPES = ["{\"type\":\"item.completed\",\"item\":{\"type\":\"web_search\",\"query\":\"q#\"}}", "{\"type\":\"item.completed\",\"item\":{\"type\":\"agent_message\",\"text\":\" said # \"}}", "{\"type\":\"item.started\",\"item\":{\"type\":\"agent_message\",\"text\":\"no\"}}", "{\"type\":\"turn\",\"n\":#}", "[1, 2]", "{broken #", "  ", "{\"item\":{\"type\":\"file_change\"}}", "{\"type\":\"item.completed\",\"item\":\"text\"}"]
+_SHAPE_SQL = f"(SELECT user_id, event_id, event_id % 9 AS s FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) <= 40)"
+
+
+@query(f"""WITH l AS {_SHAPE_SQL}, c AS (SELECT user_id, unnest(CASE s WHEN 0 THEN ['item.completed', 'web_search:item.completed'] WHEN 1 THEN ['item.completed', 'agent_message:item.completed'] WHEN 2 THEN ['item.started', 'agent_message:item.started'] WHEN 3 THEN ['turn'] WHEN 8 THEN ['item.completed'] ELSE [] END) AS k FROM l),
+m AS (SELECT user_id, '{{' || string_agg('"' || k || '":' || n, ',' ORDER BY k) || '}}' AS counts FROM (SELECT user_id, k, count(*) AS n FROM c GROUP BY 1, 2) GROUP BY 1)
+SELECT user_id, count(*) FILTER (s IN (0, 1, 2, 3, 7, 8)) AS json_lines, count(*) FILTER (s IN (4, 5)) AS other_lines, 'said ' || max(event_id) FILTER (s = 1) AS last_agent_message, any_value(coalesce(counts, '{{}}')) AS counts,
+ coalesce(array_to_string(list('q' || event_id ORDER BY event_id) FILTER (s = 0)[-5:], ','), '') AS queries FROM l LEFT JOIN m USING (user_id) GROUP BY 1 HAVING count(*) FILTER (s <> 6) > 0""")
+def worker_log_rollup(read):
+    shape = F.element_at(F.array(*map(F.lit, _SHAPES)), (F.col("event_id") % 9 + 1).cast("int"))
+    lines = read("events").select("user_id", "event_id", F.replace(shape, F.lit("#"), F.col("event_id").cast("string")).alias("line"))
+    found = logs.worker_rollup(lines, "user_id", "event_id", "line", tail=40)
+    return found.select("user_id", "json_lines", "other_lines", "last_agent_message", "counts", F.array_join("recent_search_queries", ",").alias("queries"))
+
+
+# Prefixes, descriptions and notes.
+
+_PREFIX_SQL = "(SELECT prefix, max(p_partkey) AS prefix_id FROM (SELECT p_partkey, substr(p_name, 1, (p_partkey % 9)::INTEGER) AS prefix FROM part WHERE p_partkey % 11 = 3) GROUP BY 1)"
+
+
+@query(f"SELECT p_partkey, arg_max(prefix, length(prefix)) AS prefix, arg_max(prefix_id, length(prefix)) AS prefix_id FROM part LEFT JOIN {_PREFIX_SQL} ON starts_with(p_name, prefix) GROUP BY 1")
+def longest_prefixes(read):
+    prefixes = read("part").where("p_partkey % 11 = 3").select("p_partkey", F.substring("p_name", F.lit(1), (F.col("p_partkey") % 9).cast("int")).alias("prefix")).groupBy("prefix").agg(F.max("p_partkey").alias("prefix_id"))
+    return catalog.longest_prefix(read("part").select("p_partkey", "p_name"), "p_name", prefixes, "prefix").drop("p_name")
+
+
+@query("""WITH t AS (SELECT c_custkey, (['Deal', 'DealSellerRelation', 'LPRelation', 'LimitedPartnerLPRelation', 'XRelation', 'DealOddRelation', 'LPTeamRelation'])[c_custkey % 7 + 1] || CASE WHEN c_custkey % 5 = 0 THEN '' ELSE '' END AS t FROM customer)
+SELECT c_custkey, t AS table_name, CASE t WHEN 'Deal' THEN 'given' WHEN 'DealSellerRelation' THEN 'sellers of deals' WHEN 'LimitedPartnerLPRelation' THEN 'partners of limited partners' WHEN 'DealOddRelation' THEN 'what deals relate to' WHEN 'LPTeamRelation' THEN 'teams of LPs' END AS description,
+CASE c_custkey % 5 WHEN 0 THEN 'joins deals' WHEN 1 THEN 'row' WHEN 2 THEN 'time' WHEN 3 THEN 'some id' ELSE '' END AS note FROM t""")
+def table_descriptions(read):
+    k, spark = F.col("c_custkey"), read("customer").sparkSession
+    names = ["Deal", "DealSellerRelation", "LPRelation", "LimitedPartnerLPRelation", "XRelation", "DealOddRelation", "LPTeamRelation"]
+    tables = read("customer").select("c_custkey", F.element_at(F.array(*map(F.lit, names)), (k % 7 + 1).cast("int")).alias("table_name"), F.element_at(F.array(*map(F.lit, ("DealID", "RowID", "LastUpdated", "OddID", "Name"))), (k % 5 + 1).cast("int")).alias("column"))
+    given = spark.createDataFrame([("Deal", "given")], "table_name string, description string")
+    subjects = spark.createDataFrame([("Deal", "deals"), ("LP", "LPs"), ("Limited", "nobody"), ("LimitedPartner", "limited partners")], "subject string, label string")
+    relations = spark.createDataFrame([("Seller", "sellers of {}"), ("LP", "partners of {}"), ("Team", "teams of {}"), ("", "what {} relate to")], "rest string, pattern string")
+    found = catalog.described(tables, "table_name", given, subjects, relations)
+    return found.withColumn("note", catalog.join_note(F.col("column"), {"DealID": "joins deals"}, "row", "time", "some id")).drop("column")
+
+
+# Labelled rows of pages: each page with rows of links behind it.
+
+def _labelled(read):
+    k = F.col("page_id").cast("string")
+    link = lambda href, text: F.concat(F.lit("<a href='"), href, F.lit("'>"), text, F.lit("</a>"))
+    row = lambda label, *links: F.concat(F.lit("<div class='x row line'><div class='label b'> "), F.lit(label), F.lit(" </div><div><div>"), *links, F.lit("</div></div></div>"))
+    tags = row("Tags &amp; more", link(F.concat(F.lit("/tags/"), k), F.concat(F.lit("t"), k)), link(F.lit("/tags/2"), F.lit("a <b>b</b>\n c")), link(F.lit("/other"), F.lit("no")), link(F.lit("/tags/3"), F.concat(F.lit("t"), k)))
+    sites = row("Sites", link(F.lit("https://a.com"), F.lit("Home")), link(F.lit("https://b.com"), F.lit("Home")), link(F.concat(F.lit("/p?a=1&amp;b="), k), F.lit("Page")), link(F.lit("/x"), F.lit(" ")))
+    coins = F.concat(F.lit("<p><a class=c href=\"/coins/"), k, F.lit("\"><span>Big &lt;Coin</span> <i>BC"), k, F.lit("</i></a><a href='/coins/9'>lower case</a><a href='/coins/1'>One\nTwo OT</a><a href='/coins/1'>One Two OT</a></p>"))
+    return read("pages").select("page_id", F.concat("html", tags, F.lit("<div class='row'>not a row</div>"), sites, coins).alias("html"))
+
+
+@query("""SELECT page_id, '["t' || page_id || '","a b c"]' AS tags, '{"Home":"https://a.com","Page":"/p?a=1&b=' || page_id || '"}' AS sites, '[]' AS none FROM pages""")
+def label_lists(read):
+    rows = _labelled(read).select("page_id", html.labelled_rows(F.col("html"), ["row", "line"], "label").alias("r"))
+    r = F.col("r")
+    return rows.select("page_id", html.label_list(r, "Tags & more", "/tags/").alias("tags"), html.label_map(r, "Sites").alias("sites"), html.label_list(r, "Absent").alias("none"))
+
+
+@query("SELECT page_id, 'Big <Coin' AS name, 'BC' || page_id AS symbol, '/coins/' || page_id AS href FROM pages UNION ALL SELECT page_id, 'One Two', 'OT', '/coins/1' FROM pages")
+def anchor_rows(read):
+    return html.anchors(_labelled(read), "page_id", "html", "/coins/").drop("position")

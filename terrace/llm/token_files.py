@@ -7,7 +7,8 @@ Layout, per file set (one for each Spark partition, named by a random id):
 - ``<id>.docs``: int64 doc_id of each document; the smallest int64 stands for a null doc_id.
 
 The manifest (a Parquet table) has one row for each set: its path, document and id counts, the width of an id and its
-base, the ids in all sets before it. Bases are prefix sums over the sets, in the order of their first doc_id.
+base, the ids in all sets before it. Bases are prefix sums over the sets, in the order of their first documents. There
+are as many sets as the bytes of the corpus call for; rows of one doc_id, or without any, may lie in several sets.
 
 Files are written by tasks through pyarrow's filesystems. A set counts only once the manifest names it, so that what a
 failed or repeated task attempt leaves behind is never read. Readers memory-map local files and read ranges elsewhere.
@@ -26,15 +27,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrace.llm._spark import runs, scratch, sliced, spread, written
 
 NULL_ID = np.iinfo(np.int64).min
-MANIFEST = "first_id long, path string, n_docs long, n_tokens long, width int"
+MANIFEST = "first_id long, first_key long, path string, n_docs long, n_tokens long, width int"
 #: Ids that one call reads back.
 READ_IDS = 4_000_000
+#: Text bytes of a set, and those below which a session's spare tasks aren't worth a set of their own.
+SET_BYTES, LEAST_BYTES = 256_000_000, 8_000_000
 #: Text bytes whose chunks are looked at together.
 LOOK_BYTES = 4_000_000
 
@@ -164,11 +167,12 @@ def _place(uri: str) -> tuple[pafs.FileSystem, str]:
     return (pafs.LocalFileSystem(), uri) if uri.startswith("/") else pafs.FileSystem.from_uri(uri)
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int, doc_id: str = "doc_id", text: str = "text", set_bytes: int = SET_BYTES) -> DataFrame:
     """Writes the ids of docs in ascending doc_id order under folder and returns the manifest with its bases.
 
     A null text counts as an empty one and has the end id alone. Rows of one doc_id stand beside each other in the
-    order of their texts, null ids come first. An empty table gives an empty manifest.
+    order of a hash of their texts, null ids come first; repeated rows are written as often as they stand. A very long
+    text is encoded whole, in a set that is larger by it. An empty table gives an empty manifest.
     """
     spark = docs.sparkSession
 
@@ -179,6 +183,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id:
                 fs, root = _place(folder)
                 fs.create_dir(root, recursive=True)
                 out = fs.open_output_stream(f"{root}/{name}.tokens")
+                first_key = batch.column("key")[0].as_py()
             flat, begins = with_end(*coder.encode(batch.column("text")), end_id)
             out.write(flat.tobytes())
             starts.append(begins[1:] + total)
@@ -189,17 +194,18 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id:
             for kind, parts in (("offsets", starts), ("docs", ids)):
                 with fs.open_output_stream(f"{root}/{name}.{kind}") as side:
                     side.write(np.concatenate(parts).astype("<i8").tobytes())
-            yield pa.RecordBatch.from_pydict({"first_id": [int(ids[0][0])], "path": [f"{folder}/{name}"], "n_docs": pa.array([sum(map(len, ids))], pa.int64()), "n_tokens": [total], "width": pa.array([coder.width], pa.int32())})
-
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sorted_rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+            yield pa.RecordBatch.from_pydict({"first_id": [int(ids[0][0])], "first_key": [first_key], "path": [f"{folder}/{name}"], "n_docs": pa.array([sum(map(len, ids))], pa.int64()), "n_tokens": [total], "width": pa.array([coder.width], pa.int32())})
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, -(-size // set_bytes), min(tasks, -(-size // LEAST_BYTES)))
+    # By the hash of the text too, so that one id can't fill a set; the text itself isn't sampled for bounds.
+    sorted_rows = rows.repartitionByRange(n, "doc_id", "key").sortWithinPartitions("doc_id", "key", "text")
     sets = written(sorted_rows.mapInArrow(write, MANIFEST), "token-sets")
-    # One row for each partition of the data: few enough for the driver, whatever the number of documents.
-    bases, total = [], 0
-    for row in sets.orderBy("first_id").collect():
-        bases.append((*row, total))
-        total += row.n_tokens
-    return spark.createDataFrame(bases, MANIFEST + ", base long")
+    # One row for each set.
+    before = Window.orderBy("first_id", "first_key", "path").rowsBetween(Window.unboundedPreceding, -1)
+    return written(sets.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))), "manifest")
 
 
 def read_token_files(manifest: DataFrame, vocabulary_ids: bool = False) -> DataFrame:

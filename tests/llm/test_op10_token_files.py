@@ -38,3 +38,15 @@ def test_odd_ids_and_empty(spark):
     rows = tf.token_file_digest(spark, docs, FILE).toPandas().sort_values("start")
     assert [None if x != x else int(x) for x in rows.doc_id.astype(float)] == [None, -3, 5, 5]
     assert tf.token_file_digest(spark, docs.limit(0), FILE).count() == 0
+
+
+def test_one_id_may_fill_several_sets(spark, tmp_path):
+    """Sets follow the bytes, whatever the ids; bases have no gap."""
+    rows = [(7 if i % 3 else None, f"text {i} " * (i % 9)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    manifest = tf.write_token_files(docs, str(tmp_path / "t"), FILE, 2, set_bytes=2000)
+    sets = manifest.orderBy("base").collect()
+    assert len(sets) > 4 and all(b.base == a.base + a.n_tokens for a, b in zip(sets, sets[1:])) and sets[0].base == 0
+    read = tf.read_token_files(manifest).orderBy("start").collect()
+    assert len(read) == 300 and all(b.start == a.start + a.n_tokens for a, b in zip(read, read[1:]))
+    assert [r.doc_id for r in read] == [None] * 100 + [7] * 200

@@ -6,7 +6,9 @@ sums over the whole text, set against thresholds that labelled texts calibrate,
 Both dictionaries hold the same ordinary content, picked by zstandard's trainer from ordinary windows; the toxic one
 has in front of it what the trainer picks from the words of toxic texts that ordinary ones lack. So a window that
 holds nothing of the kind compresses alike with either, and differences come from toxic content alone. Words count by
-their first letters, so that endings don't hide a stem, and by distinct texts, so that copies don't weigh more.
+their first letters, as many as it takes, so that endings don't hide a stem, and by groups of near copies, so that copies
+don't weigh more; a stem's evidence has to be beyond accident. All texts of the sample train and all calibrate, each with
+dictionaries that others have trained.
 
 That step goes beyond two dictionaries trained on whole windows of either kind. Those were tried (32-byte windows, 110
 kB each, calibrated by cross-fitting) and find 2 % of held-out toxic rows on the small tables and 21 % on the check's,
@@ -18,11 +20,11 @@ the order of a hash. Scoring goes over every window of every text and needs noth
 
 from __future__ import annotations
 
+import hashlib
 import math
-import random
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,13 +38,20 @@ SAMPLE_ROWS = 3_000
 SAMPLE_BYTES = 24_000_000
 #: Texts of more bytes don't train, so that one of them can't use up the sample; they are scored like others.
 SAMPLE_TEXT = 1_000_000
-WINDOW, STEP, LEVEL = 64, 48, 3
-STEM = 5
+WINDOW, STEP, LEVEL = 48, 24, 3
+#: Bytes of a word's beginnings that may be stems.
+STEMS = range(4, 9)
+#: Minus the logarithm of a stem's chance to be as typical by accident, at least; natural, by Chernoff's bound.
+LEAST_EVIDENCE = 18.4
 ORDINARY_BYTES = 8192
 #: Bytes of trained toxic content that are tried; calibration takes the best.
-TOXIC_BYTES = (320, 640, 1280)
-#: A window counts if the toxic dictionary saves at least so many bytes.
-LEAST_GAIN = 2
+TOXIC_BYTES = (640, 1280)
+#: Parts of the sample, each calibrated with dictionaries trained on the others.
+FOLDS = 3
+#: Forms of a stem that train, those of most texts first.
+STEM_FORMS = 24
+#: A window counts if the toxic dictionary saves at least so many bytes, and counts as strong from so many on.
+LEAST_GAIN, STRONG_GAIN = 2, 4
 _WORD = re.compile(rb"[a-z\x80-\xff]{4,}")
 
 
@@ -75,29 +84,81 @@ def gains(texts: list[bytes], toxic: bytes, ordinary: bytes) -> list[np.ndarray]
     return [np.array([len(without(w)) - len(with_toxic(w)) for w in windows(t)], np.int32) for t in texts]
 
 
-def features(gain: np.ndarray) -> tuple[float, float, float]:
-    """Sum over the windows that count, that sum for each window, and their number, each on a log scale."""
-    counted = gain[gain >= LEAST_GAIN]
-    return math.log1p(counted.sum()), math.log1p(100 * counted.sum() / len(gain)), math.log1p(len(counted))
+def features(gain: np.ndarray) -> tuple[float, ...]:
+    """Sum over the windows that count, that sum for each window, their number, and number and share of strong ones, each on a log scale."""
+    counted, strong = gain[gain >= LEAST_GAIN], int((gain >= STRONG_GAIN).sum())
+    return math.log1p(counted.sum()), math.log1p(100 * counted.sum() / len(gain)), math.log1p(len(counted)), math.log1p(strong), math.log1p(100 * strong / len(gain))
 
 
-def _stems(text: bytes) -> set[bytes]:
-    return {m.group()[:STEM] for m in _WORD.finditer(text.lower())}
-
-
-def _typical(toxic: list[bytes], ordinary: list[bytes], least_z: float = 5.0) -> set[bytes]:
-    """Stems that far more toxic texts hold than ordinary ones; the limit is the same for samples of any size."""
-    a, b = Counter(), Counter()
-    for texts, counts in ((toxic, a), (ordinary, b)):
-        for t in texts:
-            counts.update(_stems(t))
-    n, m = max(1, len(toxic)), max(1, len(ordinary))
+#: Of a model that no text tells anything.
+NO_FEATURES = (0.0,) * 5
 
-    def z(stem: bytes) -> float:
-        p = (a[stem] + b[stem]) / (n + m)
-        return (a[stem] / n - b[stem] / m) / math.sqrt(p * (1 - p) * (1 / n + 1 / m)) if 0 < p < 1 else 0.0
 
-    return {s for s, k in a.items() if k >= 5 and k / n > 8 * (b[s] + 1) / m and z(s) > least_z}
+def _stems(text: bytes) -> set[bytes]:
+    """Beginnings of the words of a text."""
+    return {m.group()[:n] for m in _WORD.finditer(text.lower()) for n in STEMS if len(m.group()) >= n}
+
+
+def _families(texts: list[bytes], bands: int = 8, rows: int = 3) -> list[int]:
+    """For each text the number of its group of near copies: those whose runs of three words have a band of smallest hashes in common."""
+    salts = np.random.default_rng(5).integers(1, 1 << 63, bands * rows, dtype=np.uint64) | np.uint64(1)
+    parent, seen = list(range(len(texts))), {}
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i, t in enumerate(texts):
+        words = t.lower().split()
+        runs = {b" ".join(words[j : j + 3]) for j in range(max(1, len(words) - 2))}
+        hashes = np.array([int.from_bytes(hashlib.blake2b(r, digest_size=8).digest(), "little") for r in runs], np.uint64)
+        least = [int(((hashes * s) >> np.uint64(16)).min()) for s in salts]
+        for j in range(bands):
+            first = seen.setdefault((j, *least[j * rows : (j + 1) * rows]), i)
+            parent[root(i)] = root(first)
+    return [root(i) for i in range(len(texts))]
+
+
+def _typical(toxic: list[bytes], ordinary: list[bytes]) -> set[bytes]:
+    """Stems that far more toxic texts hold than ordinary ones, near copies counting once.
+
+    A stem's share among toxic texts has to be eight times that among ordinary ones, and so uneven by accident only with
+    a chance under exp(-LEAST_EVIDENCE), whatever the sizes of the samples. One that begins with a shorter typical one adds
+    nothing and is left out.
+    """
+    counts, sizes = [], []
+    for texts in (toxic, ordinary):
+        held: dict[bytes, set[int]] = {}
+        families = _families(texts)
+        for t, family in zip(texts, families, strict=True):
+            for s in _stems(t):
+                held.setdefault(s, set()).add(family)
+        counts.append({s: len(f) for s, f in held.items()})
+        sizes.append(max(1, len(set(families))))
+    (a, b), (n, m) = counts, sizes
+    chance = n / (n + m)
+
+    def evidence(stem: bytes) -> float:
+        k, other = a[stem], b.get(stem, 0)
+        p = k / (k + other)
+        return 0.0 if p <= chance else (k + other) * (p * math.log(p / chance) + (0 if p == 1 else (1 - p) * math.log((1 - p) / (1 - chance))))
+
+    found = {s for s, k in a.items() if k / n > 8 * (b.get(s, 0) + 1) / m and evidence(s) > LEAST_EVIDENCE}
+    return {s for s in found if not any(s[:k] in found for k in range(STEMS.start, len(s)))}
+
+
+def _toxic_samples(toxic: list[bytes], typical: set[bytes]) -> list[bytes]:
+    """What the toxic dictionary is trained on: samples that hold one form of every stem each, common forms more often."""
+    forms: dict[bytes, Counter] = {}
+    for t in toxic:
+        for word in {m.group() for m in _WORD.finditer(t.lower())}:
+            for n in STEMS:
+                if word[:n] in typical:
+                    forms.setdefault(word[:n], Counter())[word] += 1
+    ranked = [[w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:STEM_FORMS]] for _, c in sorted(forms.items())]
+    return [b" " + b" ".join(words[i * i % len(words)] for words in ranked) + b" " for i in range(4 * STEM_FORMS)] if ranked else []
 
 
 def _trained(size: int, samples: list[bytes], keep: int) -> bytes:
@@ -128,35 +189,42 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1e-2
 def fitted(rows: list[tuple[str | None, int]], share: float | None = None) -> Model:
     """A model from (text, label) rows; share: of toxic rows among all labelled ones, else that of the rows given.
 
-    Dictionaries are trained on one half of the texts and calibrated on the other. With rows of one label only, or
-    none, every text gets that label's share as its score.
+    Every text is calibrated with dictionaries that other texts trained: the sample is cut into FOLDS parts, and each is
+    measured with dictionaries of the others. The dictionaries of the model are trained on all of it. With rows of one
+    label only, or none, every text gets that label's share as its score.
     """
     seen: set[str] = set()
     kept = [(t.encode(), y) for t, y in rows if t and not (t in seen or seen.add(t))]
-    random.Random(7).shuffle(kept)
+    # The order of rows doesn't matter.
+    kept.sort(key=lambda x: hashlib.md5(x[0]).digest())
     share = sum(y for _, y in rows) / len(rows) if share is None and rows else share or 0.0
     groups = {y: [t for t, label in kept if label == y] for y in (0, 1)}
     if min(map(len, groups.values())) < 4:
-        return Model(b"", b"", (0.0, 0.0, 0.0), math.log((share + 1e-6) / (1 - share + 1e-6)), share)
-    train = {y: g[: len(g) // 2] for y, g in groups.items()}
-    test = [(t, y) for y, g in groups.items() for t in g[len(g) // 2 :]]
-    ordinary = _trained(2 * ORDINARY_BYTES, [t[i : i + 128] for t in train[0] for i in range(0, len(t), 128)], ORDINARY_BYTES)
-    typical = _typical(train[1], train[0])
-    samples = [b" " + b" ".join(w for w in t.split() if w.lower()[:STEM] in typical) + b" " for t in train[1]]
-    samples = [s for s in samples if len(s) > 2 * STEM]
-    y = np.array([label for _, label in test])
+        return Model(b"", b"", NO_FEATURES, math.log((share + 1e-6) / (1 - share + 1e-6)), share)
+
+    def learnt(train: dict[int, list[bytes]]) -> tuple[bytes, Callable[[int], bytes]]:
+        ordinary = _trained(2 * ORDINARY_BYTES, [t[i : i + 128] for t in train[0] for i in range(0, len(t), 128)], ORDINARY_BYTES)
+        samples = _toxic_samples(train[1], _typical(train[1], train[0]))
+        return ordinary, lambda keep: _trained(keep + 400, samples, keep)
+
+    parts = []
+    for fold in range(FOLDS):
+        train = {y: [t for i, t in enumerate(g) if i % FOLDS != fold] for y, g in groups.items()}
+        test = [(t, y) for y, g in groups.items() for i, t in enumerate(g) if i % FOLDS == fold]
+        parts.append((test, *learnt(train)))
+    y = np.array([label for test, *_ in parts for _, label in test])
     weight = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
     best, chosen = math.inf, None
     for keep in TOXIC_BYTES:
-        toxic = _trained(keep + 400, samples, keep)
-        x = np.array([features(g) for g in gains([t for t, _ in test], toxic, ordinary)])
+        x = np.array([features(g) for test, ordinary, toxic in parts for g in gains([t for t, _ in test], toxic(keep), ordinary)])
         again = np.rint(np.maximum(1, 4 * weight)).astype(int)
         w = _logistic(np.repeat(x, again, 0), np.repeat(y, again))
         p = 1 / (1 + np.exp(-np.clip(np.column_stack([x, np.ones(len(x))]) @ w, -30, 30)))
         loss = -(weight * np.where(y == 1, np.log(p), np.log(1 - p))).mean()
         if loss < best:
-            best, chosen = loss, Model(toxic, ordinary, tuple(map(float, w[:-1])), float(w[-1]), share)
-    return chosen
+            best, chosen = loss, (keep, w)
+    ordinary, toxic = learnt(groups)
+    return Model(toxic(chosen[0]), ordinary, tuple(map(float, chosen[1][:-1])), float(chosen[1][-1]), share)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str = "doc_id", text: str = "text") -> tuple[list[tuple[str | None, int]], float | None]:
@@ -189,7 +257,7 @@ def _probabilities(texts: pa.Array, model: Model) -> tuple[list[float], list[int
     with_toxic, without = (_compressor(model.ordinary + model.toxic), _compressor(model.ordinary)) if model.toxic else (None, None)
     scores, hits = [], []
     for t in texts.cast(pa.binary()).to_pylist():
-        x, n = (0.0, 0.0, 0.0), 0
+        x, n = NO_FEATURES, 0
         if model.toxic:
             gain = np.array([len(without(w)) - len(with_toxic(w)) for w in windows(t or b"")], np.int32)
             x, n = features(gain), int((gain >= LEAST_GAIN).sum())

@@ -62,13 +62,14 @@ def plain_score(model, text):
 
     raw, gains, at = (text or "").encode(), [], 0
     while True:
-        window = raw[at : at + 64]
+        window = raw[at : at + 48]
         gains.append(length(window, model.ordinary) - length(window, model.ordinary + model.toxic))
-        at += 48
-        if at >= len(raw) - 16:
+        at += 24
+        if at >= len(raw) - 24:
             break
     told = [g for g in gains if g >= 2]
-    x = (math.log1p(sum(told)), math.log1p(100 * sum(told) / len(gains)), math.log1p(len(told)))
+    strong = sum(g >= 4 for g in gains)
+    x = (math.log1p(sum(told)), math.log1p(100 * sum(told) / len(gains)), math.log1p(len(told)), math.log1p(strong), math.log1p(100 * strong / len(gains)))
     return 1 / (1 + math.exp(-max(-30, min(30, sum(a * b for a, b in zip(x, model.weights)) + model.bias))))
 
 
@@ -99,3 +100,23 @@ def test_null_ids_and_clashing_columns(spark):
     more = docs.selectExpr("CASE WHEN doc_id % 9 <> 0 THEN doc_id END AS doc_id", "text", "doc_id AS score", "1 AS toxic", "2 AS copy")
     rows = toxicity.classified(more.unionByName(more), labels).toPandas()
     assert len(rows) == 200 and rows[rows.doc_id.isna()].held_out.all() and rows.score.between(0, 1).all()
+
+
+def test_stems_of_many_forms_and_copies():
+    """A stem with many endings is found, and one that only near copies of a text share isn't."""
+    rng = random.Random(4)
+    ordinary = [" ".join(corpus.words(rng, 40)).encode() for _ in range(400)]
+    ends = ["a", "ment", "eau", "ou", "isch", "ung"]
+    toxic = [" ".join(corpus.words(rng, 40) + [f"vorx{rng.choice(ends)}{rng.choice(ends)}"]).encode() for _ in range(60)]
+    words = corpus.words(rng, 60) + ["zuplikat"]
+    copies = [" ".join([*words[:i], "other", *words[i + 1 :]]).encode() for i in range(40)]
+    found = toxicity._typical(toxic + copies, ordinary)
+    assert b"vorx" in found and not any(s.startswith(b"zupl") for s in found)
+    families = toxicity._families(toxic + copies)
+    assert len(set(families[:60])) == 60 and len(set(families[60:])) == 1
+
+
+def test_the_fit_does_not_hang_on_the_order_of_rows(spark):
+    docs, labels, _ = labelled(spark, 300)
+    rows, share = toxicity.training_rows(docs, labels, ~toxicity.held_out())
+    assert toxicity.fitted(rows, share) == toxicity.fitted(rows[::-1], share)

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.sources.shared import shared_folder
+from terrace.sources.shared import scratch
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df by a reliable checkpoint in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """df as a table in the shared folder, which survives lost executors and goes when the application ends."""
+    path = scratch(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:

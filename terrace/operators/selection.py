@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions.text import blank
+from terrace.operators.ordering import numbered
 
 
 def first_id(df: DataFrame, ending: str = "ID") -> Column:
@@ -73,9 +74,14 @@ def every_marker(markers: list[str], *columns: Column) -> Column:
 
 
 def window(df: DataFrame, order: list, offset: int = 0, limit: int = 0) -> DataFrame:
-    """Rows behind the first offset ones in order, at most limit of them; 0 is no limit."""
-    rest = df.orderBy(*order).offset(offset)
-    return rest.limit(limit) if limit else rest
+    """Rows behind the first offset ones in order, at most limit of them; 0 is no limit.
+
+    Without a limit rows are numbered by ranges, so that no task takes all of them; order then has to be names of columns
+    that tell rows apart.
+    """
+    if limit:
+        return df.orderBy(*order).offset(offset).limit(limit)
+    return numbered(df, order, "_place").where(F.col("_place") > offset).drop("_place").orderBy(*order) if offset else df.orderBy(*order)
 
 
 def rank_order(rank: Column, slug: Column, place: Column) -> list[Column]:

@@ -11,6 +11,7 @@ from terrace.functions import html, text, values
 from terrace.operators import batching, catalog, match, merge, ordering, progress, quality, search
 from terrace.sources.files import table
 from terrace.streaming.progress import counted, replayed
+from terrace.streaming.timeouts import replayed_silences
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -469,3 +470,14 @@ def ragged_repair(read):
 
 QUERIES["stream_progress"] = lambda spark, sf_dir: replayed(spark, sf_dir, "events", "user_id", "ts")
 ORACLES["stream_progress"] = "SELECT user_id, count(*) AS n_events, min(ts) AS first_at, max(ts) AS last_at FROM events GROUP BY 1"
+
+
+def _stream_timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timeouts that timers put out over a stream of the events."""
+    schema = table(spark, sf_dir, "events").schema
+    return replayed_silences(spark, sf_dir, schema, "user_id", "event_id", "ts", 14400, 43200, glob="events.parquet").select(F.col("key").cast("long").alias("user_id"), F.col("event").alias("event_id"), "action")
+
+
+QUERIES["stream_timeouts"] = _stream_timeouts
+ORACLES["stream_timeouts"] = """WITH g AS (SELECT user_id, event_id, floor(epoch(coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), (SELECT max(ts) FROM events)))) - floor(epoch(ts)) AS s FROM events)
+SELECT user_id, event_id, 'soft_timeout' AS action FROM g WHERE s >= 14400 UNION ALL SELECT user_id, event_id, 'hard_timeout' FROM g WHERE s >= 43200"""

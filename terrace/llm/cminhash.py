@@ -271,7 +271,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
 
     component_id: the least doc_id that is reachable over links; kept: doc_id is that one. Rows without words are
     linked with nothing. Rows of one doc_id count as one node; rows without doc_id have no component_id and are kept.
-    An empty table gives no rows.
+    Very long texts count with all their shingles. Equal signatures are one node, named by its least doc_id. An empty table
+    gives no rows.
     """
     base = written(signed(docs, doc_id, text, rows), "signed")
     usable = base.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))

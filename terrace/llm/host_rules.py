@@ -105,8 +105,9 @@ def host_verdicts(hosts: DataFrame, priors: dict[str, Prior], max_rate: float =
 def judged(docs: DataFrame, max_rate: float = 0.5, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """The measures of each row with base_failed, host_rejected and kept.
 
-    Rows without a host are judged by themselves alone. An empty table gives no rows; repeated rows are counted and
-    returned as often as they stand.
+    Rows without a host are judged by themselves alone. A null text has no words, and fails the base rules. doc_id is only
+    passed on, null or not. Very long texts are measured whole. A host's rate at max_rate exactly isn't above it. Repeated
+    rows are counted and returned as often as they stand. An empty table gives no rows.
     """
     rows = written(measured(docs, doc_id, text, host), "measures")
     hosts = host_counts(rows)

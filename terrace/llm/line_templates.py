@@ -118,7 +118,8 @@ def deduplicated(docs: DataFrame, min_tokens: int = 1, doc_id: str = "doc_id", t
     Lines of fewer than min_tokens tokens never count; by default every line with a token does. The names of the two
     columns get underscores in front if docs has them already. A null text stays null with no lines, an empty one stays
     empty. Rows that agree in doc_id and text count once and are all returned; rows without doc_id are taken apart by
-    their texts. Very long lines are parsed like others. An empty table gives no rows.
+    their texts. Very long lines and texts are parsed like others. Of tokens that are equally common at a place none is
+    preferred: each that is common enough is constant there. An empty table gives no rows.
     """
     key, drops, n_lines, n_dropped = fresh(docs, "row_key", "drops", "n_lines", "n_dropped")
     keyed = docs.withColumn(key, row_key(doc_id, text))

@@ -67,6 +67,7 @@ def sharded(docs: DataFrame, shards: int = 24, doc_id: str = "doc_id", text: str
     size: UTF-8 bytes of the text plus 8; a null text has none, and crc32 0 as an empty one, but is no copy of one.
     law: 'rows', counts at most one apart. slot: the row's place in its shard, from 0. grown_shard: null under this law.
     group_rows: rows of the same text. Rows that agree in doc_id and text may change places with each other, no more.
+    Rows without doc_id are placed like others. Very long texts count by their bytes, which this law doesn't weigh.
     An empty table gives no rows.
     """
     key = F.xxhash64(F.lit(1), F.col(text))

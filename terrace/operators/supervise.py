@@ -111,6 +111,11 @@ def in_scope(backlog: DataFrame, scope: DataFrame, path: str) -> DataFrame:
     return backlog.withColumn("_base", base(F.col(path))).join(names, "_base", "left").drop("_base").withColumn("in_scope", F.coalesce("in_scope", F.lit(False)))
 
 
+def outside_scope(backlog: DataFrame, scope: DataFrame, path: str) -> DataFrame:
+    """backlog without the rows whose path, or its base name, a batch of the scope has."""
+    return in_scope(backlog, scope, path).where("NOT in_scope").drop("in_scope")
+
+
 def source_map(schedule: DataFrame, key: str, paths: list[str]) -> DataFrame:
     """Every path that a row of the schedule names in its path columns, with the row's key; the last row of a path counts."""
     long = schedule.select(key, F.explode(F.array(*(F.trim(F.col(p)) for p in paths))).alias("path")).where("path <> ''")

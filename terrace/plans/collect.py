@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.functions import html
-from terrace.operators import attempts, catalog, intervals, logs, verify
+from terrace.operators import attempts, catalog, intervals, keyed, logs, verify
 from terrace.plans.catalogue import query
 from terrace.plans.review import _in, varied, varied_sql
 from terrace.sources import records
@@ -308,3 +308,54 @@ def label_lists(read):
 @query("SELECT page_id, 'Big <Coin' AS name, 'BC' || page_id AS symbol, '/coins/' || page_id AS href FROM pages UNION ALL SELECT page_id, 'One Two', 'OT', '/coins/1' FROM pages")
 def anchor_rows(read):
     return html.anchors(_labelled(read), "page_id", "html", "/coins/").drop("position")
+
+
+# Rows by keys that are text.
+
+@query("""WITH n AS (SELECT l_orderkey AS k, arg_max(l_partkey, (l_linenumber, l_partkey)) AS v FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY 1), e AS (SELECT o_orderkey AS k, o_custkey AS v FROM orders WHERE o_orderkey % 2 = 0)
+SELECT coalesce(n.k, e.k) AS task_index, coalesce(n.v, e.v)::VARCHAR AS value, n.k IS NOT NULL AND e.k IS NOT NULL AS overwritten FROM n FULL JOIN e ON n.k = e.k""")
+def merged_outputs(read):
+    new = read("lineitem").where("l_orderkey % 3 = 0").select((F.col("l_linenumber").cast("long") * 1_000_000_000 + F.col("l_partkey")).alias("place"), F.concat(F.lit(" "), F.col("l_orderkey").cast("string")).alias("task_index"), F.col("l_partkey").cast("string").alias("value"))
+    old = read("orders").where("o_orderkey % 2 = 0").select(F.lit(0).cast("long").alias("place"), F.col("o_orderkey").cast("string").alias("task_index"), F.col("o_custkey").cast("string").alias("value"))
+    merged, overwritten = keyed.merged_by_key(old, new, "task_index", "place", ["task_index", "value"])
+    return merged.join(overwritten.withColumn("o", F.lit(True)), "task_index", "left").select("task_index", "value", F.coalesce("o", F.lit(False)).alias("overwritten"))
+
+
+OUTPUTS = {"status": ["completed", "failed", "completed"], "parsed": ['{"has_token": true, "evidence_urls": ["a", " b ", ""], "ticker": "T#"}', '{"has_token": false, "evidence_urls": "c"}', "[1]", None, "text"]}
+
+
+@query(f"""WITH r AS (SELECT k % 1000 AS c, k, parsed FROM {varied_sql("orders", "o_orderkey", OUTPUTS)} WHERE status = 'completed' AND parsed LIKE '{{%'), l AS (SELECT c, arg_max(parsed, k) AS p FROM r WHERE c > 5 GROUP BY 1)
+SELECT c_custkey, CASE WHEN c IS NULL THEN c_name WHEN p LIKE '%true%' THEN 'T#' ELSE '' END AS ticker, CASE WHEN c IS NULL THEN '' WHEN p LIKE '%true%' THEN 'true' ELSE 'false' END AS has_token, CASE WHEN c IS NULL THEN '' WHEN p LIKE '%true%' THEN 'a|b' ELSE 'c' END AS evidence_urls,
+CASE WHEN c IS NULL THEN '' ELSE 'completed' END AS agent_task_status, CASE WHEN c IS NULL THEN '' ELSE 'run' END AS agent_result_source FROM customer LEFT JOIN l ON c = c_custkey""")
+def backfilled_rows(read):
+    k = F.col("k")
+    rows = varied(read("orders"), "o_orderkey", OUTPUTS).withColumn("id", F.when(k % 1000 > 5, (k % 1000).cast("string")).otherwise(" "))
+    results = keyed.completed_results(rows, "id", "status", "parsed", "k", ["has_token", "ticker", "evidence_urls"], ["evidence_urls"], "run")
+    named = read("customer").select("c_custkey", F.concat(F.col("c_custkey").cast("string"), F.lit(" ")).alias("id"), F.col("c_name").alias("ticker"))
+    return keyed.backfilled(named, results, "id").drop("id")
+
+
+SHARDS = {"token_origin_type": ["invesment_or_holdings", "stablecoin", None], "mapped_entity_name": ["", '["a"]', None, " "], "mapped_entity_legal_name": ["", "x", " "], "mapped_entity_type": ["", "[]"], "mapped_entity_url": [None, "", "u"], "needs_manual_review": ["low", "yes", " high "], "confidence": ["", "medium", None]}
+_NONE = "trim(coalesce(mapped_entity_name, '')) = '' AND trim(coalesce(mapped_entity_legal_name, '')) = '' AND trim(coalesce(mapped_entity_url, '')) = ''"
+_LEVEL = "trim(needs_manual_review) IN ('low','high') AND coalesce(confidence, '') = ''"
+
+
+@query(f"""SELECT k, CASE coalesce(token_origin_type, '') WHEN 'invesment_or_holdings' THEN 'investment_or_holdings' ELSE coalesce(token_origin_type, '') END AS token_origin_type, {', '.join(f"CASE WHEN {_NONE} THEN '[]' ELSE coalesce({c}, '') END AS {c}" for c in SHARDS if c.startswith('mapped'))},
+CASE WHEN {_LEVEL} THEN 'no' ELSE needs_manual_review END AS needs_manual_review, CASE WHEN {_LEVEL} THEN trim(needs_manual_review) ELSE coalesce(confidence, '') END AS confidence FROM {varied_sql("customer", "c_custkey", SHARDS)}""")
+def repaired_shards(read):
+    return keyed.repaired_shard_row(varied(read("customer"), "c_custkey", SHARDS), {"invesment_or_holdings": "investment_or_holdings"})
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, coalesce(o_orderstatus, l_returnflag) AS l_returnflag FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 3 > 0) ON o_orderkey = l_orderkey")
+def rewritten_identities(read):
+    tasks = read("orders").where("o_orderkey % 3 > 0").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("l_returnflag"))
+    return keyed.identity_rewritten(read("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"), tasks, "l_orderkey", ["l_returnflag"])
+
+
+@query("SELECT c_custkey, c_custkey % 3 = 0 AS in_list, CASE c_custkey % 4 WHEN 0 THEN 'prepared' WHEN 1 THEN 'prepared' ELSE 'running' END AS status, '0' AS respawn_count, CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE c_custkey % 7 END AS n FROM customer WHERE c_custkey % 11 > 0")
+def defaulted_rows(read):
+    """A list whose blank slugs are dropped, with columns that a schedule has by default."""
+    k = F.col("c_custkey")
+    rows = read("customer").select("c_custkey", F.when(k % 11 > 0, F.concat(F.lit(" s"), k.cast("string"))).otherwise("  ").alias("slug"), F.when(k % 4 == 0, "").when(k % 4 > 1, "running").alias("status"), F.when(k % 5 > 0, (k % 7).cast("string")).otherwise("none").alias("n"))
+    kept = keyed.with_defaults(keyed.listed(rows, "c_custkey", ["slug", "status", "n"], "slug"), {"status": "prepared", "respawn_count": "0"}, ["n"])
+    return kept.select("c_custkey", (k % 3 == 0).alias("in_list"), "status", "respawn_count", "n")

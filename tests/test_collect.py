@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from terrace.operators import attempts, intervals, validate, verify
+from terrace.operators import attempts, intervals, keyed, supervise, validate, verify
 
 
 def test_ranges_of_any_width(spark):
@@ -77,3 +77,24 @@ def test_blank_is_any_white_space(spark, text):
     rules = validate.result_rules()
     flags = row.select(*(rules[f"{c}_blank"].alias(f"{c}_blank") for c in validate.LISTS), rules["evidence_blank"].alias("e")).first()
     assert all(flags) and not any(row.select(*(rules[f"{c}_not_a_list"] for c in validate.LISTS)).first())
+
+
+def test_keys_that_must_be_whole_numbers(spark):
+    rows = lambda *keys: spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "place long, task_index string")
+    assert {r[0] for r in keyed.index_set(rows(" 1", "1", "", None, "+3", "-4 "), "task_index", "a").collect()} == {1, 3, -4}
+    for wrong in ("1.0", "x", "1 2"):
+        with pytest.raises(ValueError, match="invalid task_index in a"):
+            keyed.index_set(rows("1", wrong), "task_index", "a")
+    with pytest.raises(ValueError, match="invalid task_index in b: ''"):
+        keyed.integer_keys(rows("1", " "), "task_index", "b")
+    with pytest.raises(ValueError, match="existing output"):
+        keyed.merged_by_key(rows("1").withColumn("more", F.lit("")), rows("1"), "task_index", "place", ["task_index"])
+    merged, overwritten = keyed.merged_by_key(None, rows("10", "9", "9"), "task_index", "place", ["task_index"])
+    assert [r[0] for r in merged.collect()] == [9, 10] and overwritten.count() == 0
+
+
+def test_headers_and_scopes(spark):
+    assert keyed.header_union(["a", " b "], ["b", None, "", "c"], ["a", "d"]) == ["a", "b", "c", "d"]
+    backlog = spark.createDataFrame([("/a/x",), ("/b/y",), ("z",), (None,)], "path string")
+    scope = spark.createDataFrame([("/other/x",), ("z",)], "path string")
+    assert {r[0] for r in supervise.outside_scope(backlog, scope, "path").collect()} == {"/b/y", None}

@@ -58,19 +58,20 @@ _ABROAD, _GROUP = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})", r"(?:[ .-]
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,6}",
     "access_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": rf"(?<={KEYWORD}[ ]{{0,2}}[=:][ ]{{0,2}}[\"']{{0,1}})[A-Za-z0-9+/_-]{{8,128}}",
+    # What is cheap to see goes first: a sign in front, then the keyword.
+    "secret": rf"(?<=[=: \"'])(?<=[=:] {{0,2}}[\"']{{0,1}})(?<={KEYWORD}[ ]{{0,2}}[=:][ ]{{0,2}}[\"']{{0,1}})[A-Za-z0-9+/_-]{{8,128}}",
     "ip": IP,
     "ipv6": IPV6,
     "iban": IBAN,
     "card": CARD,
     "ssn": SSN,
     # A phone number in front of another number ends before it.
-    "phone": rf"(?<![0-9A-Za-z])(?:{_ABROAD}{_GROUP}{{2,4}}?(?= (?:{IP}|{CARD}|{SSN}))|{_ABROAD}{_GROUP}{{2,4}}|\([0-9]{{3}}\) ?[0-9]{{3}}[ .-][0-9]{{4}}|[0-9]{{3}}[.-][0-9]{{3}}[.-][0-9]{{4}}|(?<=(?i:phone|mobile|cell|call|tel|fax)[:.]? {{0,2}})[2-9][0-9]{{9}})(?![0-9])",
+    "phone": rf"(?<![0-9A-Za-z])(?:{_ABROAD}{_GROUP}{{2,4}}?(?= (?:{IP}|{CARD}|{SSN}))|{_ABROAD}{_GROUP}{{2,4}}|\([0-9]{{3}}\) ?[0-9]{{3}}[ .-][0-9]{{4}}|[0-9]{{3}}[.-][0-9]{{3}}[.-][0-9]{{4}}|(?=[2-9][0-9]{{9}})(?<=(?i:phone|mobile|cell|call|tel|fax)[:.]? {{0,2}})[2-9][0-9]{{9}})(?![0-9])",
     "name": rf"(?<![\p{{L}}\p{{N}}]){TITLE}(?:{PART}(?: {PART}){{0,3}}|{CAPITALS}(?: {CAPITALS})?)(?!\p{{L}})",
 }
 ANY = "|".join(PATTERNS.values())
 #: What a text must hold for the pattern to be tried at all.
-MAYBE = rf"@|[0-9][0-9 .()/-]{{5}}|A[KS]IA|{KEYWORD} {{0,2}}[=:]|:[0-9A-Fa-f]{{0,4}}:|[A-Z]{{2}}[0-9]{{2}}[ A-Z0-9]{{6}}|(?:{FEMALE}|{MALE}|{EITHER})\.? "
+MAYBE = rf"@|[0-9][0-9 .()/-]{{5}}|A[KS]IA|{KEYWORD} {{0,2}}[=:]|:[0-9A-Fa-f]{{0,4}}:|[A-Z]{{2}}[0-9]{{2}}[ A-Z0-9]{{6}}|(?<![\p{{L}}\p{{N}}])(?:{FEMALE}|{MALE}|{EITHER})\.? "
 LOWER, UPPER, DIGITS, SIGNS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "+/_-"
 #: Kinds whose surrogates are a permutation of the units' own spaces.
 PERMUTED = ("phone", "phone+", "card", "ssn", "secret", "access_key", "private_ip", "ipv6", "iban")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions.text import blank, error_category, error_source, error_task, stripped
 from terrace.functions.values import bucketed, is_json_list, json_list, list_length, normal_list, split_list
-from terrace.operators.ordering import top_in_group
+from terrace.operators.ordering import cut, top_in_group
 
 # What a column may hold.
 ORIGINS = ("layer1_or_l2", "protocol_or_app", "exchange_token", "stablecoin", "wrapped_or_bridged_asset", "liquid_staking_or_restaking", "asset_backed_or_rwa", "meme_or_community", "governance_or_utility")
@@ -93,7 +93,8 @@ def repaired_result(df: DataFrame) -> DataFrame:
     in the link column is evidence; a status is a project's name where that is blank; a list of links in the time column
     goes to the links; "completed" in the entity's name is the status, and a time in its legal name the time; links in the
     confidence column and kinds of source in the review column go to the empty columns that they belong in, which leaves a
-    low confidence and a review; lists become compact JSON.
+    low confidence and a review; lists become compact JSON. Rows are written between moves, as the planner would put the
+    expressions of one into those of the next, which multiply.
     """
     empty = lambda c: _text(c).isin("", "[]")
     piped = lambda c, pattern: F.contains(_text(c), F.lit("|")) & (F.size(split_list(F.col(c))) > 0) & F.forall(split_list(F.col(c)), lambda x: F.regexp_like(x, F.lit(pattern)))
@@ -103,14 +104,14 @@ def repaired_result(df: DataFrame) -> DataFrame:
 
     df = move(df, _text("entity_search_required").isin("light", "deep", "skip_candidate") & _text("entity_search_reason").isin(*YES_NO), {"entity_search_required": _text("entity_search_reason"), "entity_search_reason": _text("entity_search_required")})
     text = ~blank(F.col("project_url")) & ~is_json_list(_text("project_url")) & empty("has_entity_evidence") & ~F.regexp_like(_text("project_url"), F.lit("^https?://"))
-    df = move(df, text, {"has_entity_evidence": _text("project_url"), "project_url": F.lit("[]")})
+    df = cut(move(df, text, {"has_entity_evidence": _text("project_url"), "project_url": F.lit("[]")}))
     df = move(df, empty("project_name") & (_text("status") != ""), {"project_name": normal_list(F.col("status"))})
-    df = move(df, is_json_list(_text("completed_at")) & normal_list(F.col("project_url")).isin("", "[]"), {"project_url": normal_list(F.col("completed_at")), "completed_at": F.lit("")})
+    df = cut(move(df, is_json_list(_text("completed_at")) & normal_list(F.col("project_url")).isin("", "[]"), {"project_url": normal_list(F.col("completed_at")), "completed_at": F.lit("")}))
     df = move(df, (_text("status") != "completed") & (_text("mapped_entity_name") == "completed"), {"status": F.lit("completed"), "mapped_entity_name": F.lit("[]"), "mapped_entity_type": F.lit("[]")})
     df = move(df, F.col("_moves") & F.regexp_like(_text("mapped_entity_legal_name"), F.lit(TIME)), {"completed_at": _text("mapped_entity_legal_name"), "mapped_entity_legal_name": F.lit("[]")})
-    df = move(df, piped("confidence", "^https?://") & (F.size(split_list(F.col("evidence_urls"))) == 0), {"evidence_urls": _text("confidence"), "confidence": F.lit("low")})
+    df = move(cut(df), piped("confidence", "^https?://") & (F.size(split_list(F.col("evidence_urls"))) == 0), {"evidence_urls": _text("confidence"), "confidence": F.lit("low")})
     df = move(df, piped("needs_manual_review", "^[a-z0-9_]+$") & (F.size(split_list(F.col("evidence_source_types"))) == 0), {"evidence_source_types": _text("needs_manual_review"), "needs_manual_review": F.lit("yes")})
-    return df.withColumns({c: normal_list(F.col(c)) for c in LISTS}).drop("_moves")
+    return cut(df).withColumns({c: normal_list(F.col(c)) for c in LISTS}).drop("_moves")
 
 
 def evidence_text() -> Column:
@@ -133,7 +134,7 @@ def canonical_result(df: DataFrame) -> DataFrame:
     named = {c.lower() for c in df.columns}
     df = df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in named else F.lit("") for c in RESULT})
     df = df.withColumns({"status": F.when(F.col("status") == "complete", "completed").otherwise(F.col("status")), "confidence": bucketed(F.col("confidence")), **{c: normal_list(F.col(c)) for c in LISTS}})
-    return repaired_result(df).withColumn("has_entity_evidence", evidence_text()).withColumn("confidence", bucketed(F.col("confidence")))
+    return cut(repaired_result(cut(df))).withColumn("has_entity_evidence", evidence_text()).withColumn("confidence", bucketed(F.col("confidence")))
 
 
 def identity_changes(rows: DataFrame, tasks: DataFrame, key: str, fields: list[str]) -> DataFrame:

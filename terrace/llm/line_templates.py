@@ -101,9 +101,11 @@ def recurring_templates(named: DataFrame) -> DataFrame:
     return written(held.where(f"docs >= {MIN_DOCS}").select("template"), "recurring")
 
 
-def copies(keyed: DataFrame, row: str, text: str, named: DataFrame, recurring: DataFrame) -> DataFrame:
-    """row and label of each document that may be a copy: those of one group of copies have one label."""
-    flagged = sized_join(named, recurring.withColumn("again", F.lit(True)), "template", "left")
+def copies(keyed: DataFrame, row: str, text: str, flagged: DataFrame) -> DataFrame:
+    """row and label of each document that may be a copy: those of one group of copies have one label.
+
+    flagged: row, n_tokens and again of each line, which is true where its template recurs.
+    """
     shares = flagged.groupBy("row").agg(F.sum(F.when(F.col("again"), F.col("n_tokens")).otherwise(0)).alias("gone"), F.sum("n_tokens").alias("total"))
     heavy = written(shares.where(f"100 * gone >= {COPY_PERCENT} * total").select("row"), "heavy")
     texts = id_filter(keyed.select(F.col(row).alias("row"), F.col(text).alias("text")), heavy, "row", "left_semi")
@@ -126,14 +128,17 @@ def deduplicated(docs: DataFrame, min_tokens: int = 1, doc_id: str = "doc_id", t
     lines = written(parsed(keyed, key, text), "lines")
     general = written(generalised(lines), "templates")
     plain = lines.select("row", "line_no", "n_tokens", "masked")
+    # Lines are joined once with each table, as every join with one that isn't small shuffles all of them.
     named = sized_join(plain, general, "masked", "left").select("row", "line_no", "n_tokens", F.coalesce("template", "masked").alias("template"))
-    counted = named.where(F.col("n_tokens") >= min_tokens)
+    counted = written(named.where(F.col("n_tokens") >= min_tokens), "named")
     recurring = recurring_templates(counted)
-    labels = written(copies(keyed, key, text, counted, recurring), "labels")
-    again = sized_join(counted, recurring, "template", "left_semi").select("template", "row")
-    final = recurring_templates(sized_join(again, labels, "row", "left").select("template", F.coalesce("label", "row").alias("row")))
+    flagged = written(sized_join(counted, recurring.withColumn("again", F.lit(True)), "template", "left"), "flagged")
+    labels = written(copies(keyed, key, text, flagged), "labels")
+    # What counts less often when copies count once is among what recurs.
+    again = flagged.where("again").drop("again")
+    final = recurring_templates(sized_join(again.select("template", "row"), labels, "row", "left").select("template", F.coalesce("label", "row").alias("row")))
     # One row gathers the line numbers of one document.
-    lists = sized_join(counted, final, "template", "left_semi").groupBy(F.col("row").alias(key)).agg(F.collect_set("line_no").alias(drops))
+    lists = sized_join(again, final, "template", "left_semi").groupBy(F.col("row").alias(key)).agg(F.collect_set("line_no").alias(drops))
     joined = sized_join(keyed, written(lists, "drops"), key, "left")
     split = F.split(F.col(text), "\n", -1)
     kept = F.when(F.col(drops).isNull(), F.col(text)).otherwise(F.array_join(F.filter(split, lambda _, i: ~F.array_contains(drops, i)), "\n"))

@@ -11,7 +11,9 @@ are grouped by the Jaccard similarity of their five-word shingles, and a group c
 So what only the copies of a text share stays for document dedup to judge, and boilerplate goes from copies as well.
 
 The tree's counts are sums by (leaf, place, token), so that they don't depend on the order of lines, and no leaf is
-gathered anywhere: only lines of leaves that hold different lines are taken apart.
+gathered anywhere: only lines of leaves that hold different lines are taken apart. Texts are parsed twice: first leaves
+are counted, and then only lines of leaves with MIN_DOCS lines go on, so that no other line is written or shuffled with
+its text but once, where the keys of those leaves are too many for a broadcast.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import re
 from collections.abc import Iterator
 from hashlib import md5
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,58 +44,105 @@ REMEMBERED = 200_000
 _DIGIT = re.compile(r"[0-9]")
 
 
-def parsed(docs: DataFrame, row: str, text: str) -> DataFrame:
+def _masked(text: str | None) -> Iterator[tuple[int, list[str]]]:
+    """Number and masked tokens of each line that has tokens."""
+    for i, line in enumerate(text.split("\n") if text else ()):
+        tokens = line.split()
+        if tokens:
+            yield i, [FIELD if _DIGIT.search(x) else x for x in tokens] if _DIGIT.search(line) else tokens
+
+
+def _leaf(tokens: list[str]) -> bytes:
+    return md5(f"{len(tokens)} {' '.join(tokens[:LEADS])}".encode()).digest()
+
+
+def crowded(docs: DataFrame, text: str) -> DataFrame:
+    """leaf_key, half of a leaf's hash, of leaves that hold MIN_DOCS lines: no template of another leaf can recur.
+
+    Two leaves of one key are only kept where neither had to be.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text"):
+            keys = b"".join(_leaf(tokens)[:8] for t in batch.column("text").to_pylist() for _, tokens in _masked(t))
+            found, n = np.unique(np.frombuffer(keys, "<i8"), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"leaf_key": pa.array(found, pa.int64()), "n": pa.array(n, pa.int64())})
+
+    sizes = docs.select(F.col(text).alias("text")).mapInArrow(run, "leaf_key long, n long")
+    return written(sizes.groupBy("leaf_key").agg(F.sum("n").alias("n")).where(f"n >= {MIN_DOCS}").select("leaf_key"), "crowded")
+
+
+def parsed(docs: DataFrame, row: str, text: str, min_tokens: int = 1) -> DataFrame:
     """One row for each line with tokens: row, line_no, n_tokens, hashes of the masked line and its leaf, and the line.
 
-    body is null where the task has put out the same masked line before, so that a line of a third of all rows is one
-    text for each task.
+    total is the number of tokens in the text's lines of min_tokens tokens or more, leaf_key that of crowded(). body is
+    null where the task has put out the same masked line before, so that a line of a third of all rows is one text for
+    each task.
     """
-    schema = "row binary, line_no int, n_tokens int, masked binary, leaf binary, body string"
+    schema = "row binary, line_no int, n_tokens int, total long, masked binary, leaf binary, leaf_key long, body string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in sliced(batches, "text"):
-            rows, numbers, counts, masked, leaves, bodies = [], [], [], [], [], []
+            rows, numbers, counts, totals, masked, leaves, bodies = [], [], [], [], [], [], []
             if len(seen) > REMEMBERED:
                 seen.clear()
             for key, t in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist()):
-                for i, line in enumerate(t.split("\n") if t else ()):
-                    tokens = line.split()
+                total, before = 0, len(rows)
+                for i, tokens in _masked(t):
                     n = len(tokens)
-                    if not n:
-                        continue
-                    if _DIGIT.search(line):
-                        tokens = [FIELD if _DIGIT.search(x) else x for x in tokens]
+                    total += n if n >= min_tokens else 0
                     body = " ".join(tokens)
                     name = md5(body.encode()).digest()
                     rows.append(key)
                     numbers.append(i)
                     counts.append(n)
                     masked.append(name)
-                    leaves.append(md5(f"{n} {' '.join(tokens[:LEADS])}".encode()).digest())
+                    leaves.append(_leaf(tokens))
                     bodies.append(None if name in seen else body)
                     seen.add(name)
+                totals += [total] * (len(rows) - before)
+            keys = np.frombuffer(b"".join(x[:8] for x in leaves), "<i8")
             yield pa.RecordBatch.from_pydict(
-                {"row": pa.array(rows, pa.binary()), "line_no": pa.array(numbers, pa.int32()), "n_tokens": pa.array(counts, pa.int32()), "masked": pa.array(masked, pa.binary()), "leaf": pa.array(leaves, pa.binary()), "body": pa.array(bodies, pa.string())}
+                {"row": pa.array(rows, pa.binary()), "line_no": pa.array(numbers, pa.int32()), "n_tokens": pa.array(counts, pa.int32()), "total": pa.array(totals, pa.int64()), "masked": pa.array(masked, pa.binary()), "leaf": pa.array(leaves, pa.binary()), "leaf_key": pa.array(keys, pa.int64()), "body": pa.array(bodies, pa.string())}
             )
 
     return docs.select(F.col(row).alias("row"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
 def generalised(lines: DataFrame) -> DataFrame:
-    """masked and template of each line whose template has variable fields beyond those with digits."""
+    """masked and template of each line whose template has variable fields beyond those with digits.
+
+    Leaves and forms get numbers, as every token of a form carries them. Tokens are shuffled once, to be
+    counted; those that aren't constant name their forms themselves.
+    """
     forms = written(lines.select("leaf", "masked", "row").distinct().groupBy("leaf", "masked").agg(F.count(F.lit(1)).alias("docs")), "forms")
-    leaves = written(forms.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum("docs").alias("d")).where(f"n > 1 AND d >= {MIN_DOCS}").select("leaf"), "leaves")
-    wanted = written(sized_join(forms, leaves, "leaf", "left_semi"), "wanted")
-    texts = sized_join(lines.where("body IS NOT NULL").select("masked", "body"), wanted.select("masked"), "masked", "left_semi")
-    bodies = texts.groupBy("masked").agg(F.first("body").alias("body"))
-    tokens = wanted.join(bodies, "masked").select("leaf", "masked", "docs", F.posexplode(F.split("body", " ")).alias("place", "token"))
-    constant = written(tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("n")).where(f"n >= {MIN_DOCS}").select("leaf", "place", "token", F.lit(True).alias("constant")), "constant")
-    marked = sized_join(tokens, constant, ["leaf", "place", "token"], "left").withColumn("kept", F.coalesce("constant", F.lit(False)))
-    # The tokens of one line meet in one row.
-    built = marked.groupBy("leaf", "masked").agg(F.count_if("kept").alias("k"), F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.struct("place", F.when(F.col("kept"), F.col("token")).otherwise(FIELD).alias("token")))).alias("tokens"))
-    template = F.unhex(F.md5(F.concat(F.lower(F.hex("leaf")), F.lit("/"), F.array_join("tokens.token", " "))))
-    return built.where(f"k < n AND 100 * k >= {LEAST_CONSTANT} * n").select("masked", template.alias("template"))
+    leaves = forms.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum("docs").alias("d")).where(f"n > 1 AND d >= {MIN_DOCS}")
+    leaves = written(leaves.select("leaf", F.monotonically_increasing_id().alias("leaf_no")), "leaves")
+    wanted = written(sized_join(forms, leaves, "leaf", "inner").withColumn("form", F.monotonically_increasing_id()), "wanted")
+    texts = sized_join(lines.where("body IS NOT NULL").select("masked", "body"), wanted.drop("leaf"), "masked", "inner")
+    bodies = written(texts.groupBy("form").agg(*(F.first(c).alias(c) for c in ("masked", "leaf_no", "docs", "body"))), "bodies")
+    # The first LEADS tokens are the leaf's, and so are constant.
+    tokens = bodies.select("leaf_no", "docs", "form", F.posexplode(F.split("body", " ")).alias("place", "token")).where(F.col("place") >= LEADS)
+    # A token that fewer than MIN_DOCS = 3 documents have at its place is one of two forms at most, the least and the greatest.
+    counts = tokens.groupBy("leaf_no", "place", "token").agg(F.sum("docs").alias("n"), F.array_distinct(F.array(F.min("form"), F.max("form"))).alias("forms"))
+    rare = counts.where(f"n < {MIN_DOCS}").select(F.explode("forms").alias("form"), "place")
+    # The fields of one line meet in one row.
+    fields = written(rare.groupBy("form").agg(F.collect_list("place").alias("fields")), "fields")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b for x in batches for b in sliced([x], "body")):
+            masked, templates = [], []
+            for name, leaf, body, places in zip(*(batch.column(c).to_pylist() for c in ("masked", "leaf_no", "body", "fields"))):
+                line = body.split(" ")
+                if 100 * (len(line) - len(places)) >= LEAST_CONSTANT * len(line):
+                    for i in places:
+                        line[i] = FIELD
+                    masked.append(name)
+                    templates.append(md5(f"{leaf}/{' '.join(line)}".encode()).digest())
+            yield pa.RecordBatch.from_pydict({"masked": pa.array(masked, pa.binary()), "template": pa.array(templates, pa.binary())})
+
+    return sized_join(bodies.select("form", "masked", "leaf_no", "body"), fields, "form", "inner").mapInArrow(run, "masked binary, template binary")
 
 
 def recurring_templates(named: DataFrame) -> DataFrame:
@@ -101,12 +151,13 @@ def recurring_templates(named: DataFrame) -> DataFrame:
     return written(held.where(f"docs >= {MIN_DOCS}").select("template"), "recurring")
 
 
-def copies(keyed: DataFrame, row: str, text: str, flagged: DataFrame) -> DataFrame:
+def copies(keyed: DataFrame, row: str, text: str, again: DataFrame) -> DataFrame:
     """row and label of each document that may be a copy: those of one group of copies have one label.
 
-    flagged: row, n_tokens and again of each line, which is true where its template recurs.
+    again: row, line_no, n_tokens and the document's total of each line whose template recurs, once for each row of keyed.
     """
-    shares = flagged.groupBy("row").agg(F.sum(F.when(F.col("again"), F.col("n_tokens")).otherwise(0)).alias("gone"), F.sum("n_tokens").alias("total"))
+    own = F.aggregate(F.collect_set(F.struct("line_no", "n_tokens")), F.lit(0).cast("long"), lambda s, x: s + x["n_tokens"])
+    shares = again.groupBy("row").agg(own.alias("gone"), F.first("total").alias("total"))
     heavy = written(shares.where(f"100 * gone >= {COPY_PERCENT} * total").select("row"), "heavy")
     texts = id_filter(keyed.select(F.col(row).alias("row"), F.col(text).alias("text")), heavy, "row", "left_semi")
     texts = written(texts.groupBy("row").agg(F.first("text").alias("text")).withColumn("doc_id", F.monotonically_increasing_id()), "heavy-texts")
@@ -125,17 +176,14 @@ def deduplicated(docs: DataFrame, min_tokens: int = 1, doc_id: str = "doc_id", t
     """
     key, drops, n_lines, n_dropped = fresh(docs, "row_key", "drops", "n_lines", "n_dropped")
     keyed = docs.withColumn(key, row_key(doc_id, text))
-    lines = written(parsed(keyed, key, text), "lines")
+    lines = sized_join(parsed(keyed, key, text, min_tokens), crowded(docs, text), "leaf_key", "left_semi")
+    lines = written(lines.drop("leaf_key"), "lines")
     general = written(generalised(lines), "templates")
-    plain = lines.select("row", "line_no", "n_tokens", "masked")
-    # Lines are joined once with each table, as every join with one that isn't small shuffles all of them.
-    named = sized_join(plain, general, "masked", "left").select("row", "line_no", "n_tokens", F.coalesce("template", "masked").alias("template"))
-    counted = written(named.where(F.col("n_tokens") >= min_tokens), "named")
-    recurring = recurring_templates(counted)
-    flagged = written(sized_join(counted, recurring.withColumn("again", F.lit(True)), "template", "left"), "flagged")
-    labels = written(copies(keyed, key, text, flagged), "labels")
+    named = sized_join(lines.drop("leaf", "body"), general, "masked", "left")
+    counted = written(named.where(F.col("n_tokens") >= min_tokens).select("row", "line_no", "n_tokens", "total", F.coalesce("template", "masked").alias("template")), "named")
+    again = written(sized_join(counted, recurring_templates(counted), "template", "left_semi"), "again")
+    labels = written(copies(keyed, key, text, again), "labels")
     # What counts less often when copies count once is among what recurs.
-    again = flagged.where("again").drop("again")
     final = recurring_templates(sized_join(again.select("template", "row"), labels, "row", "left").select("template", F.coalesce("label", "row").alias("row")))
     # One row gathers the line numbers of one document.
     lists = sized_join(again, final, "template", "left_semi").groupBy(F.col("row").alias(key)).agg(F.collect_set("line_no").alias(drops))

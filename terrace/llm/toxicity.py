@@ -121,6 +121,21 @@ def _families(texts: list[bytes], bands: int = 8, rows: int = 3) -> list[int]:
     return [root(i) for i in range(len(texts))]
 
 
+def _holders(texts: list[bytes], among: set[bytes] | None = None) -> tuple[Counter, int]:
+    """For each stem, or each of those in among, how many groups of near copies hold it, and the number of groups.
+
+    Groups are gone through one by one, so that a stem takes one number and not a set of its groups.
+    """
+    groups: dict[int, list[bytes]] = {}
+    for t, family in zip(texts, _families(texts), strict=True):
+        groups.setdefault(family, []).append(t)
+    counts: Counter = Counter()
+    for group in groups.values():
+        stems = set().union(*map(_stems, group))
+        counts.update(stems if among is None else stems & among)
+    return counts, max(1, len(groups))
+
+
 def _typical(toxic: list[bytes], ordinary: list[bytes]) -> set[bytes]:
     """Stems that far more toxic texts hold than ordinary ones, near copies counting once.
 
@@ -128,16 +143,10 @@ def _typical(toxic: list[bytes], ordinary: list[bytes]) -> set[bytes]:
     a chance under exp(-LEAST_EVIDENCE), whatever the sizes of the samples. One that begins with a shorter typical one adds
     nothing and is left out.
     """
-    counts, sizes = [], []
-    for texts in (toxic, ordinary):
-        held: dict[bytes, set[int]] = {}
-        families = _families(texts)
-        for t, family in zip(texts, families, strict=True):
-            for s in _stems(t):
-                held.setdefault(s, set()).add(family)
-        counts.append({s: len(f) for s, f in held.items()})
-        sizes.append(max(1, len(set(families))))
-    (a, b), (n, m) = counts, sizes
+    a, n = _holders(toxic)
+    # Others have no such share, as there are as many groups as ordinary texts at most.
+    a = {s: k for s, k in a.items() if k * max(1, len(ordinary)) >= 8 * n}
+    b, m = _holders(ordinary, set(a))
     chance = n / (n + m)
 
     def evidence(stem: bytes) -> float:
